@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, exact_dedup, packing, secrets, simhash, tokens, warc
+from tessera.llm import decontaminate, exact_dedup, packing, quality, secrets, simhash, substring_dedup, tokens, warc
 from tessera.llm.common import scratch
 
 
@@ -15,6 +15,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "text", "n_sentences", "n_removed", (F.col("n_removed") > 0).alias("changed"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "warc")
     warc.write_warc(_table(spark, sf_dir, "pages"), path)
@@ -35,6 +40,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(_table(spark, sf_dir, "documents"))
     said = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
@@ -52,7 +61,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_warc, op3_exact_dedup, op4_token_counts, op5_simhash, op8_secrets, op9_packing, op10_decontamination)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_substring_dedup, op2_warc, op3_exact_dedup, op4_token_counts, op5_simhash, op7_quality, op8_secrets, op9_packing, op10_decontamination)}
 
 ORACLES: dict[str, str] = {
     "op2_warc": """
