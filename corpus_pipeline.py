@@ -1,11 +1,60 @@
-"""From raw documents to packed sequences: quality, exact and near duplicates, benchmark passages, packing."""
+"""From raw documents to packed sequences: quality, exact and near duplicates, benchmark passages, packing.
+
+Each stage takes (spark, docs, sf_dir) and works on all that the stage before it kept; all but the last return the columns
+of ``docs``.  ``run`` writes each stage's rows as Parquet in the shared folder and reads them as the next one's documents.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
-ORACLE_SQL = None
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tessera.llm import decontaminate, exact_dedup, packing, quality, simhash
+from tessera.llm.common import written
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose perplexity under the trusted text's n-gram model is within their language's threshold."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def no_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each text."""
+    return exact_dedup.drop_exact(docs)
+
+
+def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group whose five-word shingles agree to 0.8 or more, as estimated by SimHash distances."""
+    return simhash.drop_near(docs, **simhash.FIVE_WORDS)
+
+
+def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any benchmark passage."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents and where they lie in sequences of 2048 tokens."""
+    return packing.pack(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", good_quality),
+    ("exact dedup", no_copies),
+    ("near dedup", no_near_copies),
+    ("benchmark decontamination", no_benchmark),
+    ("packing", packed),
+]
+
+#: The model, the fingerprints and the token ids are beyond SQL; tests hold the stages against brute force.
+ORACLE_SQL: str | None = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for k, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = written(docs, name.replace(" ", "-"))
     return docs
