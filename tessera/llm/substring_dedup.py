@@ -1,6 +1,7 @@
 """Substring dedup over sliding sentence spans.
 
-A text is cut into sentences (and sentences of over ``LONG`` words into stretches of that many, from their start).  A span
+A text is cut into sentences, and sentences of over ``LONG`` words into stretches that end at words whose hash says so (or
+after 2 * ``LONG`` words), so that a passage is cut alike wherever it stands.  A span
 starts at every sentence and takes as many as give it at least ``SENTENCES`` sentences and ``WORDS`` words; its words, lower
 case and joined by blanks, are hashed.  All spans' hashes meet globally: a span is a repeat if it occurred earlier in its own
 document, or if a document with a smaller id has it too.  Sentences covered by any repeat are removed.
@@ -34,11 +35,14 @@ def sentences(text: bytes, long: int = LONG) -> list[tuple[int, int]]:
     for m in _SENTENCE.finditer(text):
         a, b = m.span()
         if b - a > 2 * long and len(m[0].split()) > long:
-            ends = [w.end() for w in _WORD.finditer(text, a, b)]
-            cuts = ends[long - 1 :: long]
-            for c in cuts if cuts and cuts[-1] == b else [*cuts, b]:
-                out.append((a, c))
-                a = c
+            n = 0
+            for w in _WORD.finditer(text, a, b):
+                n += 1
+                if n == 2 * long or not xxhash.xxh32_intdigest(w[0].translate(LOWER).rstrip()) & 7:
+                    out.append((a, w.end()))
+                    a, n = w.end(), 0
+            if a < b:
+                out.append((a, b))
         else:
             out.append((a, b))
     return out
