@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, exact_dedup, packing, quality, secrets, simhash, substring_dedup, tokens, warc
+from tessera.llm import decontaminate, exact_dedup, language_model, packing, quality, secrets, simhash, substring_dedup, tokens, warc
 from tessera.llm.common import scratch
 
 
@@ -40,6 +40,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(_table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -61,7 +65,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_substring_dedup, op2_warc, op3_exact_dedup, op4_token_counts, op5_simhash, op7_quality, op8_secrets, op9_packing, op10_decontamination)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_substring_dedup, op2_warc, op3_exact_dedup, op4_token_counts, op5_simhash, op6_lm_scoring, op7_quality, op8_secrets, op9_packing, op10_decontamination,
+)}
 
 ORACLES: dict[str, str] = {
     "op2_warc": """
