@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import struct
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -65,9 +67,6 @@ def explode_wire(df: DataFrame, keys: list[str], payload: str) -> DataFrame:
 
 def little_endian(content, kind: str):
     """A 4- or 8-byte value as a column: float, double or bigint, from its hex digits in turned order."""
-    import numpy as np
-    import pandas as pd
-
     dtype = {"float": "<f4", "double": "<f8", "bigint": "<i8"}[kind]
 
     @F.pandas_udf(kind)
@@ -77,9 +76,18 @@ def little_endian(content, kind: str):
     return read(content)
 
 
-def cdr_doubles(payload: bytes, at: int = 4) -> list[float]:
-    """A sequence of doubles of a little-endian CDR message: its length, then the values aligned to 8 bytes."""
+def cdr_header(payload: bytes, at: int = 0) -> tuple[int, int, str, int]:
+    """(seconds, nanoseconds, frame id, where it ends) of a little-endian CDR stamp, after an encapsulation header if there
+    is one; the id is padded to 4 bytes."""
+    if struct.unpack_from("<I", payload, at)[0] in (0x00010000, 0x00000100):
+        at += 4
+    seconds, nanos, size = struct.unpack_from("<iII", payload, at)
+    at += 12
+    text = payload[at : at + size].decode("utf-8", "replace").rstrip("\0") if size < 100 else ""
+    return seconds, nanos, text, (at + size + 3) & ~3 if size else at
+
+
+def cdr_doubles(payload: bytes, at: int = 4, align: int = 1) -> list[float]:
+    """A sequence of doubles of a little-endian CDR message: its length, then the values (aligned as told)."""
     (n,) = struct.unpack_from("<I", payload, at)
-    begin = at + 4
-    begin += -(begin - 4) % 8
-    return list(struct.unpack_from(f"<{n}d", payload, begin))
+    return list(struct.unpack_from(f"<{n}d", payload, (at + 4 + align - 1) // align * align))
