@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import numbers
-from tessera.operators import annotate, asof, dedup, intervals, privacy, quality, review, robust, scene, sequence, timeline, validate
+from tessera.operators import annotate, asof, dedup, frames, intervals, privacy, quality, review, robust, scene, sequence, timeline, validate
 
 
 def stream(spark, ts, **more):
@@ -271,3 +271,21 @@ def test_null_keys_are_streams_too(spark):
 def test_numbers(spark):
     df = spark.createDataFrame([(2.5, 3.5, -1.5)], "a double, b double, c double")
     assert tuple(df.select(numbers.half_even("a"), numbers.half_even("b"), numbers.truncated("c")).first()) == (2.0, 4.0, -1)
+
+
+def test_frames(spark):
+    rng = np.random.default_rng(0)
+    flat, noise = np.full((16, 16), 250, np.uint8), rng.integers(0, 255, (16, 16)).astype(np.uint8)
+    assert frames.laplacian_variance(flat) == 0 < frames.laplacian_variance(noise)
+    assert frames.similarity(noise, noise) == pytest.approx(1) and frames.similarity(noise, flat) < 0.5
+    assert np.allclose(frames.dct_matrix(8) @ frames.dct_matrix(8).T, np.eye(8))
+    assert (frames.perceptual_hash([noise]) == frames.perceptual_hash([noise, noise])).all()
+    df = spark.createDataFrame([(1, bytearray(flat.tobytes()), 16, 16), (2, bytearray(b"x"), 16, 16), (3, None, 1, 1)], "i int, c binary, h int, w int")
+    got = {r["i"]: r for r in frames.frame_metrics(df, ["i"], "c", "h", "w", 1).collect()}
+    assert (got[1]["gray_mean"], got[1]["saturated_ratio"], got[2]["p95"], got[3]["p95"]) == (250.0, 1.0, None, None)
+    d = spark.createDataFrame([(1, [0, 0, 5, 7]), (2, []), (3, [0])], "i int, p array<int>")
+    s = {r["i"]: r for r in frames.depth_stats(d, ["i"], "p").collect()}
+    assert (s[1]["zero_ratio"], s[1]["mean"], s[1]["std"], s[1]["max"]) == (0.5, 6.0, 1.0, 7)
+    assert s[2]["all_zero"] and s[2]["valid_ratio"] == 0.0 and s[3]["all_zero"]
+    t = spark.createDataFrame([("v", 0, 0.0, 0.0, 10.0, 10.0), ("v", 1, 1.0, 1.0, 11.0, 11.0), ("v", 1, 50.0, 50.0, 60.0, 60.0), ("v", 2, 51.0, 50.0, 61.0, 60.0)], "k string, f int, a double, b double, c double, d double")
+    assert [r["track_id"] for r in frames.match_tracks(t, "k", "f", ["a", "b", "c", "d"]).orderBy("f", "a").collect()] == [0, 0, 1, 1]
