@@ -121,6 +121,34 @@ def handedness(label: Column) -> Column:
     return F.when(x.isin("left", "l", "0", "left_hand"), "Left").when(x.isin("right", "r", "1", "right_hand"), "Right").otherwise("Unknown")
 
 
+#: Distortion models that can be undone.
+DISTORTION_MODELS = ("plumb_bob", "rational_polynomial", "opencv", "equidistant", "fisheye", "kannala_brandt")
+
+
+def undistortion_plan(model: Column, coefficients: Column, calibrated: Column) -> Column:
+    """What is to be done with a camera's frames: missing_calibration, unsupported_calibration, identity or applied."""
+    zero = F.forall(coefficients, lambda c: F.abs(c) <= 1e-8)
+    known = F.lower(F.trim(model)).isin(*DISTORTION_MODELS)
+    return F.when(~calibrated | coefficients.isNull(), "missing_calibration").when(~F.coalesce(known, F.lit(False)), "unsupported_calibration").when(zero, "identity").otherwise("applied")
+
+
+def hand_frames(df: DataFrame, keys: list[str], frame: str, box: list[str], score: str) -> DataFrame:
+    """Per frame of hand detections: the largest box (ties: the first by its corners) and the best score; negative frames go."""
+    area = F.greatest(F.lit(0.0), F.col(box[2]) - F.col(box[0])) * F.greatest(F.lit(0.0), F.col(box[3]) - F.col(box[1]))
+    best = F.max(F.struct(area.alias("a"), *((-F.col(c)).alias(c) for c in box)))
+    out = df.where(F.col(frame) >= 0).groupBy(*keys, frame).agg(best.alias("_t_b"), F.max(score).alias("completeness"))
+    return out.select(*keys, frame, F.col("_t_b.a").alias("area"), *((-F.col(f"_t_b.{c}")).alias(c) for c in box), "completeness")
+
+
+def index_groups(df: DataFrame, keys: list[str], order: str, index: str, ts: str, gap_ns: int) -> DataFrame:
+    """``df`` with a group that grows where the index jumps by over one, or the time by over the gap; unknown times (null) carry
+    the last known one."""
+    w = Window.partitionBy(*keys).orderBy(order)
+    before = F.last(ts, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    jump = F.coalesce(F.col(index) - F.lag(index).over(w) > 1, F.lit(False)) | F.coalesce(F.col(ts) - before > gap_ns, F.lit(False))
+    return df.withColumn("_t_j", jump.cast("int")).withColumn("continuity_group", F.sum("_t_j").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_t_j")
+
+
 def encode_mask(mask: np.ndarray) -> list[int]:
     """Run lengths of a binary mask, column by column, starting with zeros."""
     flat = np.asarray(mask, bool).ravel(order="F")

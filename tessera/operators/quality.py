@@ -108,3 +108,37 @@ def missing_keys(required: DataFrame, present: DataFrame, keys: list[str]) -> Da
 def union_of(frames: list[DataFrame]) -> DataFrame:
     """Detectors' outputs as one table; missing columns are null."""
     return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), frames)
+
+
+def applicable(df: DataFrame, profiles: DataFrame, key: str, flag: str) -> DataFrame:
+    """Rows whose profile says so; profiles are a small dimension, and unknown ones don't apply."""
+    return df.join(profiles.where(F.col(flag)).select(key).distinct(), key, "left_semi")
+
+
+def first_evidence(df: DataFrame, keys: list[str], order: str, value: str, most: int) -> DataFrame:
+    """The first ``most`` values of each key by order, as an array, and how many there are; only those rows are gathered."""
+    ranked = df.withColumn("_t_r", F.row_number().over(Window.partitionBy(*keys).orderBy(order)))
+    n = F.count(F.lit(1)).alias("n")
+    kept = F.array_sort(F.collect_list(F.when(F.col("_t_r") <= most, F.struct("_t_r", F.col(value).alias("v")))))
+    return ranked.groupBy(*keys).agg(n, F.transform(kept, lambda x: x["v"]).alias("evidence"))
+
+
+def every_kth(df: DataFrame, keys: list[str], order: str, most: int) -> DataFrame:
+    """At most ``most`` rows of each key, evenly spaced: places int(i * n / most), or all rows if they are few."""
+    w = Window.partitionBy(*keys)
+    placed = df.withColumns({"_t_i": F.row_number().over(w.orderBy(order)) - 1, "_t_n": F.count(F.lit(1)).over(w)})
+    step = F.col("_t_n") / most
+    slot = F.ceil(F.col("_t_i") / step)
+    hit = (F.col("_t_n") <= most) | ((slot < most) & (F.floor(slot * step) == F.col("_t_i")))
+    return placed.where(hit).drop("_t_i", "_t_n")
+
+
+def head_black_span(df: DataFrame, keys: list[str], order: str, ts: str, flag: str, least_ns: int, least_rows: int = 3) -> DataFrame:
+    """Where a stream starts after its leading flagged rows: the next row's time if these last ``least_ns`` or are ``least_rows``
+    or more, else the first row's; a stream that is flagged throughout starts at its first row."""
+    first = df.groupBy(*keys).agg(F.min(F.when(~F.coalesce(F.col(flag), F.lit(False)), F.col(order))).alias("_t_clear"))
+    rows = df.join(first, keys)
+    lead = F.col(order) < F.col("_t_clear")
+    g = rows.groupBy(*keys).agg(F.count_if(lead).alias("black_rows"), F.max(F.when(lead, F.col(ts))).alias("_t_z"), F.min_by(ts, order).alias("_t_a"), F.min(F.when(F.col(order) == F.col("_t_clear"), F.col(ts))).alias("_t_next"))
+    cut = (F.col("black_rows") > 0) & ((F.col("_t_z") - F.col("_t_a") >= least_ns) | (F.col("black_rows") >= least_rows))
+    return g.select(*keys, F.coalesce("black_rows", F.lit(0)).alias("black_rows"), F.when(F.coalesce(cut, F.lit(False)), F.col("_t_next")).otherwise(F.col("_t_a")).alias("start_ns"))

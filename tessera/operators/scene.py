@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -138,6 +141,28 @@ def merge_same_scenes(boundaries: list[tuple[int, bool]], start: int, end: int,
     return kept
 
 
+def merge_same(boundaries: DataFrame, sessions: DataFrame, keys: list[str], order: str, vector: str, embeddings: DataFrame, most: float) -> DataFrame:
+    """``merge_same_scenes`` for every key of at most a few thousand boundaries (timestamp_ns, is_hard_cut): two centres look
+    alike if the cosine of the embeddings (``order`` is their time) nearest before them is over ``most``."""
+    b = boundaries.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("timestamp_ns", "is_hard_cut"))).alias("_t_b"))
+    e = embeddings.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(order, vector))).alias("_t_e"))
+    rows = sessions.select(*keys, "start_ns", "end_ns").join(b, keys).join(e, keys)
+    kinds = ", ".join(f"{k} {sessions.schema[k].dataType.simpleString()}" for k in keys)
+
+    def run(parts):
+        for part in parts:
+            out = []
+            for row in part.to_dict("records"):
+                times = [int(x[order]) for x in row["_t_e"]]
+                unit = [np.asarray(x[vector], float) / max(float(np.linalg.norm(x[vector])), 1e-300) for x in row["_t_e"]]
+                at = lambda t: unit[max(0, bisect_right(times, t) - 1)]  # noqa: B023, E731
+                kept = merge_same_scenes([(int(x["timestamp_ns"]), bool(x["is_hard_cut"])) for x in row["_t_b"]], int(row["start_ns"]), int(row["end_ns"]), lambda p, q: float(at(p) @ at(q)), most)  # noqa: B023
+                out += [{**{k: row[k] for k in keys}, "timestamp_ns": t, "is_hard_cut": h} for t, h in kept]
+            yield pd.DataFrame(out, columns=[*keys, "timestamp_ns", "is_hard_cut"])
+
+    return rows.mapInPandas(run, f"{kinds}, timestamp_ns bigint, is_hard_cut boolean")
+
+
 def scenes(boundaries: DataFrame, sessions: DataFrame, keys: list[str], least_ns: int) -> DataFrame:
     """Boundaries (timestamp_ns, confidence) to scenes from the session's start_ns to its end_ns: place, start, end, the mean
     confidence of the one or two boundaries (0 without), short_span."""
@@ -154,8 +179,8 @@ def representative_frames(df: DataFrame, start: str, end: str, fps: float, frame
     """Scenes with their first, middle and last frame, clamped to the frames there are."""
     rel = lambda c: (F.col(c) - F.col(session_start)) * fps / 1e9
     last = F.col(frames) - 1
-    first = F.least(F.greatest(F.ceil(rel(start)).cast("bigint"), F.lit(0)), last)
-    final = F.least(F.greatest(F.floor(rel(end)).cast("bigint") - 1, first), last)
+    first = F.greatest(F.lit(0), F.least(last, F.floor(rel(start)).cast("bigint")))
+    final = F.greatest(first, F.least(last, F.ceil(rel(end)).cast("bigint") - 1))
     return df.withColumns({"first_frame": first, "middle_frame": F.floor((first + final) / 2), "last_frame": final})
 
 
