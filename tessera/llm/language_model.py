@@ -126,18 +126,17 @@ class Vocabulary:
         return len(self.words)
 
 
-def vocabulary(kinds: DataFrame, frequent: int = FREQUENT, classes: int = CLASSES) -> Vocabulary:
-    """From (word, kind, n); at most ``frequent`` words with their profiles are collected."""
-    counts = kinds.groupBy("word").agg(F.sum("n").alias("n"), F.collect_list(F.struct("kind", "n")).alias("of"))
-    total = kinds.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    distinct = kinds.select("word").distinct().count()
-    top = counts.where((F.col("n") >= 2) | (F.col("word") == F.lit(END))).orderBy(F.desc("n"), "word").limit(frequent).collect()
-    number = {bytes(r["word"]): i for i, r in enumerate(top)}
-    n = np.array([r["n"] for r in top], np.float64)
-    profiles = np.zeros((len(top), KINDS), np.float32)
-    for i, r in enumerate(top):
-        for kind, m in r["of"]:
-            profiles[i, kind] = m
+def vocabulary(kinds: DataFrame, counts: DataFrame, frequent: int = FREQUENT, classes: int = CLASSES) -> Vocabulary:
+    """From (word, kind, n) and (word, n); at most ``frequent`` words, with a count for each kind, are collected."""
+    spark = kinds.sparkSession
+    whole = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
+    top = counts.where((F.col("n") >= 2) | (F.col("word") == F.lit(END))).orderBy(F.desc("n"), "word").limit(frequent).toArrow()
+    number = {w: i for i, w in enumerate(top["word"].to_pylist())}
+    n = top["n"].to_numpy().astype(np.float64)
+    listed = F.broadcast(spark.createDataFrame(pa.table({"word": top["word"], "id": pa.array(range(len(n)), pa.int32())})))
+    of_kind = kinds.join(listed, "word").select("id", F.col("kind").cast("tinyint"), "n").toArrow()
+    profiles = np.zeros((len(n), KINDS), np.float32)
+    profiles[of_kind["id"].to_numpy(), of_kind["kind"].to_numpy()] = of_kind["n"].to_numpy()
     of = np.append(cluster(profiles, n, classes), classes).astype(np.int32)  # the last is the rare words'
     if END in number:
         of[number[END]] = classes + 1
@@ -146,7 +145,7 @@ def vocabulary(kinds: DataFrame, frequent: int = FREQUENT, classes: int = CLASSE
     used[np.unique(of)] = True
     used[classes + 1] = True
     share = np.append(np.log10(n / in_class[of[:-1]]), 0.0) if len(n) else np.zeros(1)
-    return Vocabulary(number, np.append(n, 0), of, share, int(total), distinct, int(total - n.sum()), distinct - len(top), used)
+    return Vocabulary(number, np.append(n, 0), of, share, int(whole["n"]), whole["v"], int(whole["n"] - n.sum()), whole["v"] - len(n), used)
 
 
 def _features(rows: list[np.ndarray], start: int, buckets: int) -> np.ndarray:
@@ -268,7 +267,8 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent:
     narrow = docs.select(F.col(doc_id).alias("doc_id"), is_held_out(doc_id).alias("held_out"), utf8(text).alias("text"))
     training = narrow.where("not held_out").select("text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)).alias("part"))
     kinds = written(word_counts(training.select("text")), "word-counts")
-    v = vocabulary(kinds, frequent)
+    counts = written(kinds.groupBy("word").agg(F.sum("n").alias("n")), "counts")
+    v = vocabulary(kinds, counts, frequent)
     weights = train(training, v, buckets, rounds)
     vocab, shared = _send(spark, "vocabulary", v), _send(spark, "weights", weights)
 
@@ -319,7 +319,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent:
     scored = written(narrow.mapInArrow(run, f"row bigint, doc_id {kind_of_id}, held_out boolean, n_tokens bigint, n_known bigint, base double, model double, rare array<bigint>, times array<bigint>"), "scored")
     frequent_words = F.broadcast(spark.createDataFrame(pa.table({"word": pa.array(list(v.words), pa.binary())})))
     # words whose count may be wanted: all but the frequent ones
-    hashed = kinds.join(frequent_words, "word", "left_anti").groupBy("word").agg(F.sum("n").alias("n"))
+    hashed = counts.join(frequent_words, "word", "left_anti")
 
     def hashes(batches):
         for b in batches:
