@@ -1,8 +1,8 @@
 """Hashed maximum-entropy language model with a class-factored softmax.
 
 P(word | history) = P(class | history) * P(word | class).  The class is a maximum-entropy model over hashed features of the
-history: the word before, the two words before (n-grams), and the second and third word before by themselves (skips).  Within
-a class the maximum-entropy solution over the words' own features is their relative frequency.
+history: the word before and the two words before (n-grams), and the second word before by itself (a skip).  Within a class
+the maximum-entropy solution over the words' own features is their relative frequency.
 
 1. Words are counted over all training documents (combined in each task, then shuffled by word), along with the kind of
    document they stand in (a hash of its most common word).
@@ -20,6 +20,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -33,14 +34,14 @@ from tessera.llm.common import LOWER, scratch, small_batches, utf8, written
 
 FREQUENT = 65_536
 KINDS = 32
-CLASSES = 24
+CLASSES = 14
 BUCKETS = 1 << 15
 ROUNDS = 2
 STEP = 0.3
-BATCH = 4096
+BATCH = 8192
 SHARDS = 16
 END = b"\n"  # no word has white space
-_FLUSH = 200_000
+_FLUSH = 1_000_000
 
 
 def words(text: bytes) -> list[bytes]:
@@ -62,23 +63,21 @@ def word_counts(training: DataFrame) -> DataFrame:
     """(word, kind, n) from (text bytes): tokens, the ends included, combined in each task before they are shuffled."""
 
     def run(batches):
-        held: dict[int, Counter] = {}
+        held: dict[int, list[bytes]] = {}
         size = 0
 
         def flush():
-            rows = [(w, k, n) for k, c in held.items() for w, n in c.items()]
+            rows = [(w, k, n) for k, ws in held.items() for w, n in Counter(ws).items()]
             held.clear()
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int64())], names=["word", "kind", "n"])
 
         for b in batches:
             for t in b.column(0).to_pylist():
-                c = Counter(words(t))
-                kind = zlib.crc32(max(c.items(), key=lambda x: (x[1], x[0]))[0]) % KINDS if c else 0
-                c[END] = 1
-                into = held.setdefault(kind, Counter())
-                before = len(into)
-                into.update(c)
-                size += len(into) - before
+                ws = words(t)
+                kind = zlib.crc32(Counter(ws).most_common(1)[0][0]) % KINDS if ws else 0
+                ws.append(END)
+                held.setdefault(kind, []).extend(ws)
+                size += len(ws)
                 if size > _FLUSH:
                     yield flush()
                     size = 0
@@ -149,44 +148,52 @@ def vocabulary(kinds: DataFrame, counts: DataFrame, frequent: int = FREQUENT, cl
 
 
 def _features(rows: list[np.ndarray], start: int, buckets: int) -> np.ndarray:
-    """Feature buckets of each token of padded rows: bias, n-grams and skips."""
-    w1, w2, w3 = (np.concatenate([r[3 - k : len(r) - k] for r in rows]).astype(np.uint64) for k in (1, 2, 3))
-    out = np.zeros((len(w1), 5), np.int64)
-    for i, x in enumerate((w1, w2 + np.uint64(1 << 32), w3 + np.uint64(2 << 32), w1 * np.uint64(start + 1) + w2 + np.uint64(3 << 32)), 1):
-        h = (x + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-        out[:, i] = 1 + ((h >> np.uint64(32)) % np.uint64(buckets - 1)).astype(np.int64)
+    """Feature buckets of each token of padded rows: n-grams and a skip; every token also has the bias, bucket 0."""
+    w1, w2 = (np.concatenate([r[2 - k : len(r) - k] for r in rows]).astype(np.uint64) for k in (1, 2))
+    out = np.empty((len(w1), 3), np.uint16)
+    for i, x in enumerate((w1, w2 + np.uint64(1 << 32), w1 * np.uint64(start + 1) + w2 + np.uint64(2 << 32))):
+        h = ((x + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+        out[:, i] = 1 + h % np.uint64(buckets - 1)
     return out
 
 
 def _numbered(text: bytes, v: Vocabulary) -> tuple[list[bytes], np.ndarray]:
     ws = words(text)
-    get, rare, start = v.words.get, v.rare, v.rare + 1
-    return ws, np.array([start, start, start, *(get(w, rare) for w in ws), get(END, rare)], np.int64)
+    get, rare, start, n = v.words.get, v.rare, v.rare + 1, len(ws)
+    ids = np.empty(n + 3, np.int64)
+    ids[:2] = start
+    ids[2:-1] = np.fromiter(map(get, ws, repeat(rare)), np.int64, n)
+    ids[-1] = get(END, rare)
+    return ws, ids
 
 
 def _log_softmax(weights: np.ndarray, features: np.ndarray, used: np.ndarray) -> np.ndarray:
     z = weights[features[:, 0]]
     for i in range(1, features.shape[1]):
-        z = z + weights[features[:, i]]
+        z += weights[features[:, i]]
+    z += weights[0]
     z[:, ~used] = -np.inf
     z -= z.max(1, keepdims=True)
-    return z - np.log(np.exp(z).sum(1, keepdims=True))
+    z -= np.log(np.exp(z).sum(1, keepdims=True))
+    return z
 
 
 def gradient_steps(weights: np.ndarray, sums: np.ndarray, features: np.ndarray, classes: np.ndarray, used: np.ndarray, step: float = STEP) -> None:
-    """AdaGrad steps in place over mini-batches of (features, class)."""
+    """AdaGrad steps in place over mini-batches of (features, class); features are at most 16 bits, so they sort by radix."""
     for i in range(0, len(classes), BATCH):
         f, y = features[i : i + BATCH], classes[i : i + BATCH]
         g = np.exp(_log_softmax(weights, f, used))
         g[np.arange(len(y)), y] -= 1
-        flat = f.ravel()
-        order = np.argsort(flat, kind="stable")
-        at = flat[order]
-        first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-        total = np.add.reduceat(g[order // f.shape[1]], first, axis=0)
-        rows = at[first]
-        sums[rows] += total * total
-        weights[rows] -= step * total / np.sqrt(sums[rows] + 1e-6)
+        rows, totals = [np.zeros(1, np.int64)], [g.sum(0, keepdims=True)]
+        for k in range(f.shape[1]):
+            order = np.argsort(f[:, k], kind="stable")
+            at = f[order, k]
+            first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+            rows.append(at[first].astype(np.int64))
+            totals.append(np.add.reduceat(g[order], first, axis=0))
+        for at, total in zip(rows, totals, strict=True):
+            sums[at] += total * total
+            weights[at] -= step * total / np.sqrt(sums[at] + 1e-6)
 
 
 def _value(sent, cache: dict = {}):  # noqa: B006  a worker process keeps the last value of each name
@@ -216,8 +223,8 @@ def train(training: DataFrame, v: Vocabulary, buckets: int = BUCKETS, rounds: in
 
             def learn():
                 f = _features(rows, v.rare + 1, len(own))
-                y = v.classes[np.concatenate([x[3:] for x in rows])]
-                y = np.where(np.concatenate([np.arange(3, len(x)) == len(x) - 1 for x in rows]), len(v.used) - 1, y)
+                y = v.classes[np.concatenate([x[2:] for x in rows])]
+                y = np.where(np.concatenate([np.arange(2, len(x)) == len(x) - 1 for x in rows]), len(v.used) - 1, y)
                 gradient_steps(own, sums, f, y, v.used)
                 return len(y)
 
@@ -283,8 +290,8 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent:
 
             def flush(rows=rows, left=left, out=out):
                 f = _features(rows, v.rare + 1, len(w))
-                ids = np.concatenate([x[3:] for x in rows])
-                last = np.concatenate([np.arange(3, len(x)) == len(x) - 1 for x in rows])
+                ids = np.concatenate([x[2:] for x in rows])
+                last = np.concatenate([np.arange(2, len(x)) == len(x) - 1 for x in rows])
                 y = np.where(last, ends, v.classes[ids])
                 model = np.empty(len(ids))
                 for i in range(0, len(ids), 8 * BATCH):
@@ -293,16 +300,16 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent:
                 here = ids < v.rare
                 model += np.where(last, 0.0, v.log_in_class[ids])
                 base = np.where(here | last, known[ids], 0.0)
-                at = np.concatenate(([0], np.cumsum([len(x) - 3 for x in rows])[:-1]))
+                at = np.concatenate(([0], np.cumsum([len(x) - 2 for x in rows])[:-1]))
                 hit = here & (~last | end_known)
-                out.extend(zip((len(x) - 3 for x in rows), np.add.reduceat(hit.astype(np.int64), at).tolist(), np.add.reduceat(base, at).tolist(), np.add.reduceat(model, at).tolist(), strict=True))
+                out.extend(zip((len(x) - 2 for x in rows), np.add.reduceat(hit.astype(np.int64), at).tolist(), np.add.reduceat(base, at).tolist(), np.add.reduceat(model, at).tolist(), strict=True))
                 rows.clear()
 
             size = 0
             for t in b.column(2).to_pylist():
                 ws, ids = _numbered(t, v)
                 rows.append(ids)
-                rare = Counter(x for x, i in zip(ws, ids[3:].tolist(), strict=False) if i == v.rare)
+                rare = Counter([ws[i] for i in np.flatnonzero(ids[2:-1] == v.rare)])
                 left.append([_hash(x) for x in rare])
                 lost.append(list(rare.values()))
                 size += len(ids)
