@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import small_batches, utf8
+from tessera.llm.common import small_batches, utf8, written
 
 VOCABULARY = "byte_bpe_50k"
 
@@ -68,14 +68,14 @@ def length_histogram(docs: DataFrame, text: str = "text", vocabulary: str = VOCA
     return lengths(docs, text, vocabulary).groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
-def suffix_sums(histogram: DataFrame, width: int = 4096) -> DataFrame:
+def suffix_sums(histogram: DataFrame, width: int = 256) -> DataFrame:
     """The histogram with, for each length L taken as a context limit, what all documents come to.
 
     docs_ge and tokens_ge: documents of at least L tokens, and their tokens; total_docs, total_tokens; truncated_tokens:
     sum of min(length, L); rank: documents of at most L tokens.  The sums run within ranges of ``width`` lengths, and over
-    the ranges' totals, so that no task gets all lengths.
+    the ranges' totals, so that no task gets all lengths; the histogram is written first, as it is used twice.
     """
-    h = histogram.withColumn("_t_r", F.floor(F.col("n_tokens") / width)).withColumn("_t_w", F.col("n_tokens") * F.col("n_docs"))
+    h = written(histogram, "histogram").withColumn("_t_r", F.floor(F.col("n_tokens") / width)).withColumn("_t_w", F.col("n_tokens") * F.col("n_docs"))
     ranges = h.groupBy("_t_r").agg(F.sum("n_docs").alias("_t_d"), F.sum("_t_w").alias("_t_t"))
     above = Window.orderBy(F.desc("_t_r")).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
