@@ -69,3 +69,10 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total:
     at_hot = rows.join(hot, key)
     at_cold = rows.join(F.broadcast(groups.where(F.col(size) > least).select(key)), key, "left_anti").join(cold, key, how)
     return at_hot.unionByName(at_cold)
+
+
+def discard(spark: SparkSession) -> None:
+    """Delete what ``written`` and ``scratch`` have left of this application; results that read it are lost with it."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -94,7 +94,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", context: i
     groups = max(1, -(-cut.count() // group_size))
     drawn = cut.withColumn("grp", F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(seed)), F.lit(groups)))
 
-    def run(key, part: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["start", "ids_crc32", "length", "doc_tokens"], kind="stable") if len(part) else part
         placed = first_fit_decreasing(part["length"].tolist(), context)
         part["sequence_id"] = [(int(key[0]) << 32) + b for b, _ in placed]
