@@ -289,3 +289,43 @@ def test_frames(spark):
     assert s[2]["all_zero"] and s[2]["valid_ratio"] == 0.0 and s[3]["all_zero"]
     t = spark.createDataFrame([("v", 0, 0.0, 0.0, 10.0, 10.0), ("v", 1, 1.0, 1.0, 11.0, 11.0), ("v", 1, 50.0, 50.0, 60.0, 60.0), ("v", 2, 51.0, 50.0, 61.0, 60.0)], "k string, f int, a double, b double, c double, d double")
     assert [r["track_id"] for r in frames.match_tracks(t, "k", "f", ["a", "b", "c", "d"]).orderBy("f", "a").collect()] == [0, 0, 1, 1]
+
+
+def test_continuity_is_recomputed(spark):
+    rows = timeline.continuity(stream(spark, [0, 10, 5, 6]), ["k"], "i", "t", 100)
+    good = rows.withColumn("stored", F.col("continuity_group"))
+    assert tuple(validate.continuity_holds(good, ["k"], "i", "stored", "t", "continuity_group").first())[1:] == (0, 0, 0, 0)
+    bad = rows.withColumn("stored", F.when(F.col("i") < 3, 1).otherwise(3).cast("bigint"))
+    assert tuple(validate.continuity_holds(bad, ["k"], "i", "stored", "t", "continuity_group").first())[1:] == (1, 1, 1, 3)
+
+
+def test_regions_are_averaged_with_the_frame_before(spark):
+    df = spark.createDataFrame([("v", 0, 0.0, 0.0, 10.0, 10.0), ("v", 1, 2.0, 0.0, 12.0, 10.0), ("v", 2, 90.0, 90.0, 99.0, 99.0)], "k string, f int, a double, b double, c double, d double")
+    assert rows(privacy.smooth_regions(df, "k", "f", ["a", "b", "c", "d"]), "f", "a", "c") == [(0, 0.0, 10.0), (1, 1.0, 11.0), (2, 90.0, 99.0)]
+
+
+def test_representative_frames(spark):
+    df = spark.createDataFrame([(0, 10**9, 30), (10**9, 10**9 + 1, 31), (9 * 10**9, 10**10, 30)], "a bigint, z bigint, n bigint").withColumn("s", F.lit(0).cast("bigint"))
+    got = scene.representative_frames(df, "a", "z", 30.0, "n", "s")
+    assert rows(got, "first_frame", "middle_frame", "last_frame") == [(0, 14, 29), (29, 29, 29), (30, 30, 30)]
+
+
+def test_redaction_and_distinct_classification(spark):
+    df = spark.createDataFrame([("call 13912345678", 1), ("call 13912345678", 2), ("none", 3), (None, 4)], "t string, n int")
+    seen = []
+
+    def classify(texts):
+        seen.append(texts.count())
+        return texts.withColumn("category", privacy.strong_identifier(F.col("t")))
+
+    got = privacy.classify_distinct(df, "t", classify)
+    assert rows(got, "n", "category") == [(1, "phone"), (2, "phone"), (3, ""), (4, None)] and seen == [3]
+    assert df.select(privacy.redacted(F.col("t")).alias("x")).first()["x"] == "call [REDACTED]"
+
+
+def test_fused_reasons_and_short_spans(spark):
+    spans = spark.createDataFrame([("s", 0, 4), ("s", 5, 6)], "k string, a bigint, z bigint")
+    n = spark.createDataFrame([("s", 20)], "k string, n bigint")
+    assert rows(intervals.invert(spans, n, ["k"], "a", "z", "n"), "a", "z") == [(4, 5), (6, 20)]
+    assert rows(intervals.keep_long(spans, n, ["k"], "a", "z", "n", 0, 3), "a", "z") == [(6, 20)]
+    assert rows(intervals.keep_long(spans, n, ["k"], "a", "z", "n", 1, 15), "a", "z") == []
