@@ -6,8 +6,10 @@ and verifies the complete distance.  With the default layout (two segments of 32
 most two bits either differ in at most one bit of the first segment or agree in the second, so no link is lost.
 
 Equal fingerprints are one node, so exact copies never meet in pairs, and a node has at most 2080 others within two bits:
-links grow with the nodes.  For wide distances (``stars``) every table entry is first linked with the smallest node of its
-value, and only pairs that these links leave apart are then looked for, so that a large group doesn't emit its pairs.
+links grow with the nodes.  For wide distances (``stars``) every table entry is first linked with up to ``HEADS`` entries of
+its value, and only pairs that these links leave apart are then looked for, so that a large group doesn't emit its pairs.
+There a second, longer fingerprint (``check``) of wider shingles decides: the first one only says which table entries are
+fetched; their distance is verified over the second one's first words in the join and over all its words after it.
 """
 
 from __future__ import annotations
@@ -27,13 +29,18 @@ from tessera.llm.components import components
 SEED = 42
 #: (which 64-bit word, lowest bit, width, ball radius); complete for a distance of 2.
 TWO_BITS = ((0, 32, 32, 1), (0, 0, 32, 0))
-#: For the pipeline: three words of 64 bits, nine segments of 21 bits.
-WIDE = tuple((w, 21 * i, 21, 1) for w in range(3) for i in range(3))
+#: For the pipeline: two words of 64 bits, five segments of 18 bits.
+WIDE = ((0, 0, 18, 1), (0, 18, 18, 1), (0, 36, 18, 1), (1, 0, 18, 1), (1, 18, 18, 1))
+#: Table entries of one value that others are first linked with.
+HEADS = 8
 #: For stages on five-word shingles with a similarity (Jaccard) of 0.8 or more.  A word that differs breaks five five-word
-#: shingles but two two-word ones: pairs at 0.8 agree on 0.915 of their two-word shingles, and 192-bit fingerprints of
-#: those differ in 18 bits on average; the layout meets them with a probability of 0.99.
-FIVE_WORDS = {"shingle": 2, "layout": WIDE, "most": 20, "longs": 3, "stars": True}
-_MIX = (0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+#: shingles but two two-word ones: pairs at 0.8 agree on 0.915 of their two-word shingles, whose fingerprints differ in
+#: 0.095 of their bits on average; the layout fetches such pairs with a probability of 0.96 (0.99 at 0.85).  Fetched pairs are held to
+#: the distance of their five-word shingles' 512-bit fingerprints: 78 bits on average at 0.8, 99 at 0.7, deviation 8; its
+#: first 256 bits (39 and 49, deviation 6) are looked at in the join.
+#: check: words a shingle, 64-bit words, bits at most, 64-bit words in the join, bits at most there.
+FIVE_WORDS = {"shingle": 2, "layout": WIDE, "longs": 2, "stars": True, "check": (5, 8, 84, 4, 46)}
+_GOLDEN = 0x9E3779B97F4A7C15
 _CHUNK = 1 << 15
 
 
@@ -41,7 +48,7 @@ def _mixed(h: np.ndarray, k: int) -> np.ndarray:
     """The k-th independent hash from the first (splitmix64's finaliser); the 0th is the hash itself."""
     if not k:
         return h
-    z = h + np.uint64(_MIX[k])
+    z = h + np.uint64(k * _GOLDEN & (1 << 64) - 1)
     z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return z ^ (z >> np.uint64(31))
@@ -70,27 +77,44 @@ def fingerprint(text: bytes, shingle: int = 3, longs: int = 1) -> list[int]:
     return out
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, longs: int = 1) -> DataFrame:
-    """(doc_id, f0, f1, ...): one row per row of ``docs``; a null text counts as empty, whose fingerprint is zero."""
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, longs: int = 1, check: tuple[int, int, int, int, int] | None = None) -> DataFrame:
+    """(doc_id, f0, f1, ...): one row per row of ``docs``; a null text counts as empty, whose fingerprint is zero.
+
+    With ``check`` also e0, e1, ... of the second fingerprint.  ``text_key`` is a hash
+    of the text, which with the id names a row.
+    """
     small_batches(docs.sparkSession)
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches):
         for b in batches:
-            found = [fingerprint(t, shingle, longs) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([f[k] for f in found], pa.int64()) for k in range(longs))], names=["doc_id", *(f"f{k}" for k in range(longs))])
+            texts = b.column(2).to_pylist()
+            found = [fingerprint(t, shingle, longs) + (fingerprint(t, check[0], check[1]) if check else []) for t in texts]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array([f[k] for f in found], pa.int64()) for k in range(len(names)))], names=["doc_id", "text_key", *names])
+
+    names = [f"f{k}" for k in range(longs)] + [f"e{k}" for k in range(check[1] if check else 0)]
+    fields = ", ".join(f"{n} bigint" for n in names)
+    return docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_key"), utf8(text).alias("_t_text")).mapInArrow(run, f"doc_id {kind}, text_key bigint, {fields}")
+
 
-    fields = ", ".join(f"f{k} bigint" for k in range(longs))
-    return docs.select(F.col(doc_id).alias("doc_id"), utf8(text).alias("_t_text")).mapInArrow(run, f"doc_id {kind}, {fields}")
+def _distance(longs: int, a: str = "f", b: str = "g") -> Column:
+    return reduce(lambda x, y: x + y, (F.bit_count(F.col(f"{a}{k}").bitwiseXOR(F.col(f"{b}{k}"))) for k in range(longs)))
 
 
-def _distance(longs: int) -> Column:
-    return reduce(lambda a, b: a + b, (F.bit_count(F.col(f"f{k}").bitwiseXOR(F.col(f"g{k}"))) for k in range(longs)))
+def _held(pairs: DataFrame, nodes: DataFrame, check: tuple[int, int, int, int, int] | None) -> DataFrame:
+    """The pairs (u, v, ...) whose second fingerprints are near enough; both sides of each join are exchanged, so that Spark
+    can split a node that has very many pairs."""
+    if check is None:
+        return pairs
+    _, longs, most, _, _ = check
+    side = lambda name, p: nodes.select(F.col("node").alias(name), *(F.col(f"e{k}").alias(f"{p}{k}") for k in range(longs)))
+    both = written(pairs.distinct(), "pairs").hint("merge").join(side("u", "e"), "u").hint("merge").join(side("v", "d"), "v")
+    return both.where(_distance(longs, "e", "d") <= most).select(*pairs.columns)
 
 
 def _segments(layout) -> Column:
-    """All (segment, value) of a fingerprint."""
-    return F.array(*(F.struct(F.lit(i).alias("seg"), _value(w, low, width).alias("val")) for i, (w, low, width, _) in enumerate(layout)))
+    """The keys (segment number above the segment's value) that a fingerprint is filed under."""
+    return F.array(*(_value(w, low, width).bitwiseOR(F.lit(i << 33)) for i, (w, low, width, _) in enumerate(layout)))
 
 
 def _value(word: int, low: int, width: int) -> Column:
@@ -98,11 +122,11 @@ def _value(word: int, low: int, width: int) -> Column:
 
 
 def _around(seg: int, value: Column, flips: Column) -> Column:
-    return F.transform(flips, lambda x: F.struct(F.lit(seg).alias("seg"), value.bitwiseXOR(x).alias("val")))
+    return F.transform(flips, lambda x: value.bitwiseXOR(x).bitwiseOR(F.lit(seg << 33)))
 
 
 def _balls(layout) -> Column:
-    """All (segment, value) in the segments' balls, the fingerprint's own values included."""
+    """All keys in the segments' balls, the fingerprint's own included."""
     out = []
     for i, (w, low, width, radius) in enumerate(layout):
         flips = [sum(1 << b for b in bits) for r in range(radius + 1) for bits in combinations(range(width), r)]
@@ -110,60 +134,63 @@ def _balls(layout) -> Column:
     return F.concat(*out)
 
 
-def links(nodes: DataFrame, layout=TWO_BITS, most: int = 2, longs: int = 1, stars: bool = False) -> DataFrame:
-    """Links (u, v) between nodes (node, f0, ...) of distinct fingerprints, at most ``most`` bits apart.
+def links(nodes: DataFrame, layout=TWO_BITS, most: int = 2, longs: int = 1, stars: bool = False, check: tuple[int, int, int, int, int] | None = None) -> DataFrame:
+    """Links (u, v) between nodes (node, f0, ..., e0, ...) of distinct fingerprints, at most ``most`` bits apart (or, with
+    ``check``, as that says).
 
     Without ``stars`` all links that the layout reaches; with it enough of them to connect what all of them connect.
     """
-    own = [F.col(f"f{k}") for k in range(longs)]
-    filed = nodes.select("node", *own, F.explode(_segments(layout)).alias("s")).select("node", *(f"f{k}" for k in range(longs)), "s.*")
-    near = _distance(longs) <= most
-    table = filed.select(F.col("node").alias("v"), *(F.col(f"f{k}").alias(f"g{k}") for k in range(longs)), "seg", "val")
-    probes = nodes.select("*", F.explode(_balls(layout)).alias("s")).select(*nodes.columns, "s.*")
+    own = [f"e{k}" for k in range(check[3])] if check else [f"f{k}" for k in range(longs)]
+    theirs = [F.col(c).alias(f"g{k}") for k, c in enumerate(own)]
+    near = _distance(len(own), own[0][0]) <= (check[4] if check else most)
     if not stars:
-        return probes.hint("merge").join(table, ["seg", "val"]).where((F.col("node") < F.col("v")) & near).select(F.col("node").alias("u"), "v")
-    heads = table.groupBy("seg", "val").agg(F.min(F.struct("v", *(f"g{k}" for k in range(longs)))).alias("h"), F.count(F.lit(1)).alias("n")).where("n > 1").select("seg", "val", "h.*")
-    heads = written(heads, "heads")
-    first = written(filed.hint("merge").join(heads, ["seg", "val"]).where((F.col("node") > F.col("v")) & near).select(F.col("node").alias("u"), "v"), "stars")
+        table = nodes.select(F.col("node").alias("v"), *theirs, F.explode(_segments(layout)).alias("key"))
+        probes = nodes.select("node", *own, F.explode(_balls(layout)).alias("key"))
+        return _held(probes.hint("merge").join(table, "key").where((F.col("node") < F.col("v")) & near).select(F.col("node").alias("u"), "v"), nodes, check)
+    filed = nodes.select("node", *own, F.explode(_segments(layout)).alias("key"))
+    heads = filed.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(HEADS)).alias("part")).agg(F.min("node").alias("v")).select("key", "v")
+    heads = written(heads.hint("merge").join(nodes.select(F.col("node").alias("v"), *theirs), "v"), "heads")
+    starred = filed.hint("merge").join(heads, "key").where((F.col("node") > F.col("v")) & near).select(F.col("node").alias("u"), "v")
+    first = written(_held(starred, nodes, check), "stars")
     comp = written(components(first), "star-components")
-    named = nodes.join(comp, "node", "left").withColumn("c", F.coalesce("comp", "node")).drop("comp")
-    named = written(named, "star-nodes")
-    table = named.select("*", F.explode(_segments(layout)).alias("s")).select(F.col("node").alias("v"), F.col("c").alias("d"), *(F.col(f"f{k}").alias(f"g{k}") for k in range(longs)), "s.*")
-    probes = named.select("*", F.explode(_balls(layout)).alias("s")).select("node", "c", *(f"f{k}" for k in range(longs)), "s.*")
-    rest = probes.hint("merge").join(table, ["seg", "val"]).where((F.col("node") < F.col("v")) & (F.col("c") != F.col("d")) & near).select(F.col("c").alias("u"), F.col("d").alias("v"))
-    return first.unionByName(rest)
+    named = written(nodes.join(comp, "node", "left").withColumn("c", F.coalesce("comp", "node")).drop("comp"), "star-nodes")
+    table = named.select(F.col("node").alias("v"), F.col("c").alias("d"), *theirs, F.explode(_segments(layout)).alias("key"))
+    probes = named.select("node", "c", *own, F.explode(_balls(layout)).alias("key"))
+    apart = (F.col("node") < F.col("v")) & (F.col("c") != F.col("d"))
+    rest = probes.hint("merge").join(table, "key").where(apart & near).select(F.col("node").alias("u"), "v", "c", "d")
+    return first.unionByName(_held(rest, nodes, check).select(F.col("c").alias("u"), F.col("d").alias("v")))
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, layout=TWO_BITS, most: int = 2, longs: int = 1, stars: bool = False) -> DataFrame:
-    """One row per row of ``docs``: doc_id, f0 (and f1, ...), component_id, component_size.
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, layout=TWO_BITS, most: int = 2, longs: int = 1, stars: bool = False, check: tuple[int, int, int, int, int] | None = None) -> DataFrame:
+    """One row per row of ``docs``: doc_id, text_key, f0 (and f1, ...), component_id, component_size.
 
     component_id is the smallest doc_id reachable over links, the row's own included.  Rows of equal fingerprints are
     linked (so are all rows without words, null texts included).  Null ids take part and never are a component_id, unless
     no row of the component has an id.  Rows that repeat an id are rows of their own.  Other columns are not read.
     """
-    prints = written(fingerprints(docs, doc_id, text, shingle, longs), "fingerprints")
-    words = [f"f{k}" for k in range(longs)]
+    prints = written(fingerprints(docs, doc_id, text, shingle, longs, check), "fingerprints")
+    words, extra = [f"f{k}" for k in range(longs)], [f"e{k}" for k in range(check[1] if check else 0)]
     name = F.col("f0") if longs == 1 else F.xxhash64(*words)
     prints = prints.withColumn("node", name)
-    nodes = prints.groupBy("node").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"), *(F.first(w).alias(w) for w in words))
+    nodes = prints.groupBy("node").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"), *(F.min(w).alias(w) for w in [*words, *extra]))
     nodes = written(nodes, "nodes")
-    comp = components(links(nodes.select("node", *words), layout, most, longs, stars))
+    comp = components(links(nodes.select("node", *words, *extra), layout, most, longs, stars, check))
     total = prints.count()
     linked = written(nodes.join(comp, "node").select("node", "least", "rows", "comp"), "linked")
     of_comp = linked.groupBy("comp").agg(F.min("least").alias("component_id"), F.sum("rows").alias("component_size"), F.count(F.lit(1)).alias("nodes"))
     with_comp = join_groups(linked, of_comp, "comp", "nodes", total).select("node", "rows", "component_id", "component_size")
     alone = nodes.join(linked.select("node"), "node", "left_anti").select("node", "rows", F.col("least").alias("component_id"), F.col("rows").alias("component_size"))
     known = written(with_comp.unionByName(alone), "known")
-    return join_groups(prints, known, "node", "rows", total).select("doc_id", *words, "component_id", "component_size")
+    return join_groups(prints, known, "node", "rows", total).select("doc_id", "text_key", *words, "component_id", "component_size")
 
 
 def drop_near(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """``docs`` without the rows that are not the smallest id of their component.
+    """``docs`` without the rows that are not the smallest id of their component; its columns in their order.
 
-    Rows that share that id (or, in a component without ids, all its rows) stay.  Only ids are shuffled besides the rows
-    that are looked up; the columns and their order are those of ``docs``.
+    Rows with that id and the same text stay together, as do all rows of a component without ids.  Rows go by id and text,
+    so another text under the same (or under no) id is not touched.
     """
     found = near_duplicates(docs, doc_id, text, **how)
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_t_id")).distinct()
-    keep = docs.join(gone, F.col(doc_id).eqNullSafe(F.col("_t_id")), "left_anti")
-    return keep
+    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_t_id"), F.col("text_key").alias("_t_text_key")).distinct()
+    same = (F.xxhash64(text) == F.col("_t_text_key")) & F.col(doc_id).eqNullSafe(F.col("_t_id"))
+    return docs.join(gone, same, "left_anti")
