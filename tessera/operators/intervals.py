@@ -117,7 +117,8 @@ def keep_long(spans: DataFrame, lengths: DataFrame, keys: list[str], first: str,
 def span_reasons(spans: DataFrame, rows: DataFrame, keys: list[str], first: str, past: str, index: str, reason: str, length: str, soft: tuple[str, ...]) -> DataFrame:
     """Spans with the sorted distinct reasons of the rows inside, and what follows: reject for the whole, quarantine where
     all reasons are soft, trim at an edge, else split.  ``spans`` also has the stream's ``length``."""
-    inside = spans.join(rows.select(*keys, index, reason), keys).where((F.col(index) >= F.col(first)) & (F.col(index) < F.col(past)))
+    places = spans.where(F.col(first) < F.col(past)).select(*keys, first, past, length, F.explode(F.sequence(F.col(first), F.col(past) - 1)).alias(index))
+    inside = places.join(rows.select(*keys, index, reason), [*keys, index])
     of = inside.groupBy(*keys, first, past, length).agg(F.array_sort(F.collect_set(reason)).alias("reasons"))
     allsoft = F.size(F.array_except("reasons", F.array(*(F.lit(s) for s in soft)))) == 0
     whole = (F.col(first) == 0) & (F.col(past) == F.col(length))

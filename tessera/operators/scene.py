@@ -74,9 +74,12 @@ def fuse(proposals: DataFrame, smoothed: DataFrame, keys: list[str], weights: di
 
 def joint_hard_cuts(clusters: DataFrame, low: DataFrame, high: DataFrame, keys: list[str], most: int) -> DataFrame:
     """``clusters`` (first_frame, last_frame) with is_hard_cut also set where a low-similarity and a high-motion frame within
-    the cluster are at most ``most`` apart.  ``low`` and ``high`` hold frame_index of such frames."""
-    pairs = low.select(*keys, F.col("frame_index").alias("_t_a")).join(high.select(*keys, F.col("frame_index").alias("_t_b")), keys).where(F.abs(F.col("_t_a") - F.col("_t_b")) <= most)
-    hit = clusters.select(*keys, "first_frame", "last_frame").join(pairs, keys).where("_t_a between first_frame and last_frame and _t_b between first_frame and last_frame").select(*keys, "first_frame", F.lit(True).alias("_t_hit")).distinct()
+    the cluster are at most ``most`` apart.  ``low`` and ``high`` hold frame_index of such frames.  All joins are on frames, so
+    their rows grow with the frames."""
+    near = F.explode(F.sequence(F.col("frame_index") - most, F.col("frame_index") + most)).alias("_t_b")
+    pairs = low.select(*keys, F.col("frame_index").alias("_t_a"), near).join(high.select(*keys, F.col("frame_index").alias("_t_b")), [*keys, "_t_b"])
+    frames = clusters.select(*keys, "first_frame", "last_frame", F.explode(F.sequence("first_frame", "last_frame")).alias("_t_a"))
+    hit = frames.join(pairs, [*keys, "_t_a"]).where("_t_b between first_frame and last_frame").select(*keys, "first_frame", F.lit(True).alias("_t_hit")).distinct()
     return clusters.join(hit, [*keys, "first_frame"], "left").withColumn("is_hard_cut", F.col("is_hard_cut") | F.coalesce("_t_hit", F.lit(False))).drop("_t_hit")
 
 
