@@ -41,12 +41,22 @@ def scores(tp: Column, fp: Column, fn: Column) -> tuple[Column, Column, Column]:
     return p, r, F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(0.0)
 
 
-def threshold_sweep(df: DataFrame, value: str, label: str, less_equal: bool = True) -> DataFrame:
-    """Every distinct value as a threshold, with its scores: values are counted, then summed up by running sums."""
+def threshold_sweep(df: DataFrame, value: str, label: str, less_equal: bool = True, ranges: int = 1024) -> DataFrame:
+    """Every distinct value as a threshold, with its scores.
+
+    Values are counted, then summed up by running sums within ``ranges`` equal ranges and over the ranges' totals, so that
+    only these totals meet in one task.
+    """
     per = df.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("threshold")).agg(F.count_if(F.col(label)).alias("_t_p"), F.count_if(~F.col(label)).alias("_t_n"))
-    w = Window.orderBy(F.col("threshold") if less_equal else F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    all_p = per.agg(F.sum("_t_p").alias("_t_all"))
-    got = per.withColumns({"tp": F.sum("_t_p").over(w), "fp": F.sum("_t_n").over(w)}).crossJoin(F.broadcast(all_p))
+    ends = per.agg(F.min("threshold").alias("_t_lo"), F.max("threshold").alias("_t_hi"), F.sum("_t_p").alias("_t_all"))
+    place = F.when(F.col("_t_hi") > F.col("_t_lo"), F.floor((F.col("threshold") - F.col("_t_lo")) / (F.col("_t_hi") - F.col("_t_lo")) * (ranges - 1))).otherwise(0)
+    laid = per.crossJoin(F.broadcast(ends)).withColumn("_t_r", place)
+    turn = (lambda c: F.col(c)) if less_equal else (lambda c: F.desc(c))
+    before = Window.orderBy(turn("_t_r")).rowsBetween(Window.unboundedPreceding, -1)
+    totals = laid.groupBy("_t_r").agg(F.sum("_t_p").alias("_t_sp"), F.sum("_t_n").alias("_t_sn"))
+    totals = totals.select("_t_r", F.coalesce(F.sum("_t_sp").over(before), F.lit(0)).alias("_t_bp"), F.coalesce(F.sum("_t_sn").over(before), F.lit(0)).alias("_t_bn"))
+    w = Window.partitionBy("_t_r").orderBy(turn("threshold")).rowsBetween(Window.unboundedPreceding, 0)
+    got = laid.join(F.broadcast(totals), "_t_r").withColumns({"tp": F.sum("_t_p").over(w) + F.col("_t_bp"), "fp": F.sum("_t_n").over(w) + F.col("_t_bn")})
     p, r, f = scores(F.col("tp"), F.col("fp"), F.col("_t_all") - F.col("tp"))
     return got.select("threshold", "tp", "fp", (F.col("_t_all") - F.col("tp")).alias("fn"), F.bround(p, 6).alias("precision"), F.bround(r, 6).alias("recall"), F.bround(f, 6).alias("f1"))
 
