@@ -25,7 +25,7 @@ def no_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose five-word shingles agree to 0.8 or more, as estimated by SimHash distances."""
+    """One document of each group whose five-word shingles agree to 0.8 or more (Jaccard of the sets)."""
     return simhash.drop_near(docs, **simhash.FIVE_WORDS)
 
 

@@ -136,6 +136,43 @@ def test_five_words_links_close_texts_and_leaves_others(spark):
     assert all(got[3 * g + 2] == 3 * g + 2 for g in range(25))
 
 
+def five_word_jaccard(a, b):
+    one, two = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (a.split(), b.split()))
+    return len(one & two) / len(one | two)
+
+
+def test_five_words_finds_block_edits(spark):
+    rng = random.Random(12)
+    run = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    rows = []
+    for g in range(60):
+        w, share = run(400), 0.805 + 0.09 * g / 60
+        if g % 2:
+            other = w + run(round(400 / share) - 400)
+        else:
+            k = round(400 * (1 - share) / (1 + share)) - 4
+            other = w[:100] + run(k) + w[100 + k :]
+        rows += [(2 * g, " ".join(w)), (2 * g + 1, " ".join(other))]
+    rows += [(200, " ".join(x := run(400))), (201, " ".join(x + run(125)))]
+    assert all(0.8 <= five_word_jaccard(rows[2 * g][1], rows[2 * g + 1][1]) < 0.92 for g in range(60))
+    assert five_word_jaccard(rows[-2][1], rows[-1][1]) < 0.8
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), **simhash.FIVE_WORDS).collect()}
+    assert all(got[2 * g] == got[2 * g + 1] == 2 * g for g in range(60))
+    assert got[201] == 201
+
+
+def test_five_words_counts_a_repeated_line_once(spark):
+    rng = random.Random(13)
+    run = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    line, rows = run(10), []
+    for g in range(12):
+        w = run(400)
+        rows += [(4 * g, " ".join(w)), (4 * g + 1, " ".join(w + w[-10:] * (10 + g))), (4 * g + 2, " ".join(run(200) + line * (20 + g))), (4 * g + 3, " ".join(run(200) + line * (20 + g)))]
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), **simhash.FIVE_WORDS).collect()}
+    assert all(got[4 * g] == got[4 * g + 1] == 4 * g for g in range(12))
+    assert all(got[i] == i for i in got if i % 4 > 1)
+
+
 def slow_removal(rows):
     """The definition, document by document: what each span's smallest document is, then what is covered."""
     least, cut = {}, {}
