@@ -10,9 +10,10 @@ links grow with the nodes.
 
 With ``jaccard`` similarity is that of the sets of distinct shingles, computed and not estimated.  Rows of equal sets are one
 node.  A node is filed under ``BANDS`` keys, each of ``ROWS`` minima of the set's hashes; nodes that share a key are fetched
-however their differences lie in the text.  A 256-bit fingerprint of the set leaves out pairs that are far from the limit,
-and the texts of all others are compared shingle by shingle.  Every node is first compared with one head of its keys; only
-pairs that these links leave apart are looked for after that, so that a large group doesn't emit its pairs.
+however their differences lie in the text.  A 1024-bit fingerprint of the set leaves out pairs that are far from the limit,
+and the texts of all others are compared shingle by shingle.  Every node is first compared with one head of its keys, the
+node that shares most keys with others, as the middle of a group does; only pairs that these links leave apart are looked
+for after that, so that a large group doesn't emit its pairs.
 """
 
 from __future__ import annotations
@@ -37,9 +38,9 @@ TWO_BITS = ((0, 32, 32, 1), (0, 0, 32, 0))
 FIVE_WORDS = {"shingle": 5, "jaccard": 0.8}
 #: Two sets of similarity j share a key with a probability of 1 - (1 - j ** ROWS) ** BANDS: 0.9996 at 0.8.
 BANDS, ROWS = 20, 5
-#: 64-bit words of the sets' fingerprints.  Pairs of similarity j differ in acos(2j / (1 + j)) / pi of the bits on average, 39
-#: of 256 at 0.8; a pair is left out beyond ``DEVIATIONS`` standard deviations (5.7 bits), and never if a set has under ``SMALL``.
-LONGS, DEVIATIONS, SMALL = 4, 4.5, 32
+#: 64-bit words of the sets' fingerprints.  Pairs of similarity j differ in acos(2j / (1 + j)) / pi of the bits on average, 155
+#: of 1024 at 0.8; a pair is left out beyond ``DEVIATIONS`` standard deviations (11.5 bits), and never if a set has under ``SMALL``.
+LONGS, DEVIATIONS, SMALL = 16, 4.5, 32
 _ODD = np.random.default_rng(42).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _GOLDEN = 0x9E3779B97F4A7C15
 _CHUNK = 1 << 15
@@ -184,14 +185,17 @@ def set_links(docs: DataFrame, prints: DataFrame, nodes: DataFrame, text: str, s
     own = nodes.select("node", "n", *words)
     theirs = own.select(F.col("node").alias("v"), F.col("n").alias("m"), *(F.col(f"f{k}").alias(f"g{k}") for k in range(LONGS)))
     filed = written(prints.select("node", F.explode("keys").alias("key")).distinct(), "filed")
-    heads = filed.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("rows")).where("rows > 1").drop("rows")
-    shared = written(filed.hint("merge").join(heads, "key"), "shared")
+    sizes = filed.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    crowd = written(filed.hint("merge").join(sizes, "key"), "crowd")
+    weight = crowd.groupBy("node").agg(F.sum("rows").alias("weight"))
+    heads = crowd.join(weight, "node").groupBy("key").agg(F.max(F.struct("weight", "node")).alias("x")).select("key", F.col("x.weight").alias("weight"), F.col("x.node").alias("head"))
+    shared = written(crowd.select("key", "node").hint("merge").join(heads, "key"), "shared")
     wanted = nodes.select("node", "rep").join(shared.select("node").distinct(), "node", "left_semi")
     # one text of each node: texts of a key are equal, and a node's texts have the same set
     texts = docs.select(F.xxhash64(text).alias("rep"), utf8(text).alias("text")).join(wanted, "rep").groupBy("node").agg(F.first("text").alias("text"))
     texts = written(texts, "texts")
-    times = shared.where("node <> head").groupBy("node", "head").agg(F.count(F.lit(1)).alias("times"))
-    best = times.groupBy("node").agg(F.max(F.struct("times", "head")).alias("x")).select("node", F.col("x.head").alias("v"))
+    times = shared.where("node <> head").groupBy("node", "head").agg(F.count(F.lit(1)).alias("times"), F.max("weight").alias("weight"))
+    best = times.groupBy("node").agg(F.max(F.struct("weight", "times", "head")).alias("x")).select("node", F.col("x.head").alias("v"))
     starred = best.hint("merge").join(own, "node").hint("merge").join(theirs, "v").where(_promising(jaccard)).select(F.col("node").alias("u"), "v")
     first = written(_confirmed(written(starred, "star-pairs"), texts, shingle, jaccard), "stars")
     comp = written(components(first), "star-components")
@@ -238,7 +242,7 @@ def links(nodes: DataFrame, layout=TWO_BITS, most: int = 2, longs: int = 1) -> D
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, layout=TWO_BITS, most: int = 2, longs: int = 1, jaccard: float | None = None) -> DataFrame:
-    """One row per row of ``docs``: doc_id, text_key, f0 (and f1, ...; those of the set with ``jaccard``), component_id,
+    """One row per row of ``docs``: doc_id, text_key, f0 (and f1, ...; none with ``jaccard``), component_id,
     component_size.
 
     component_id is the smallest doc_id reachable over links, the row's own included.  Rows of equal fingerprints are
@@ -262,6 +266,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     with_comp = join_groups(linked, of_comp, "comp", "nodes", total).select("node", "rows", "component_id", "component_size")
     alone = nodes.join(linked.select("node"), "node", "left_anti").select("node", "rows", F.col("least").alias("component_id"), F.col("rows").alias("component_size"))
     known = written(with_comp.unionByName(alone), "known")
+    words = words if jaccard is None else []
     prints = prints.select("doc_id", "text_key", *words, "node")
     return join_groups(prints, known, "node", "rows", total).select("doc_id", "text_key", *words, "component_id", "component_size")
 
