@@ -1,8 +1,8 @@
 """Hashed maximum-entropy language model with a class-factored softmax.
 
 P(word | history) = P(class | history) * P(word | class).  The class is a maximum-entropy model over hashed features of the
-history: the word before and the two words before (n-grams), and the second word before by itself (a skip).  Within a class
-the maximum-entropy solution over the words' own features is their relative frequency.
+history: the word before, the two words before (n-grams), and the second and third word before by themselves (skips).  Within
+a class words have their relative frequency whatever the history: the model has no contextual features there.
 
 1. Words are counted over all training documents (combined in each task, then shuffled by word), along with the kind of
    document they stand in (a hash of its most common word).
@@ -34,7 +34,7 @@ from tessera.llm.common import LOWER, scratch, small_batches, utf8, written
 
 FREQUENT = 65_536
 KINDS = 32
-CLASSES = 14
+CLASSES = 24
 BUCKETS = 1 << 15
 ROUNDS = 2
 STEP = 0.3
@@ -148,10 +148,10 @@ def vocabulary(kinds: DataFrame, counts: DataFrame, frequent: int = FREQUENT, cl
 
 
 def _features(rows: list[np.ndarray], start: int, buckets: int) -> np.ndarray:
-    """Feature buckets of each token of padded rows: n-grams and a skip; every token also has the bias, bucket 0."""
-    w1, w2 = (np.concatenate([r[2 - k : len(r) - k] for r in rows]).astype(np.uint64) for k in (1, 2))
-    out = np.empty((len(w1), 3), np.uint16)
-    for i, x in enumerate((w1, w2 + np.uint64(1 << 32), w1 * np.uint64(start + 1) + w2 + np.uint64(2 << 32))):
+    """Feature buckets of each token of padded rows: n-grams and skips; every token also has the bias, bucket 0."""
+    w1, w2, w3 = (np.concatenate([r[3 - k : len(r) - k] for r in rows]).astype(np.uint64) for k in (1, 2, 3))
+    out = np.empty((len(w1), 4), np.uint16)
+    for i, x in enumerate((w1, w2 + np.uint64(1 << 32), w1 * np.uint64(start + 1) + w2 + np.uint64(2 << 32), w3 + np.uint64(3 << 32))):
         h = ((x + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
         out[:, i] = 1 + h % np.uint64(buckets - 1)
     return out
@@ -160,9 +160,9 @@ def _features(rows: list[np.ndarray], start: int, buckets: int) -> np.ndarray:
 def _numbered(text: bytes, v: Vocabulary) -> tuple[list[bytes], np.ndarray]:
     ws = words(text)
     get, rare, start, n = v.words.get, v.rare, v.rare + 1, len(ws)
-    ids = np.empty(n + 3, np.int64)
-    ids[:2] = start
-    ids[2:-1] = np.fromiter(map(get, ws, repeat(rare)), np.int64, n)
+    ids = np.empty(n + 4, np.int64)
+    ids[:3] = start
+    ids[3:-1] = np.fromiter(map(get, ws, repeat(rare)), np.int64, n)
     ids[-1] = get(END, rare)
     return ws, ids
 
@@ -223,8 +223,8 @@ def train(training: DataFrame, v: Vocabulary, buckets: int = BUCKETS, rounds: in
 
             def learn():
                 f = _features(rows, v.rare + 1, len(own))
-                y = v.classes[np.concatenate([x[2:] for x in rows])]
-                y = np.where(np.concatenate([np.arange(2, len(x)) == len(x) - 1 for x in rows]), len(v.used) - 1, y)
+                y = v.classes[np.concatenate([x[3:] for x in rows])]
+                y = np.where(np.concatenate([np.arange(3, len(x)) == len(x) - 1 for x in rows]), len(v.used) - 1, y)
                 gradient_steps(own, sums, f, y, v.used)
                 return len(y)
 
@@ -290,8 +290,8 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent:
 
             def flush(rows=rows, left=left, out=out):
                 f = _features(rows, v.rare + 1, len(w))
-                ids = np.concatenate([x[2:] for x in rows])
-                last = np.concatenate([np.arange(2, len(x)) == len(x) - 1 for x in rows])
+                ids = np.concatenate([x[3:] for x in rows])
+                last = np.concatenate([np.arange(3, len(x)) == len(x) - 1 for x in rows])
                 y = np.where(last, ends, v.classes[ids])
                 model = np.empty(len(ids))
                 for i in range(0, len(ids), 8 * BATCH):
@@ -300,16 +300,16 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent:
                 here = ids < v.rare
                 model += np.where(last, 0.0, v.log_in_class[ids])
                 base = np.where(here | last, known[ids], 0.0)
-                at = np.concatenate(([0], np.cumsum([len(x) - 2 for x in rows])[:-1]))
+                at = np.concatenate(([0], np.cumsum([len(x) - 3 for x in rows])[:-1]))
                 hit = here & (~last | end_known)
-                out.extend(zip((len(x) - 2 for x in rows), np.add.reduceat(hit.astype(np.int64), at).tolist(), np.add.reduceat(base, at).tolist(), np.add.reduceat(model, at).tolist(), strict=True))
+                out.extend(zip((len(x) - 3 for x in rows), np.add.reduceat(hit.astype(np.int64), at).tolist(), np.add.reduceat(base, at).tolist(), np.add.reduceat(model, at).tolist(), strict=True))
                 rows.clear()
 
             size = 0
             for t in b.column(2).to_pylist():
                 ws, ids = _numbered(t, v)
                 rows.append(ids)
-                rare = Counter([ws[i] for i in np.flatnonzero(ids[2:-1] == v.rare)])
+                rare = Counter([ws[i] for i in np.flatnonzero(ids[3:-1] == v.rare)])
                 left.append([_hash(x) for x in rare])
                 lost.append(list(rare.values()))
                 size += len(ids)

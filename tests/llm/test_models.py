@@ -170,6 +170,12 @@ def test_language_model_is_a_distribution(spark):
     assert rare == pytest.approx(1)
 
 
+def test_language_model_features_see_three_words_back():
+    v = language_model.Vocabulary({w: i for i, w in enumerate((b"a", b"b", b"c", b"d"))}, np.zeros(5), np.zeros(5, np.int32), np.zeros(5), 0, 0, 0, 0, np.ones(2, bool))
+    one, two = (language_model._features([language_model._numbered(t, v)[1]], v.rare + 1, 1 << 15)[3] for t in (b"a b c d", b"d b c d"))
+    assert (one != two).sum() == 1 and language_model.CLASSES >= 24
+
+
 def rare_counts(rows, v):
     counts = Counter(w for _, t in rows for w in [*lower(t).split(), "\n"])
     return [n for w, n in counts.items() if w.encode() not in v.words]
