@@ -21,8 +21,8 @@ KINDS = ("assign", "access", "hex", "guess")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")  # the longest runs of 16 and more are the runs of [0-9a-f]+ that pass
-#: Words that announce a credential; the value runs to white space or a closing mark and is 6 to 200 characters long.
-_CONTEXT = re.compile(r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|api_?key|access_?key|private_?key|auth(?:orization)?)["']?\x20*[:=]\x20*(["']?)([^\s"'<>,;]{6,200})""", re.I | re.A)
+#: Words that announce a credential; the value runs to white space or a closing mark, and has at least 6 characters.
+_CONTEXT = re.compile(r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|api_?key|access_?key|private_?key|auth(?:orization)?)["']?\x20*[:=]\x20*(["']?)([^\s"'<>,;]{6,})""", re.I | re.A)
 #: log10 of guesses from which a value counts as a secret.
 LEAST = 8.0
 
@@ -53,6 +53,11 @@ def _spans(value: str, words: tuple[str, ...]):
     low = value.lower()
     plain = "".join(LEET.get(c, c) for c in low)
     n = len(value)
+    # by size: how many characters from each place on equal the one that many places later
+    same = {size: [0] * (n + 1) for size in (1, 2, 3, 4)}
+    for size, run in same.items():
+        for i in range(n - size - 1, -1, -1):
+            run[i] = run[i + 1] + 1 if value[i] == value[i + size] else 0
     for i in range(n):
         for j in range(i + 3, min(n, i + longest) + 1):
             for said, extra in ((low, 0.0), (plain, 0.3)):
@@ -63,9 +68,7 @@ def _spans(value: str, words: tuple[str, ...]):
         if m := _DATE.match(value, i):
             yield i, m.end(), math.log10(365 * 100) if m.end() - i > 4 else 2.0, "date"
         for size in (1, 2, 3, 4):
-            j = i + size
-            while value[j : j + size] == value[i : i + size] and j + size <= n:
-                j += size
+            j = i + size * (1 + same[size][i] // size)
             if j - i >= max(3, 2 * size):
                 yield i, j, size * _BRUTE + math.log10((j - i) / size), "repeat"
         for row in ROWS:

@@ -203,6 +203,16 @@ def test_guesses_tell_secrets_from_plain_values():
     assert secrets.guess_cost("x" * 200)[0] < 10 < secrets.guess_cost("8fKq2LzW9p")[0]
 
 
+def test_long_values_are_whole():
+    rng = random.Random(21)
+    secret = "".join(rng.choice("abcdefghijkmnpqrstuvwxyzABCDEFGH23456789") for _ in range(900))
+    for value in (secret, "x" * 200 + secret[:60]):
+        text = f"pwd: {value} end"
+        assert [text[a:z] for a, z, _ in secrets.guess_spans(text)] == [value]
+    assert secrets.guess_cost(secret)[0] > secrets.guess_cost(secret[:200])[0] + 500
+    assert secrets.guess_cost("x" * 50_000)[0] < 10
+
+
 def test_secrets_awkward(spark, awkward, nothing):
     got = {r["doc_id"]: r["spans"] for r in secrets.scan(awkward).collect()}
     text = "AKIA" + "Z" * 16 + " password = hunter2hunter2"
