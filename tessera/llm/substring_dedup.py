@@ -2,7 +2,8 @@
 
 A text is cut into sentences, and sentences of over ``LONG`` words into stretches that end at words whose hash says so (or
 after 2 * ``LONG`` words), so that a passage is cut alike wherever it stands.  A span
-starts at every sentence and takes as many as give it at least ``SENTENCES`` sentences and ``WORDS`` words; its words, lower
+starts at every sentence and takes as many as give it at least ``SENTENCES`` sentences and ``WORDS`` words; another ends at
+every sentence and takes as many before it, so that the last sentences of a passage are covered too.  A span's words, lower
 case and joined by blanks, are hashed.  All spans' hashes meet globally: a span is a repeat if it occurred earlier in its own
 document, or if a document with a smaller id has it too.  Sentences covered by any repeat are removed.
 
@@ -49,7 +50,8 @@ def sentences(text: bytes, long: int = LONG) -> list[tuple[int, int]]:
 
 
 def spans(text: bytes, least_sentences: int = SENTENCES, least_words: int = WORDS, long: int = LONG) -> tuple[list[tuple[int, int]], list[tuple[int, int, int]]]:
-    """(sentences, spans): spans are (first sentence, one past the last, hash); one per sentence that has enough after it."""
+    """(sentences, spans): spans are (first sentence, one past the last, hash) by place; the shortest that
+    start and the shortest that end at each sentence, those of the same words once."""
     units = sentences(text, long)
     low = text.translate(LOWER)
     said = [low[a:b].split() for a, b in units]
@@ -63,7 +65,7 @@ def spans(text: bytes, least_sentences: int = SENTENCES, least_words: int = WORD
     for w in words:
         x += len(w) + 1
         begin.append(x)
-    out, j, hash64 = [], 0, xxhash.xxh3_64_intdigest
+    found, j, hash64 = {}, 0, xxhash.xxh3_64_intdigest
     for i in range(len(units)):
         if not said[i]:
             continue
@@ -72,7 +74,17 @@ def spans(text: bytes, least_sentences: int = SENTENCES, least_words: int = WORD
             j += 1
         if j > len(units):
             break
-        h = hash64(joined[begin[at[i]] : begin[at[j]] - 1])
+        found[at[i], at[j]] = i, j
+    i = 0
+    for j in range(least_sentences, len(units) + 1):
+        if not said[j - 1] or at[j] < least_words:
+            continue
+        while i + 1 <= j - least_sentences and at[j] - at[i + 1] >= least_words:
+            i += 1
+        found.setdefault((at[i], at[j]), (i, j))
+    out = []
+    for (a, z), (i, j) in sorted(found.items()):
+        h = hash64(joined[begin[a] : begin[z] - 1])
         out.append((i, j, h - (1 << 64) if h >> 63 else h))
     return units, out
 

@@ -205,6 +205,20 @@ def test_substring_brute_force(spark):
     assert passage[40:-40] in got[0] and all(passage[40:-40] not in got[i] for i in range(4, 40, 4))
 
 
+def test_last_sentences_of_a_repeat_are_removed(spark):
+    rng = random.Random(14)
+    sentence = lambda n: " ".join(f"t{rng.randrange(9000)}" for _ in range(n)) + ". "
+    rows = []
+    for g in range(20):
+        passage = "".join(sentence(rng.randint(5, 14)) for _ in range(6)) + sentence(3) + "... "
+        own = "".join(sentence(12) for _ in range(3))
+        rows += [(3 * g, passage), (3 * g + 1, passage), (3 * g + 2, passage + own)]
+    got = {r["doc_id"]: r["text"] for r in substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert all(got[3 * g] == rows[3 * g][1] for g in range(20))
+    assert all(got[3 * g + 1].strip(" .") == "" for g in range(20))
+    assert all(got[3 * g + 2].strip(" .") == rows[3 * g + 2][1][len(rows[3 * g][1]) :].strip(" .") for g in range(20))
+
+
 def test_long_sentences_without_stops(spark):
     rng = random.Random(6)
     run = lambda n: " ".join(f"t{rng.randrange(500)}" for _ in range(n))
