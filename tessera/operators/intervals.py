@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.numbers import finite
@@ -154,43 +153,38 @@ def plan_segments(issues: DataFrame, sessions: DataFrame, keys: list[str], least
     return out.where(F.col("duration_ns") >= least_ns)
 
 
-def plan_in_order(issues: list[tuple[int, int, str]], start: int, end: int, least: int) -> list[tuple[int, int, int]]:
-    """(place, start, end) of one session's segments by the rule that depends on the issues' order: intervals inside the
-    valid range are removed, one that crosses an end moves it there and then, and earlier ones are not clipped again."""
-    middle = start + (end - start) // 2
-    low = max([start, *(e for _, e, d in issues if d == "trim" and e <= middle)])
-    high = min([end, *(s for s, e, d in issues if d == "trim" and e > middle)])
-    holes = []
-    for s, e, d in issues:
-        if d in REMOVED:
-            if s >= low and e <= high:
-                holes.append((s, e))
-            elif s < low < e:
-                low = max(low, e)
-            elif s < high < e:
-                high = min(high, s)
-    at, out = low, []
-    for s, e in sorted(holes, key=lambda x: x[0]):
-        if at < s:
-            out.append((at, s))
-        at = max(at, e)
-    if at < high:
-        out.append((at, high))
-    return [(k, s, e) for k, (s, e) in enumerate(out) if e - s >= least]
-
-
 def plan_segments_in_order(issues: DataFrame, sessions: DataFrame, key: str, order: str, least_ns: int = 1_000_000_000) -> DataFrame:
-    """``plan_in_order`` for every session; one session's issues are one group."""
-    both = sessions.select(key, F.col("start_ns").alias("low"), F.col("end_ns").alias("high")).join(issues.select(key, order, "start_ns", "end_ns", "decision"), key, "left")
-    kind = sessions.schema[key].dataType.simpleString()
-
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(order)
-        found = [(int(r.start_ns), int(r.end_ns), r.decision) for r in part.itertuples() if isinstance(r.decision, str)]
-        planned = plan_in_order(found, int(part["low"].iloc[0]), int(part["high"].iloc[0]), least_ns)
-        return pd.DataFrame([(part[key].iloc[0], *p) for p in planned], columns=[key, "place", "start_ns", "end_ns"])
+    """Segments (key, place, start_ns, end_ns) by the rule that depends on the issues' order.
 
-    return both.groupBy(key).applyInPandas(run, f"{key} {kind}, place bigint, start_ns bigint, end_ns bigint")
+    Trims narrow the range [low, high] first.  Then a fold over the removed intervals in order: one inside the range is a
+    hole, one that crosses an end moves that end, and holes found before stay as they are.  Segments lie between the holes
+    by start; places count them all, also those under ``least_ns``.  One session's removed intervals are one array.
+    """
+    i = issues.select(key, F.col(order).alias("_t_o"), F.col("start_ns").alias("_t_s"), F.col("end_ns").alias("_t_e"), "decision")
+    middle = F.col("start_ns") + F.floor((F.col("end_ns") - F.col("start_ns")) / 2)
+    trim = F.col("decision") == "trim"
+    every = sessions.select(key, "start_ns", "end_ns").join(i, key, "left")
+    removed = F.when(F.col("decision").isin(*REMOVED), F.struct("_t_o", F.col("_t_s").alias("s"), F.col("_t_e").alias("e")))
+    of = every.groupBy(key, "start_ns", "end_ns").agg(
+        F.max(F.when(trim & (F.col("_t_e") <= middle), F.col("_t_e"))).alias("_t_head"), F.min(F.when(trim & (F.col("_t_e") > middle), F.col("_t_s"))).alias("_t_tail"), F.array_sort(F.collect_list(removed)).alias("_t_cuts")
+    )
+    begun = F.struct(F.greatest("start_ns", "_t_head").alias("low"), F.least("end_ns", "_t_tail").alias("high"), F.slice("_t_cuts", 1, 0).alias("holes"))
+
+    def step(r: Column, x: Column) -> Column:
+        inside = (x["s"] >= r["low"]) & (x["e"] <= r["high"])
+        at_low, at_high = (x["s"] < r["low"]) & (x["e"] > r["low"]), (x["s"] < r["high"]) & (x["e"] > r["high"])
+        return F.struct(
+            F.when(~inside & at_low, x["e"]).otherwise(r["low"]).alias("low"), F.when(~inside & ~at_low & at_high, x["s"]).otherwise(r["high"]).alias("high"), F.when(inside, F.array_append(r["holes"], x)).otherwise(r["holes"]).alias("holes")
+        )
+
+    folded = of.select(key, F.aggregate("_t_cuts", begun, step).alias("r")).select(key, "r.*")
+    # what ends a segment: each hole, and the range's end
+    ends = F.concat(F.transform("holes", lambda x: F.struct(F.lit(0).alias("last"), x["s"].alias("s"), x["e"].alias("e"))), F.array(F.struct(F.lit(1).alias("last"), F.col("high").alias("s"), F.col("high").alias("e"))))
+    laid = folded.select(key, "low", F.explode(ends).alias("x")).select(key, "low", "x.*")
+    before = Window.partitionBy(key).orderBy("last", "s", "e").rowsBetween(Window.unboundedPreceding, -1)
+    cut = laid.withColumn("start_ns", F.greatest("low", F.max("e").over(before))).where(F.col("start_ns") < F.col("s"))
+    place = (F.row_number().over(Window.partitionBy(key).orderBy("start_ns")) - 1).cast("bigint")
+    return cut.select(key, place.alias("place"), "start_ns", F.col("s").alias("end_ns")).where(F.col("end_ns") - F.col("start_ns") >= least_ns)
 
 
 def downgrade(issues: DataFrame) -> DataFrame:

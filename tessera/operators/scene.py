@@ -26,6 +26,14 @@ def brightness_jumps(df: DataFrame, keys: list[str], order: str, mean: str, blac
     return p.withColumn(name, F.when(F.col(f"prev_{mean}").isNull(), 0.0).when(flip, 1.0).otherwise(F.abs(F.col(mean) - F.col(f"prev_{mean}")))).drop(f"prev_{mean}")
 
 
+def sparse_histogram_distance(a: str, b: str):
+    """Bhattacharyya distance of two histograms given as maps of a bin to its count; bins that a map lacks are empty."""
+    add = lambda x: F.aggregate(x, F.lit(0.0), lambda s, v: s + v)
+    bins = F.array_sort(F.array_intersect(F.map_keys(a), F.map_keys(b)))
+    overlap = add(F.transform(bins, lambda k: F.sqrt(F.element_at(a, k) * F.element_at(b, k)))) / F.sqrt(add(F.map_values(a)) * add(F.map_values(b)))
+    return F.sqrt(F.greatest(F.lit(0.0), 1 - overlap))
+
+
 def histogram_distance(a, b, method: str = "bhattacharyya"):
     """Distance of two histogram arrays: Bhattacharyya, or chi-squared as x / (x + 1)."""
     a, b = (F.col(x) if isinstance(x, str) else x for x in (a, b))
@@ -110,38 +118,31 @@ def minimum_duration(df: DataFrame, keys: list[str], start: str, end: str, least
     hard = laid.where("is_hard_cut").drop("_t_from", "_t_to")
     soft = laid.where("not is_hard_cut and timestamp_ns > _t_from and timestamp_ns < _t_to")
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["timestamp_ns", "frame_index"]).reset_index(drop=True)
-        kept, last, stop = [], int(part["_t_from"].iloc[0]), int(part["_t_to"].iloc[0])
-        for i, t in enumerate(part["timestamp_ns"].tolist()):
-            if t - last >= least_ns:
-                kept.append(i)
-                last = t
-        times = part["timestamp_ns"].tolist()
-        while kept and stop - times[kept[-1]] < least_ns:
-            kept.pop()
-        return part.loc[kept].drop(columns=["_t_from", "_t_to"])
-
-    chosen = soft.groupBy(*keys, "_t_from").applyInPandas(run, inside.schema)
+    row = F.struct("timestamp_ns", "frame_index", *(c for c in inside.columns if c not in ("timestamp_ns", "frame_index", *keys)))
+    stretch = soft.groupBy(*keys, "_t_from", "_t_to").agg(F.array_sort(F.collect_list(row)).alias("_t_rows"))
+    # a fold over the stretch accepts in order; accepted ones ascend, so those too near the next anchor are its tail
+    accepted = F.aggregate("_t_rows", F.struct(F.col("_t_from").alias("last"), F.slice("_t_rows", 1, 0).alias("kept")), lambda s, x: F.when(x["timestamp_ns"] - s["last"] >= least_ns, F.struct(x["timestamp_ns"].alias("last"), F.array_append(s["kept"], x).alias("kept"))).otherwise(s))
+    kept = F.filter(accepted["kept"], lambda x: F.col("_t_to") - x["timestamp_ns"] >= least_ns)
+    chosen = stretch.select(*keys, F.explode(kept).alias("_t_x")).select(*keys, "_t_x.*")
     return hard.unionByName(chosen)
 
 
 def merge_same_scenes(boundaries: list[tuple[int, bool]], start: int, end: int, similarity, most: float) -> list[tuple[int, bool]]:
-    """Boundaries (time, hard) without soft ones whose two sides look alike at their centres; deleting one steps back."""
-    kept, i = list(boundaries), 0
-    while i < len(kept):
-        t, hard = kept[i]
-        if hard:
-            i += 1
-            continue
-        left = start if i == 0 else kept[i - 1][0]
-        right = end if i + 1 == len(kept) else kept[i + 1][0]
-        if similarity((left + t) // 2, (t + right) // 2) > most:
-            del kept[i]
-            i = max(0, i - 1)
-        else:
-            i += 1
-    return kept
+    """Boundaries (time, hard) without soft ones whose two sides look alike at their centres.
+
+    A stack holds what stands so far.  Each boundary goes on top, and the scene after it reaches to the boundary that comes
+    next; as long as the top one is soft and its two sides look alike it falls, which widens the scene for the one below.
+    """
+    stands: list[tuple[int, bool]] = []
+    nexts = [t for t, _ in boundaries[1:]] + [end]
+    for boundary, right in zip(boundaries, nexts, strict=True):
+        stands.append(boundary)
+        while stands and not stands[-1][1]:
+            top, left = stands[-1][0], stands[-2][0] if len(stands) > 1 else start
+            if similarity((left + top) // 2, (top + right) // 2) <= most:
+                break
+            stands.pop()
+    return stands
 
 
 def merge_same(boundaries: DataFrame, sessions: DataFrame, keys: list[str], order: str, vector: str, embeddings: DataFrame, most: float) -> DataFrame:
@@ -187,10 +188,10 @@ def representative_frames(df: DataFrame, start: str, end: str, fps: float, frame
     return df.withColumns({"first_frame": first, "middle_frame": F.floor((first + final) / 2), "last_frame": final})
 
 
-def sampling_grid(candidates: DataFrame, keys: list[str], frame: str, context: int, step: int, frames: int) -> DataFrame:
-    """Distinct frames within ``context`` of any candidate at steps of ``step``, inside [0, frames)."""
+def sampling_grid(candidates: DataFrame, keys: list[str], frame: str, context: int, step: int, frames: str) -> DataFrame:
+    """Distinct frames within ``context`` of any candidate at steps of ``step``, inside [0, the column ``frames``)."""
     grid = F.sequence(F.col(frame) - context, F.col(frame) + context, F.lit(step).cast("bigint"))
-    return candidates.select(*keys, F.explode(grid).alias("frame_index")).where((F.col("frame_index") >= 0) & (F.col("frame_index") < frames)).distinct()
+    return candidates.select(*keys, F.col(frames).alias("_t_n"), F.explode(grid).alias("frame_index")).where("frame_index >= 0 and frame_index < _t_n").drop("_t_n").distinct()
 
 
 def scene_metrics(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -101,7 +101,21 @@ def sensor_rates(spark, sf_dir):
     return r.select("k", F.bround(F.col("mean_rate_hz") * 1e6, 4).alias("mean_rate"), F.bround(F.col("median_rate_hz") * 1e6, 4).alias("median_rate"))
 
 
-@query()
+def _dot(a: str, b: str) -> str:
+    return f"list_sum(list_transform(list_zip({a}, {b}), lambda p: p[1]::DOUBLE * p[2]::DOUBLE))"
+
+
+#: SQL: the cosine of the embeddings at the places l and r of xs.
+_ALIKE = f"({_dot('xs[l]', 'xs[r]')} / (sqrt({_dot('xs[l]', 'xs[l]')}) * sqrt({_dot('xs[r]', 'xs[r]')})))"
+
+
+@query(f"""WITH RECURSIVE em AS (SELECT label AS k, list(vec_id ORDER BY vec_id) AS ts, list(embedding ORDER BY vec_id) AS xs, min(vec_id) AS s, max(vec_id) AS z, coalesce(list(vec_id ORDER BY vec_id) FILTER (WHERE vec_id % 20 = 0), []) AS b FROM embeddings GROUP BY label),
+    st AS (SELECT k, [s][1:0] AS stands, 1 AS i, false AS fresh, 0 AS n FROM em UNION ALL
+        SELECT k, CASE WHEN falls THEN stands[1:len(stands) - 1] WHEN held THEN stands ELSE list_append(stands, b[i]) END, CASE WHEN falls OR held THEN i ELSE i + 1 END, falls OR NOT held, n + 1 FROM (
+            SELECT *, fresh AND len(stands) > 0 AND stands[-1] % 100 <> 0 AND {_ALIKE} > 0.2 AS falls, fresh AS held FROM (
+                SELECT st.*, b, xs, greatest(1, len(list_filter(ts, lambda t: t <= (CASE WHEN len(stands) > 1 THEN stands[-2] ELSE s END + stands[-1]) // 2))) AS l, greatest(1, len(list_filter(ts, lambda t: t <= (stands[-1] + CASE WHEN i <= len(b) THEN b[i] ELSE z END) // 2))) AS r FROM st JOIN em USING (k)) WHERE fresh OR i <= len(b))),
+    fi AS (SELECT st.k, stands FROM st JOIN (SELECT k, max(n) AS n FROM st GROUP BY k) x ON x.k = st.k AND x.n = st.n)
+    SELECT k, t AS timestamp_ns, t % 100 = 0 AS is_hard_cut FROM (SELECT k, unnest(stands) AS t FROM fi)""")
 def merged_scenes(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings").select(F.col("label").alias("k"), F.col("vec_id").alias("at"), F.col("embedding").alias("x"))
     ends = rows.groupBy("k").agg(F.min("at").alias("start_ns"), F.max("at").alias("end_ns"))

@@ -136,15 +136,18 @@ def scene_metrics(spark, sf_dir):
     return m.withColumns({"min_confidence": six("min_confidence"), "mean_confidence": F.bround("mean_confidence", 4), "short_ratio": six("short_ratio")})
 
 
-@query(f"WITH {EVENTS}, g AS (SELECT k, unnest(range(i - 4, i + 5, 2)) AS frame_index FROM ev WHERE e = 'error') SELECT DISTINCT k, frame_index FROM g WHERE frame_index >= 0 AND frame_index < 60")
+@query(f"WITH {EVENTS}, g AS (SELECT k, unnest(range(i - 4, i + 5, 2)) AS frame_index FROM ev WHERE e = 'error'), n AS (SELECT k, count(*) AS n FROM ev GROUP BY k) SELECT DISTINCT g.k, frame_index FROM g JOIN n ON n.k = g.k WHERE frame_index >= 0 AND frame_index < n")
 def sampling_grid(spark, sf_dir):
-    return scene.sampling_grid(events(spark, sf_dir).where("e = 'error'"), ["k"], "i", 4, 2, 60)
+    rows = events(spark, sf_dir)
+    counted = rows.where("e = 'error'").join(rows.groupBy("k").agg(F.count(F.lit(1)).alias("frames")), "k")
+    return scene.sampling_grid(counted, ["k"], "i", 4, 2, "frames")
 
 
 @query(f"""WITH h AS (SELECT user_id AS k, list(n ORDER BY e) AS h FROM (SELECT u.user_id, t.e, count(x.event_id)::DOUBLE AS n FROM (SELECT DISTINCT user_id FROM events) u CROSS JOIN (SELECT DISTINCT event_type AS e FROM events) t LEFT JOIN events x ON x.user_id = u.user_id AND x.event_type = t.e GROUP BY 1, 2) GROUP BY 1),
     p AS (SELECT k, h AS b, lag(h) OVER (ORDER BY k) AS a FROM h) SELECT k, round_even(sqrt(greatest(0.0, 1 - list_sum(list_transform(list_zip(a, b), lambda x: sqrt(x[1] * x[2]))) / sqrt(list_sum(a) * list_sum(b)))), 5) AS distance FROM p WHERE a IS NOT NULL""")
 def histogram_distance(spark, sf_dir):
-    found = table(spark, sf_dir, "events")
-    h = found.groupBy(F.col("user_id").alias("k")).agg(F.array(*(F.count_if(F.col("event_type") == e).cast("double") for e in sorted(r[0] for r in found.select("event_type").distinct().limit(100).collect()))).alias("h"))
-    p = previous(h.withColumn("one", F.lit(1)), ["one"], "k", ["h"]).where("prev_h is not null")
-    return p.select("k", F.bround(scene.histogram_distance("prev_h", "h"), 5).alias("distance"))
+    counts = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("k"), "event_type").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    h = counts.groupBy("k").agg(F.map_from_entries(F.collect_list(F.struct("event_type", "n"))).alias("h"))
+    # all users are one sequence: it is cut into stretches of 1000 ids
+    p = previous(h, [], "k", ["h"], 1000).where("prev_h is not null")
+    return p.select("k", F.bround(scene.sparse_histogram_distance("prev_h", "h"), 5).alias("distance"))

@@ -172,7 +172,13 @@ def session_plan(spark, sf_dir):
     return _sessions(spark, sf_dir).select("k").join(plan, "k", "left").join(issues, "k", "left").na.fill(0, ["segments", "effective_ns", "longest_ns", "issues"])
 
 
-@query()
+@query(f"""WITH RECURSIVE {PLAN}, cu AS (SELECT k, start_ns AS s, end_ns AS e, row_number() OVER (PARTITION BY k ORDER BY sample_index) AS n FROM (SELECT k, sample_index, start_ns, end_ns, CASE WHEN sample_index % 11 = 0 THEN 'trim' WHEN sample_index % 3 = 0 THEN 'keep' ELSE decision END AS d FROM iss) WHERE d IN ('split', 'exclude_range', 'quarantine', 'keep_with_flag')),
+    fo AS (SELECT k, lo, hi, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS hs, CAST(NULL AS BIGINT) AS he FROM vr UNION ALL
+        SELECT fo.k, CASE WHEN s < lo AND lo < e THEN e ELSE lo END, CASE WHEN NOT (s < lo AND lo < e) AND NOT (s >= lo AND e <= hi) AND s < hi AND hi < e THEN s ELSE hi END, cu.n, CASE WHEN s >= lo AND e <= hi THEN s END, CASE WHEN s >= lo AND e <= hi THEN e END FROM fo JOIN cu ON cu.k = fo.k AND cu.n = fo.n + 1),
+    fi AS (SELECT fo.k, lo, hi FROM fo JOIN (SELECT k, max(n) AS n FROM fo GROUP BY k) x ON x.k = fo.k AND x.n = fo.n),
+    en AS (SELECT k, hs AS s, he AS e, 0 AS z FROM fo WHERE hs IS NOT NULL UNION ALL SELECT k, hi, hi, 1 FROM fi),
+    la AS (SELECT en.k, s, greatest(lo, coalesce(max(e) OVER (PARTITION BY en.k ORDER BY z, s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), lo)) AS a FROM en JOIN fi ON fi.k = en.k),
+    pn AS (SELECT k, row_number() OVER (PARTITION BY k ORDER BY a) - 1 AS place, a AS start_ns, s AS end_ns FROM la WHERE a < s) SELECT k, place, start_ns, end_ns FROM pn WHERE end_ns - start_ns >= {HOUR}""")
 def plan_segments_in_order(spark, sf_dir):
     return intervals.plan_segments_in_order(_plan_issues(spark, sf_dir), _sessions(spark, sf_dir), "k", "sample_index", HOUR)
 
