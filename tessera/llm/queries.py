@@ -23,7 +23,7 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "warc")
     warc.write_warc(_table(spark, sf_dir, "pages"), path)
-    back = warc.read_warc(spark, path if ":" in path else f"file://{path}")
+    back = warc.read_warc(spark, path)
     return back.select(warc.page_of(F.col("record_id")).cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), warc.page_of(F.col("refers_to")).cast("bigint").alias("refers_to"))
 
 

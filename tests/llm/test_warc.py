@@ -56,9 +56,13 @@ def test_files_are_plain_gzip(spark):
 
 
 def scan(data, split):
+    """What the reader's three steps give without Spark."""
+    f = pa.PythonFile(io.BytesIO(data), mode="r")
+    ranges = [(b, min(len(data), b + split)) for b in range(0, len(data), split)]
+    known = {a: z for b, e in ranges for a, z in warc.entries(f, len(data), b, e)}
     out = []
-    for begin in range(0, len(data), split):
-        out += warc.members(pa.PythonFile(io.BytesIO(data), mode="r"), len(data), begin, min(len(data), begin + split))
+    for begin, entry in warc.walk(f, len(data), split, known):
+        out += [(at, content) for at, content, _ in warc.chain(f, len(data), entry, min(len(data), begin + split))]
     return out
 
 
@@ -85,3 +89,56 @@ def test_empty_and_large(spark):
     big = bytes(random.Random(1).randrange(256) for _ in range(1 << 16)) * 257
     made = warc.record("1", "u", big, hashlib.sha1(big).hexdigest(), None, False, 1)
     assert made[-1] == 0 and [warc.parse(c)["payload"] for _, c in scan(made, 1 << 22)] == [big]
+
+
+SPLITS = [1, 7, 64, 333, 1000, 4096, 10**7]
+
+
+def some_records(n=12):
+    rng = random.Random(5)
+    return [b"WARC/1.1\r\nX: %d\r\n\r\n" % i + bytes(rng.randrange(256) for _ in range(40 * i)) for i in range(n)]
+
+
+@pytest.mark.parametrize("split", SPLITS)
+def test_records_within_a_payload_are_no_records(split):
+    inner = b"".join(member(r, k % 2 * 6) for k, r in enumerate(some_records(6)))
+    records = [b"WARC/1.1\r\nfirst\r\n\r\nx", b"WARC/1.1\r\nouter\r\n\r\n" + inner, b"WARC/1.1\r\nlast\r\n\r\ny" + inner]
+    data = b"".join(member(r, 0) for r in records)
+    assert [c for _, c in scan(data, split)] == records
+
+
+@pytest.mark.parametrize("split", SPLITS)
+def test_damage_is_an_error_in_every_layout(split):
+    made = [member(r) for r in some_records()]
+    whole = b"".join(made)
+    assert [c for _, c in scan(whole, split)] == some_records()
+    at = len(b"".join(made[:7]))
+    broken = bytearray(whole)
+    broken[at + len(made[7]) // 2] ^= 0x55
+    alien = b"".join(made[:4]) + member(b"no record at all") + b"".join(made[4:])
+    cases = {"cut": (whole[:-5], len(whole) - len(made[-1])), "only": (made[3][:-9], 0), "middle": (bytes(broken), at), "alien": (alien, len(b"".join(made[:4]))), "tail": (whole + b"junk", len(whole)), "head": (b"junk" + whole, 0)}
+    for name, (data, where) in cases.items():
+        with pytest.raises(ValueError, match=f"no whole WARC record at byte {where} of"):
+            scan(data, split)
+            pytest.fail(name)
+
+
+@pytest.mark.parametrize("split", SPLITS)
+def test_empty_members_belong_to_the_record_before(split):
+    made = some_records()
+    data = b"".join(member(r) + member(b"") * (k % 3) for k, r in enumerate(made))
+    assert [c for _, c in scan(data, split)] == made
+
+
+@pytest.mark.parametrize("split", [200, 8 << 20])
+def test_a_truncated_file_fails_the_query(spark, tmp_path, split):
+    folder = tmp_path / "cut"
+    folder.mkdir()
+    (folder / "a.warc.gz").write_bytes(b"".join(member(r) for r in some_records())[:-3])
+    with pytest.raises(Exception, match="no whole WARC record"):
+        warc.read_warc(spark, str(folder), split).count()
+
+
+def test_many_revisits_are_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(warc, "FEW", 0)
+    test_round_trip(spark, 5000)
