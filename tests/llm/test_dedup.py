@@ -30,10 +30,10 @@ def documents(spark, n=120, seed=1):
     return [(i, t) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("bits", [1 << 10, exact_dedup.MAX_FILTER_BITS])
-def test_exact_groups_brute_force(spark, bits):
+@pytest.mark.parametrize("most", [0, exact_dedup.MAX_BROADCAST_WORDS])
+def test_exact_groups_brute_force(spark, most):
     rows = documents(spark)
-    got = {r["doc_id"]: r for r in exact_dedup.exact_groups(spark.createDataFrame(rows, "doc_id bigint, text string"), max_filter_bits=bits).collect()}
+    got = {r["doc_id"]: r for r in exact_dedup.exact_groups(spark.createDataFrame(rows, "doc_id bigint, text string"), max_broadcast_words=most).collect()}
     of = defaultdict(list)
     for i, t in rows:
         of[t].append(i)
@@ -44,9 +44,23 @@ def test_exact_groups_brute_force(spark, bits):
 
 def test_filter_clears_most_single_texts(spark):
     df = spark.createDataFrame([(i, f"text {i}") for i in range(3000)] + [(9000, "text 7")], "doc_id bigint, text string")
-    flagged = exact_dedup.flag_possible_repeats(df, "text", 3001)
-    assert flagged.where("_t_maybe").count() < 60
-    assert flagged.where("_t_maybe and text = 'text 7'").count() == 2
+    for most in (0, exact_dedup.MAX_BROADCAST_WORDS):
+        flagged, rows = exact_dedup.hashes(df, max_broadcast_words=most)
+        assert rows == 3001 and flagged.where("_t_maybe").count() < 60
+        assert flagged.where("_t_maybe and doc_id in (7, 9000)").count() == 2
+        assert "text" not in flagged.columns  # what later steps shuffle has no texts
+
+
+@pytest.mark.parametrize("most", [0, 1 << 20])
+def test_drop_exact_keeps_one_row_of_each_text(spark, most):
+    rows = [(i % 50, f"text {i % 70}", i) for i in range(700)] + [(None, "text 3", -1), (None, None, -2), (None, "", -3), (7, "", -4), (7, None, -5)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, other int")
+    got = exact_dedup.drop_exact(df, max_broadcast_words=most, max_broadcast_rows=most).collect()
+    best = {}
+    for i, t, _ in rows:
+        best[t or ""] = max(best.get(t or "", -1), -1 if i is None else i)
+    assert sorted((r["text"] or "", -1 if r["doc_id"] is None else r["doc_id"]) for r in got) == sorted(best.items())
+    assert all((r["doc_id"], r["text"], r["other"]) in rows for r in got)
 
 
 def test_exact_awkward(awkward, nothing):
