@@ -1,26 +1,32 @@
 """Hashed maximum-entropy language model with a class-factored softmax.
 
-P(word | history) = P(class | history) * P(word | class).  The class is a maximum-entropy model over hashed features of the
-history: the word before, the two words before (n-grams), and the second and third word before by themselves (skips).  Within
-a class words have their relative frequency whatever the history: the model has no contextual features there.
+P(word | history) = P(class | history) * P(word | class, history).  Both factors are maximum-entropy models over hashed features
+of the history: the word before and the two words before (n-grams), and the second and third word before by themselves
+(skips; the third for the class alone).  Within a class the words are the leaves of a Huffman tree; each of its nodes is a
+softmax over its two sides, whose bias is the log odds of their counts and whose features are hashed along with the node.
 
 1. Words are counted over all training documents (combined in each task, then shuffled by word), along with the kind of
    document they stand in (a hash of its most common word).
 2. The ``FREQUENT`` most common words that occur at least twice are put into classes by their profiles over the kinds of
-   documents (k-means); all other words, known or not, make up the rare class, the end of a text is a class of its own.
-3. Weights are trained in ``ROUNDS`` rounds over disjoint parts of all training documents: every task takes the shared
-   weights through its documents by mini-batch gradient steps (AdaGrad), and the tasks' changes, weighted by tokens, are
-   averaged shard by shard.
-4. All documents are scored in sparse numpy batches.  Frequent words are looked up in the task; the others are shuffled by
-   hash, once per document and word, to meet their counts, so that no table that grows with the corpus is broadcast.
+   documents (k-means); all other words, known or not, make up the rare class, the end of a text is a class of its own.  Rare
+   words are features of what follows by their own hashes.
+3. Texts are numbered once and written.  Weights are trained in ``ROUNDS`` rounds over disjoint parts of all training
+   documents: every task takes the shared weights through its documents by mini-batch gradient steps (AdaGrad), and the
+   tasks' changes are averaged shard by shard: the classes' by tokens, the nodes' by each weight's gradients.
+4. All documents are scored in sparse numpy batches.  Frequent words are looked up in the task; the others are shuffled, once
+   per document and word, to meet their counts by the word itself, so that no table that grows with the corpus is broadcast.
+
+What grows with the corpus are the counts; the weights that every task holds have a bound (``BUCKETS`` and ``MOST_NODE_BUCKETS``;
+below it the nodes' buckets follow the number of distinct words).
 """
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -36,12 +42,15 @@ FREQUENT = 65_536
 KINDS = 32
 CLASSES = 24
 BUCKETS = 1 << 15
+MOST_NODE_BUCKETS = 1 << 19
 ROUNDS = 2
 STEP = 0.3
 BATCH = 8192
 SHARDS = 16
 END = b"\n"  # no word has white space
 _FLUSH = 1_000_000
+_START = -(1 << 31)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words(text: bytes) -> list[bytes]:
@@ -54,11 +63,6 @@ def is_held_out(doc_id: str | Column) -> Column:
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
 
-def _hash(word: bytes) -> int:
-    h = xxhash.xxh3_64_intdigest(word)
-    return h - (1 << 64) if h >> 63 else h
-
-
 def word_counts(training: DataFrame) -> DataFrame:
     """(word, kind, n) from (text bytes): tokens, the ends included, combined in each task before they are shuffled."""
 
@@ -106,14 +110,59 @@ def cluster(profiles: np.ndarray, weights: np.ndarray, classes: int, rounds: int
     return of
 
 
+@dataclass
+class Trees:
+    """A Huffman tree of each class's words: of every word the nodes from the root to it and where it turns."""
+
+    at: np.ndarray
+    long: np.ndarray
+    node: np.ndarray
+    right: np.ndarray
+    bias: np.ndarray
+
+    @classmethod
+    def of(cls, counts: np.ndarray, classes: np.ndarray) -> Trees:
+        """Frequent words make the shortest paths; a class of one word has none.  Ties go by number."""
+        parent: dict[int, tuple[int, bool]] = {}
+        bias: list[float] = []
+        many = len(counts)
+        for k in np.unique(classes):
+            heap = [(float(counts[i]), int(i)) for i in np.flatnonzero(classes == k)]
+            heapq.heapify(heap)
+            while len(heap) > 1:
+                (n, low), (m, high) = heapq.heappop(heap), heapq.heappop(heap)
+                node = many + len(bias)
+                parent[low], parent[high] = (node, False), (node, True)
+                bias.append(float(np.log(m / n)))
+                heapq.heappush(heap, (n + m, node))
+        at, nodes, turns = [0], [], []
+        for i in range(many):
+            path = []
+            while i in parent:
+                i, right = parent[i]
+                path.append((i - many, right))
+            nodes += [n for n, _ in reversed(path)]
+            turns += [r for _, r in reversed(path)]
+            at.append(len(nodes))
+        ends = np.array(at, np.int64)
+        return cls(ends[:-1], np.diff(ends), np.array(nodes, np.uint32), np.array(turns, bool), np.array(bias, np.float32))
+
+    def steps(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which of the ids, place in ``node`` and ``right``) of every node on the ids' paths."""
+        long = self.long[ids]
+        of = np.repeat(np.arange(len(ids)), long)
+        first = np.cumsum(long) - long
+        return of, np.arange(len(of)) - (first - self.at[ids])[of]
+
+
 @dataclass
 class Vocabulary:
-    """The frequent words with their counts and classes, and what is known of all training tokens."""
+    """The frequent words with their counts, classes and trees, and what is known of all training tokens."""
 
     words: dict[bytes, int]
     counts: np.ndarray
     classes: np.ndarray
-    log_in_class: np.ndarray
+    trees: Trees
     tokens: int
     distinct: int
     rare_tokens: int
@@ -124,12 +173,17 @@ class Vocabulary:
     def rare(self) -> int:
         return len(self.words)
 
+    @property
+    def node_buckets(self) -> int:
+        return 1 << min(max(10, (4 * self.distinct).bit_length()), MOST_NODE_BUCKETS.bit_length() - 1)
+
 
 def vocabulary(kinds: DataFrame, counts: DataFrame, frequent: int = FREQUENT, classes: int = CLASSES) -> Vocabulary:
     """From (word, kind, n) and (word, n); at most ``frequent`` words, with a count for each kind, are collected."""
     spark = kinds.sparkSession
+    end = F.col("word") == F.lit(END)
     whole = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    top = counts.where((F.col("n") >= 2) | (F.col("word") == F.lit(END))).orderBy(F.desc("n"), "word").limit(frequent).toArrow()
+    top = counts.where((F.col("n") >= 2) | end).orderBy(F.desc(end), F.desc("n"), "word").limit(frequent).toArrow()
     number = {w: i for i, w in enumerate(top["word"].to_pylist())}
     n = top["n"].to_numpy().astype(np.float64)
     listed = F.broadcast(spark.createDataFrame(pa.table({"word": top["word"], "id": pa.array(range(len(n)), pa.int32())})))
@@ -139,32 +193,79 @@ def vocabulary(kinds: DataFrame, counts: DataFrame, frequent: int = FREQUENT, cl
     of = np.append(cluster(profiles, n, classes), classes).astype(np.int32)  # the last is the rare words'
     if END in number:
         of[number[END]] = classes + 1
-    in_class = np.bincount(of[:-1], n, classes + 2)
     used = np.zeros(classes + 2, bool)
     used[np.unique(of)] = True
     used[classes + 1] = True
-    share = np.append(np.log10(n / in_class[of[:-1]]), 0.0) if len(n) else np.zeros(1)
-    return Vocabulary(number, np.append(n, 0), of, share, int(whole["n"]), whole["v"], int(whole["n"] - n.sum()), whole["v"] - len(n), used)
+    return Vocabulary(number, np.append(n, 0), of, Trees.of(np.append(n, 0), of), int(whole["n"]), whole["v"], int(whole["n"] - n.sum()), whole["v"] - len(n), used)
+
+
+class _Numbers(dict):
+    """Word -> its number, or -1 - a hash of it for rare ones."""
+
+    def __init__(self, known: dict[bytes, int]) -> None:
+        super().__init__(known)
+        self.known = known
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > len(self.known) + (1 << 18):
+            self.clear()
+            self.update(self.known)
+        found = self[word] = -1 - (xxhash.xxh3_64_intdigest(word) & 0x3FFFFFFF)
+        return found
 
 
-def _features(rows: list[np.ndarray], start: int, buckets: int) -> np.ndarray:
-    """Feature buckets of each token of padded rows: n-grams and skips; every token also has the bias, bucket 0."""
-    w1, w2, w3 = (np.concatenate([r[3 - k : len(r) - k] for r in rows]).astype(np.uint64) for k in (1, 2, 3))
-    out = np.empty((len(w1), 4), np.uint16)
-    for i, x in enumerate((w1, w2 + np.uint64(1 << 32), w1 * np.uint64(start + 1) + w2 + np.uint64(2 << 32), w3 + np.uint64(3 << 32))):
-        h = ((x + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
-        out[:, i] = 1 + h % np.uint64(buckets - 1)
+def numbered(docs: DataFrame, vocab: tuple) -> DataFrame:
+    """(row, doc_id, held_out, part, ids, rare, times) from (doc_id, held_out, part, text): a text's words as 32-bit numbers,
+    and its distinct rare words with their numbers of times."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        number = _Numbers(_value(vocab).words)
+        part, row = TaskContext.get().partitionId() << 36, 0
+        for b in batches:
+            ids, rare, times = [], [], []
+            for t in b.column(3).to_pylist():
+                ws = words(t)
+                x = np.fromiter(map(number.__getitem__, ws), np.int32, len(ws))
+                own = Counter([ws[i] for i in np.flatnonzero(x < 0)])
+                ids.append(x.tobytes())
+                rare.append(list(own))
+                times.append(list(own.values()))
+            n = len(ids)
+            yield pa.RecordBatch.from_arrays([pa.array(range(part + row, part + row + n), pa.int64()), *(b.column(k) for k in range(3)), pa.array(ids, pa.binary()), pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int64()))], names=["row", "doc_id", "held_out", "part", "ids", "rare", "times"])
+            row += n
+
+    return docs.select("doc_id", "held_out", "part", "text").mapInArrow(run, f"row bigint, doc_id {kind}, held_out boolean, part bigint, ids binary, rare array<binary>, times array<bigint>")
+
+
+def _padded(ids: bytes) -> np.ndarray:
+    """Three starts, the words, and a place for the end."""
+    out = np.empty(len(ids) // 4 + 4, np.int32)
+    out[:3] = out[-1] = _START
+    out[3:-1] = np.frombuffer(ids, np.int32)
     return out
 
 
-def _numbered(text: bytes, v: Vocabulary) -> tuple[list[bytes], np.ndarray]:
-    ws = words(text)
-    get, rare, start, n = v.words.get, v.rare, v.rare + 1, len(ws)
-    ids = np.empty(n + 4, np.int64)
-    ids[:3] = start
-    ids[3:-1] = np.fromiter(map(get, ws, repeat(rare)), np.int64, n)
-    ids[-1] = get(END, rare)
-    return ws, ids
+def _contexts(rows: list[np.ndarray]) -> np.ndarray:
+    """A hash per feature and token of padded rows: the word before, the two before, the second and the third before."""
+    w1, w2, w3 = (np.concatenate([r[3 - k : len(r) - k] for r in rows]).astype(np.int64).astype(np.uint64) for k in (1, 2, 3))
+    out = np.empty((4, len(w1)), np.uint64)
+    for i, x in enumerate((w1, (w1 * np.uint64(0xC2B2AE3D27D4EB4F)) ^ w2, w2, w3)):
+        h = (x + np.uint64(i + 1 << 40)) * _ODD
+        out[i] = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return out
+
+
+def _features(contexts: np.ndarray, buckets: int) -> np.ndarray:
+    """The class model's buckets of each token; every token also has the bias, bucket 0."""
+    return (1 + (contexts >> np.uint64(33)) % np.uint64(buckets - 1)).astype(np.uint16).T
+
+
+def _node_features(contexts: np.ndarray, of: np.ndarray, node: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets of three contexts (two n-grams, a skip) along with a node, for each of the tokens' nodes."""
+    salt = (node + np.uint32(1)) * np.uint32(0x9E3779B1)
+    shift = np.uint32(33 - buckets.bit_length())
+    return np.stack([((c[of] ^ salt) * np.uint32(0x85EBCA6B)) >> shift for c in (contexts[:3] >> np.uint64(32)).astype(np.uint32)])
 
 
 def _log_softmax(weights: np.ndarray, features: np.ndarray, used: np.ndarray) -> np.ndarray:
@@ -196,6 +297,25 @@ def gradient_steps(weights: np.ndarray, sums: np.ndarray, features: np.ndarray,
             weights[at] -= step * total / np.sqrt(sums[at] + 1e-6)
 
 
+def _node_odds(weights: np.ndarray, trees: Trees, contexts: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(which token, buckets, log odds of turning right, whether it does) of every node on the words' paths."""
+    of, place = trees.steps(ids)
+    node = trees.node[place]
+    at = _node_features(contexts, of, node, len(weights))
+    return of, at, trees.bias[node] + weights[at[0]] + weights[at[1]] + weights[at[2]], trees.right[place]
+
+
+def node_steps(weights: np.ndarray, sums: np.ndarray, trees: Trees, contexts: np.ndarray, ids: np.ndarray, step: float = STEP) -> None:
+    """AdaGrad steps in place for the nodes on the paths of frequent words."""
+    _, at, odds, right = _node_odds(weights, trees, contexts, ids)
+    if not len(odds):
+        return
+    g = 1 / (1 + np.exp(-odds)) - right
+    total = sum(np.bincount(x, g, len(weights)) for x in at).astype(np.float32)
+    sums += total * total
+    weights -= step * total / np.sqrt(sums + np.float32(1e-6))
+
+
 def _value(sent, cache: dict = {}):  # noqa: B006  a worker process keeps the last value of each name
     name, key, held = sent
     if cache.get(name, (None,))[0] != key:
@@ -207,58 +327,94 @@ def _send(spark, name: str, value) -> tuple:
     return name, scratch(spark, name), spark.sparkContext.broadcast(value)
 
 
-def train(training: DataFrame, v: Vocabulary, buckets: int = BUCKETS, rounds: int = ROUNDS) -> np.ndarray:
-    """Weights (buckets x classes) from (text bytes, part): round r takes the documents whose part is r."""
+def _chunks(rows: Iterator[bytes], most: int) -> Iterator[list[np.ndarray]]:
+    held, size = [], 0
+    for ids in rows:
+        held.append(_padded(ids))
+        size += len(held[-1])
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _targets(rows: list[np.ndarray], v: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number or the rare words' number, class, whether it is the end) of each token."""
+    ids = np.concatenate([x[3:] for x in rows])
+    last = np.zeros(len(ids), bool)
+    last[np.cumsum([len(x) - 3 for x in rows]) - 1] = True
+    ids = np.where(ids < 0, v.rare, ids)
+    return ids, np.where(last, len(v.used) - 1, v.classes[ids]), last
+
+
+def train(training: DataFrame, v: Vocabulary, buckets: int = BUCKETS, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """(class weights, buckets x classes; node weights) from (ids, part): round r takes the documents whose part is r."""
     spark, wide = training.sparkSession, len(v.used)
-    weights = np.zeros((buckets, wide), np.float32)
+    weights, nodes = np.zeros((buckets, wide), np.float32), np.zeros(v.node_buckets, np.float32)
     vocab = _send(spark, "vocabulary", v)
+    every = max(BATCH, len(nodes) // 16)  # so that a step over all of the nodes' weights is little beside its tokens'
 
     for r in range(rounds):
-        shared = _send(spark, "weights", weights)
+        shared = _send(spark, "weights", (weights, nodes))
 
         def run(batches, shared=shared):
-            v, base = _value(vocab), _value(shared)
+            v, (base, node_base) = _value(vocab), _value(shared)
             own, sums, done = base.copy(), np.full(base.shape, 1.0, np.float32), 0
-            rows, size = [], 0
-
-            def learn():
-                f = _features(rows, v.rare + 1, len(own))
-                y = v.classes[np.concatenate([x[3:] for x in rows])]
-                y = np.where(np.concatenate([np.arange(3, len(x)) == len(x) - 1 for x in rows]), len(v.used) - 1, y)
-                gradient_steps(own, sums, f, y, v.used)
-                return len(y)
-
-            for b in batches:
-                for t in b.column(0).to_pylist():
-                    rows.append(_numbered(t, v)[1])
-                    size += len(rows[-1])
-                    if size >= 8 * BATCH:
-                        done += learn()
-                        rows, size = [], 0
-            if rows:
-                done += learn()
+            node_own, node_sums = node_base.copy(), np.full(node_base.shape, 1.0, np.float32)
+            for rows in _chunks((t for b in batches for t in b.column(0).to_pylist()), 8 * BATCH):
+                contexts = _contexts(rows)
+                ids, y, last = _targets(rows, v)
+                gradient_steps(own, sums, _features(contexts, len(own)), y, v.used)
+                words = np.flatnonzero(~last & (ids < v.rare))
+                for i in range(0, len(words), every):
+                    part = words[i : i + every]
+                    node_steps(node_own, node_sums, v.trees, contexts[:, part], ids[part])
+                done += len(y)
             if done:
-                change = (own - base) * np.float32(done)
+                change, weight = (own - base) * np.float32(done), node_sums - 1
                 part = TaskContext.get().partitionId()
-                shards = np.array_split(change, SHARDS)
-                yield pa.RecordBatch.from_arrays([pa.array(range(SHARDS), pa.int32()), pa.array([part] * SHARDS, pa.int32()), pa.array([float(done)] * SHARDS), pa.array([s.tobytes() for s in shards], pa.binary())], names=["shard", "part", "tokens", "change"])
+                parts = [np.array_split(x, SHARDS) for x in (change, (node_own - node_base) * weight, weight)]
+                yield pa.RecordBatch.from_arrays([pa.array(range(SHARDS), pa.int32()), pa.array([part] * SHARDS, pa.int32()), pa.array([float(done)] * SHARDS), *(pa.array([s.tobytes() for s in p], pa.binary()) for p in parts)], names=["shard", "part", "tokens", "change", "node_change", "node_weight"])
 
         def add(part: pd.DataFrame) -> pd.DataFrame:
-            total = np.zeros(len(part["change"].iloc[0]) // 4, np.float32)
-            for x in part["change"]:
-                total += np.frombuffer(x, np.float32)
-            return pd.DataFrame({"shard": part["shard"].iloc[:1], "part": part["part"].iloc[:1] // 32, "tokens": [part["tokens"].sum()], "change": [total.tobytes()]})
-
-        schema = "shard int, part int, tokens double, change binary"
-        of = training.where(F.col("part") == r).select("text").mapInArrow(run, schema)
+            sums = {}
+            for c in ("change", "node_change", "node_weight"):
+                total = np.zeros(len(part[c].iloc[0]) // 4, np.float32)
+                for x in part[c]:
+                    total += np.frombuffer(x, np.float32)
+                sums[c] = [total.tobytes()]
+            return pd.DataFrame({"shard": part["shard"].iloc[:1], "part": part["part"].iloc[:1] // 32, "tokens": [part["tokens"].sum()], **sums})
+
+        schema = "shard int, part int, tokens double, change binary, node_change binary, node_weight binary"
+        of = training.where(F.col("part") == r).select("ids").mapInArrow(run, schema)
         # at most 32 tasks' changes of one shard are added at a time
         few = of.groupBy("shard", F.floor(F.col("part") / 32)).applyInPandas(add, schema)
         few = few.groupBy("shard", F.floor(F.col("part") / 32)).applyInPandas(add, schema)
         got = few.groupBy("shard").applyInPandas(add, schema).collect()
-        shards = np.array_split(weights, SHARDS)
+        shards, node_shards = np.array_split(weights, SHARDS), np.array_split(nodes, SHARDS)
         for x in got:
             shards[x["shard"]][...] += np.frombuffer(x["change"], np.float32).reshape(-1, wide) / np.float32(x["tokens"])
-    return weights
+            weight = np.frombuffer(x["node_weight"], np.float32)
+            node_shards[x["shard"]][...] += np.frombuffer(x["node_change"], np.float32) / np.maximum(weight, np.float32(1e-12))
+    return weights, nodes
+
+
+def log_probabilities(rows: list[np.ndarray], v: Vocabulary, weights: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    """Natural log of the model's probability of every token of padded rows; a rare word's is that of its class."""
+    contexts = _contexts(rows)
+    ids, y, last = _targets(rows, v)
+    f = _features(contexts, len(weights))
+    out = np.empty(len(ids))
+    for i in range(0, len(ids), BATCH):
+        p = _log_softmax(weights, f[i : i + BATCH], v.used)
+        out[i : i + BATCH] = p[np.arange(len(p)), y[i : i + BATCH]]
+    words = np.flatnonzero(~last & (ids < v.rare))
+    for i in range(0, len(words), BATCH):
+        part = words[i : i + BATCH]
+        of, _, odds, right = _node_odds(nodes, v.trees, contexts[:, part], ids[part])
+        out[part] -= np.bincount(of, np.logaddexp(np.float32(0), np.where(right, -odds, odds)), len(part))
+    return out
 
 
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent: int = FREQUENT, buckets: int = BUCKETS, rounds: int = ROUNDS) -> DataFrame:
@@ -271,73 +427,41 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent:
     spark = docs.sparkSession
     small_batches(spark)
     kind_of_id = docs.schema[doc_id].dataType.simpleString()
-    narrow = docs.select(F.col(doc_id).alias("doc_id"), is_held_out(doc_id).alias("held_out"), utf8(text).alias("text"))
-    training = narrow.where("not held_out").select("text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)).alias("part"))
-    kinds = written(word_counts(training.select("text")), "word-counts")
+    part = F.pmod(F.xxhash64(F.col(doc_id), F.col(text)), F.lit(rounds))
+    narrow = docs.select(F.col(doc_id).alias("doc_id"), is_held_out(doc_id).alias("held_out"), part.alias("part"), utf8(text).alias("text"))
+    kinds = written(word_counts(narrow.where("not held_out").select("text")), "word-counts")
     counts = written(kinds.groupBy("word").agg(F.sum("n").alias("n")), "counts")
     v = vocabulary(kinds, counts, frequent)
-    weights = train(training, v, buckets, rounds)
-    vocab, shared = _send(spark, "vocabulary", v), _send(spark, "weights", weights)
+    vocab = _send(spark, "vocabulary", v)
+    rows = written(numbered(narrow, vocab), "numbered")
+    shared = _send(spark, "weights", train(rows.where("not held_out"), v, buckets, rounds))
 
     def run(batches):
-        v, w = _value(vocab), _value(shared)
-        ln10, ends = np.log(10.0), len(v.used) - 1
+        v, (w, nodes) = _value(vocab), _value(shared)
         known = np.log10((v.counts + 1) / (v.tokens + v.distinct + 1))
         end_known = END in v.words
-        part, row = TaskContext.get().partitionId() << 36, 0
+        end_base = known[v.words.get(END, v.rare)]
         for b in batches:
-            out, rows, left, lost = [], [], [], []
-
-            def flush(rows=rows, left=left, out=out):
-                f = _features(rows, v.rare + 1, len(w))
-                ids = np.concatenate([x[3:] for x in rows])
-                last = np.concatenate([np.arange(3, len(x)) == len(x) - 1 for x in rows])
-                y = np.where(last, ends, v.classes[ids])
-                model = np.empty(len(ids))
-                for i in range(0, len(ids), 8 * BATCH):
-                    p = _log_softmax(w, f[i : i + 8 * BATCH], v.used)
-                    model[i : i + 8 * BATCH] = p[np.arange(len(p)), y[i : i + 8 * BATCH]] / ln10
-                here = ids < v.rare
-                model += np.where(last, 0.0, v.log_in_class[ids])
-                base = np.where(here | last, known[ids], 0.0)
-                at = np.concatenate(([0], np.cumsum([len(x) - 3 for x in rows])[:-1]))
-                hit = here & (~last | end_known)
-                out.extend(zip((len(x) - 3 for x in rows), np.add.reduceat(hit.astype(np.int64), at).tolist(), np.add.reduceat(base, at).tolist(), np.add.reduceat(model, at).tolist(), strict=True))
-                rows.clear()
-
-            size = 0
-            for t in b.column(2).to_pylist():
-                ws, ids = _numbered(t, v)
-                rows.append(ids)
-                rare = Counter([ws[i] for i in np.flatnonzero(ids[3:-1] == v.rare)])
-                left.append([_hash(x) for x in rare])
-                lost.append(list(rare.values()))
-                size += len(ids)
-                if size > 16 * BATCH:
-                    flush()
-                    size = 0
-            if rows:
-                flush()
-            n = len(out)
-            columns = [pa.array(range(part + row, part + row + n), pa.int64()), b.column(0), b.column(1), *(pa.array([o[k] for o in out], pa.int64() if k < 2 else pa.float64()) for k in range(4)), pa.array(left, pa.list_(pa.int64())), pa.array(lost, pa.list_(pa.int64()))]
-            row += n
-            yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "model", "rare", "times"])
-
-    scored = written(narrow.mapInArrow(run, f"row bigint, doc_id {kind_of_id}, held_out boolean, n_tokens bigint, n_known bigint, base double, model double, rare array<bigint>, times array<bigint>"), "scored")
+            sums = []
+            for held in _chunks(iter(b.column(3).to_pylist()), 16 * BATCH):
+                model = log_probabilities(held, v, w, nodes) / np.log(10.0)
+                ids, _, last = _targets(held, v)
+                base = np.where(last, end_base, np.where(ids < v.rare, known[ids], 0.0))
+                hit = np.where(last, end_known, ids < v.rare)
+                at = np.concatenate(([0], np.cumsum([len(x) - 3 for x in held])[:-1]))
+                sums.append(([len(x) - 3 for x in held], *(np.add.reduceat(x, at) for x in (hit.astype(np.int64), base, model))))
+            columns = [np.concatenate([x[k] for x in sums] or [np.zeros(0)]) for k in range(4)]
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(3)), *(pa.array(x.astype(np.int64 if k < 2 else np.float64)) for k, x in enumerate(columns))], names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "model"])
+
+    scored = rows.select("row", "doc_id", "held_out", "ids").mapInArrow(run, f"row bigint, doc_id {kind_of_id}, held_out boolean, n_tokens bigint, n_known bigint, base double, model double")
     frequent_words = F.broadcast(spark.createDataFrame(pa.table({"word": pa.array(list(v.words), pa.binary())})))
     # words whose count may be wanted: all but the frequent ones
-    hashed = counts.join(frequent_words, "word", "left_anti")
-
-    def hashes(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([_hash(x) for x in b.column(0).to_pylist()], pa.int64()), b.column(1)], names=["h", "n"])
-
-    table = hashed.mapInArrow(hashes, "h bigint, n bigint")
-    wanted = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("h"), F.col("x.times").alias("times"))
-    met = wanted.join(table, "h", "left")
+    table = counts.join(frequent_words, "word", "left_anti")
+    wanted = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
+    met = wanted.join(table, "word", "left")
     c = F.log10(F.coalesce(F.col("n"), F.lit(0)) + 1) * F.col("times")
     sums = met.groupBy("row").agg(F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more"), F.sum("times").alias("rares"), F.sum(c).alias("logs"))
-    both = scored.drop("rare", "times").join(sums, "row", "left").na.fill(0, ["more", "rares", "logs"])
+    both = scored.join(sums, "row", "left").na.fill(0, ["more", "rares", "logs"])
     whole = float(np.log10(v.tokens + v.distinct + 1))
     in_rare = float(np.log10(v.rare_tokens + v.rare_distinct + 1))
     return both.select(

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import language_model, quality
+from tessera.llm.common import written
 from tests.llm.brute import lower, split_words
 
 WHITE = " \t\n\x0b\x0c\r"
@@ -185,25 +186,80 @@ def test_language_model_base_and_gain(spark, frequent):
     assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in got)
 
 
+def fitted(spark, rows, frequent=50, classes=4, buckets=512):
+    df = spark.createDataFrame([(i, False, 0, t.encode()) for i, t in rows], "doc_id bigint, held_out boolean, part bigint, text binary")
+    kinds = language_model.word_counts(df.select("text"))
+    v = language_model.vocabulary(kinds, kinds.groupBy("word").agg(F.sum("n").alias("n")), frequent, classes)
+    return v, *language_model.train(written(language_model.numbered(df, language_model._send(spark, "vocabulary", v)), "numbered"), v, buckets, 1)
+
+
 def test_language_model_is_a_distribution(spark):
     rows = bilingual(200)
-    df = spark.createDataFrame([(t.encode(),) for _, t in rows], "text binary").withColumn("part", F.lit(0).cast("bigint"))
-    kinds = language_model.word_counts(df.select("text"))
-    v = language_model.vocabulary(kinds, kinds.groupBy("word").agg(F.sum("n").alias("n")), 50, 4)
-    w = language_model.train(df, v, 512, 1)
-    f = language_model._features([language_model._numbered(b"a1 a2 zzz b7", v)[1]], v.rare + 1, 512)
-    classes = np.exp(language_model._log_softmax(w, f, v.used))
-    assert classes.sum(1) == pytest.approx(np.ones(len(f)), rel=1e-5)
-    inside = np.bincount(v.classes[:-1], 10 ** v.log_in_class[:-1], len(v.used))
-    assert all(x == pytest.approx(1) for x in inside if x)
-    rare = sum((n + 1) / (v.rare_tokens + v.rare_distinct + 1) for n in rare_counts(rows, v)) + 1 / (v.rare_tokens + v.rare_distinct + 1)
-    assert rare == pytest.approx(1)
-
-
-def test_language_model_features_see_three_words_back():
-    v = language_model.Vocabulary({w: i for i, w in enumerate((b"a", b"b", b"c", b"d"))}, np.zeros(5), np.zeros(5, np.int32), np.zeros(5), 0, 0, 0, 0, np.ones(2, bool))
-    one, two = (language_model._features([language_model._numbered(t, v)[1]], v.rare + 1, 1 << 15)[3] for t in (b"a b c d", b"d b c d"))
-    assert (one != two).sum() == 1 and language_model.CLASSES >= 24
+    v, w, nodes = fitted(spark, rows)
+    assert np.abs(w).sum() > 0 and np.abs(nodes).sum() > 0 and len(v.trees.bias) > 20
+    rare = -1 - 77
+    for history in ([], [3], [5, 1], [rare, 7, 2], [9, 9, 9, rare]):
+        texts = [np.array([language_model._START] * 3 + history + [x, language_model._START], np.int32) for x in [*range(v.rare), rare]]
+        texts.append(np.array([language_model._START] * 3 + history + [language_model._START], np.int32))
+        found = [language_model.log_probabilities([t], v, w, nodes) for t in texts]
+        end = v.words[language_model.END]
+        said = [math.exp(x[len(history)]) for k, x in enumerate(found) if k != end]
+        assert sum(said) == pytest.approx(1, rel=1e-4)
+    left = sum((n + 1) / (v.rare_tokens + v.rare_distinct + 1) for n in rare_counts(rows, v)) + 1 / (v.rare_tokens + v.rare_distinct + 1)
+    assert left == pytest.approx(1)
+
+
+def slow_log10(text, v, w, nodes, counts):
+    """The model's log10 probability of a text, word by word."""
+    said = [*split_words(lower(text), WHITE), "\n"]
+    code = language_model._Numbers(v.words)
+    ids = [language_model._START] * 3 + [code[x.encode()] for x in said[:-1]]
+    total = 0.0
+    for k, word in enumerate(said):
+        row = np.array([*ids[k : k + 3], language_model._START], np.int32)
+        context = language_model._contexts([row])
+        z = [float(w[0, y] + sum(w[f, y] for f in language_model._features(context, len(w))[0])) for y in range(len(v.used))]
+        least = sum(math.exp(x) for x, on in zip(z, v.used, strict=True) if on)
+        i = ids[k + 3] if k + 3 < len(ids) else None
+        y = len(v.used) - 1 if i is None else v.classes[max(i, -1) if i >= 0 else v.rare]
+        total += math.log10(math.exp(z[y]) / least)
+        if i is not None and i < 0:
+            total += math.log10((counts[word] + 1) / (v.rare_tokens + v.rare_distinct + 1))
+        elif i is not None:
+            t = v.trees
+            for place in range(t.at[i], t.at[i] + t.long[i]):
+                node = t.node[place : place + 1]
+                odds = float(t.bias[node[0]]) + sum(float(nodes[x[0]]) for x in language_model._node_features(context, np.zeros(1, int), node, len(nodes)))
+                total -= math.log10(1 + math.exp(-odds if t.right[place] else odds))
+    return total
+
+
+def test_score_by_brute_force(spark, monkeypatch):
+    rows = bilingual(150) + [(1000, ""), (1001, None), (1002, "never seen words")]
+    kept = {}
+    for name in ("vocabulary", "train"):
+        monkeypatch.setattr(language_model, name, lambda *a, f=getattr(language_model, name), name=name, **k: kept.setdefault(name, f(*a, **k)))
+    got = {r["doc_id"]: r["score"] for r in language_model.score(spark.createDataFrame(rows, "doc_id bigint, text string"), frequent=60, buckets=256).collect()}
+    v, (w, nodes) = kept["vocabulary"], kept["train"]
+    counts = Counter(x for i, t in rows if not is_held_out(i) for x in [*split_words(lower(t or ""), WHITE), "\n"])
+    for i, t in rows[::5] + rows[-3:]:
+        assert got[i] == pytest.approx(slow_log10(t or "", v, w, nodes, counts), rel=1e-4)
+
+
+def test_words_of_a_class_follow_their_history(spark):
+    """One class alone: what tells words apart is the model within it."""
+    rng = random.Random(7)
+    rows = []
+    for i in range(600):
+        ws = [rng.randrange(20)]
+        for _ in range(40):
+            ws.append((ws[-1] * 7 + 3) % 20 if rng.random() < 0.9 else rng.randrange(20))
+        rows.append((i, " ".join(f"w{x}" for x in ws)))
+    v, w, nodes = fitted(spark, rows, classes=1)
+    text = language_model._padded(np.array([v.words[x.encode()] for x in rows[0][1].split()], np.int32).tobytes())
+    with_history = language_model.log_probabilities([text], v, w, nodes)[1:-1].mean()
+    without = language_model.log_probabilities([text], v, w, np.zeros_like(nodes))[1:-1].mean()
+    assert with_history > without + 1
 
 
 def rare_counts(rows, v):
