@@ -202,11 +202,15 @@ def set_links(docs: DataFrame, prints: DataFrame, nodes: DataFrame, text: str, s
     named = shared.select("key", "node").join(comp, "node", "left").withColumn("c", F.coalesce("comp", "node")).drop("comp")
     named = written(named, "star-nodes")
     several = named.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("key")
-    left = named.hint("merge").join(several, "key").hint("merge").join(own, "node")
-    left = written(left, "apart")
-    right = left.select("key", F.col("node").alias("v"), F.col("c").alias("d"), F.col("n").alias("m"), *(F.col(f"f{k}").alias(f"g{k}") for k in range(LONGS)))
-    rest = left.hint("merge").join(right, "key").where((F.col("node") < F.col("v")) & (F.col("c") != F.col("d")) & _promising(jaccard)).select(F.col("node").alias("u"), "v")
-    return first.unionByName(_confirmed(written(rest.distinct(), "pairs"), texts, shingle, jaccard))
+    apart = written(named.hint("merge").join(several, "key"), "apart")
+    lists = apart.groupBy("node").agg(F.collect_list("key").alias("keys"))  # at most ``BANDS`` each
+    left = apart.hint("merge").join(own.join(lists, "node"), "node")
+    left = written(left, "left")
+    right = left.select("key", F.col("node").alias("v"), F.col("c").alias("d"), F.col("n").alias("m"), F.col("keys").alias("theirs"), *(F.col(f"f{k}").alias(f"g{k}") for k in range(LONGS)))
+    # a pair comes out once, at the least of the keys that its nodes share
+    once = F.array_min(F.array_intersect("keys", "theirs")) == F.col("key")
+    rest = left.hint("merge").join(right, "key").where((F.col("node") < F.col("v")) & (F.col("c") != F.col("d")) & _promising(jaccard) & once).select(F.col("node").alias("u"), "v")
+    return first.unionByName(_confirmed(written(rest, "pairs"), texts, shingle, jaccard))
 
 
 def _segments(layout) -> Column:
