@@ -3,13 +3,17 @@
 A value after a credential word and ``=`` or ``:`` is cut into words, dates, repeats, keyboard walks and brute-force spans
 so that the guesses an attacker needs are fewest; dynamic programming over the value's positions finds that minimum.  Values
 that take at least ``LEAST`` (log10) guesses are reported as ``guess`` spans besides the base ones.
+
+Words are ranked from data: first a few that passwords are commonly made of, then the ``MOST_WORDS`` most common words of all
+the documents, counted over whole texts.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from functools import lru_cache
+from collections.abc import Iterable
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,6 +30,8 @@ _CONTEXT = re.compile(r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|crede
 #: log10 of guesses from which a value counts as a secret.
 LEAST = 8.0
 
+#: So many of the documents' most common words (a to z, 3 to 24 letters) are collected and sent to the tasks, about 10 bytes each.
+MOST_WORDS = 50_000
 #: Words that passwords are made of, most common first.
 WORDS = (
     "password", "admin", "welcome", "letmein", "monkey", "dragon", "master", "login", "princess", "sunshine", "football", "shadow", "michael", "superman", "batman",
@@ -42,14 +48,32 @@ _DATE = re.compile(r"(?:19|20)\d\d[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:0[1-9]|[12]\
 _BRUTE = math.log10(10)
 
 
-@lru_cache(4)
-def _ranks(words: tuple[str, ...]) -> tuple[dict[str, float], int]:
-    return {w: math.log10(i + 2) for i, w in reversed(list(enumerate(words)))}, max(map(len, words), default=0)
+@dataclass
+class Ranks:
+    """log10 of the guesses that each word takes, the most common first."""
+
+    cost: dict[str, float]
+    longest: int
+
+    @classmethod
+    def of(cls, words: Iterable[str]) -> Ranks:
+        listed = list(dict.fromkeys(words))
+        return cls({w: math.log10(i + 2) for i, w in enumerate(listed)}, max(map(len, listed), default=0))
+
+
+COMMON = Ranks.of(WORDS)
 
 
-def _spans(value: str, words: tuple[str, ...]):
+def common_words(docs: DataFrame, text: str = "text", most: int = MOST_WORDS) -> list[str]:
+    """The most common words of all texts, of which at least two occur; ties by the word.  Null texts have none."""
+    said = F.lower(F.col(text).cast("string"))
+    counted = docs.select(F.explode(F.regexp_extract_all(said, F.lit("(?<![a-z])[a-z]{3,24}(?![a-z])"), F.lit(0))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return [r["word"] for r in counted.where("n > 1").orderBy(F.desc("n"), "word").limit(most).collect()]
+
+
+def _spans(value: str, words: Ranks):
     """(start, end, log10 guesses, kind) of all pieces but brute force; their number grows linearly with the value."""
-    ranks, longest = _ranks(words)
+    ranks, longest = words.cost, words.longest
     low = value.lower()
     plain = "".join(LEET.get(c, c) for c in low)
     n = len(value)
@@ -81,7 +105,7 @@ def _spans(value: str, words: tuple[str, ...]):
                     yield i, j, math.log10(47 * 2 * (j - i)), "walk"
 
 
-def guess_cost(value: str, words: tuple[str, ...] = WORDS) -> tuple[float, list[tuple[int, int, str]]]:
+def guess_cost(value: str, words: Ranks = COMMON) -> tuple[float, list[tuple[int, int, str]]]:
     """(log10 guesses, the cheapest segmentation).  A brute-force character costs a factor of 10, each piece a factor of 2."""
     n, part = len(value), math.log10(2)
     ending: list[list[tuple[int, float, str]]] = [[] for _ in range(n + 1)]
@@ -114,28 +138,37 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
-def guess_spans(text: str, words: tuple[str, ...] = WORDS, least: float = LEAST) -> list[tuple[int, int, str]]:
+def guess_spans(text: str, words: Ranks = COMMON, least: float = LEAST) -> list[tuple[int, int, str]]:
     """(start, end, "guess") of values in credential contexts that take at least 10 ** ``least`` guesses."""
     return [(*m.span(2), "guess") for m in _CONTEXT.finditer(text) if guess_cost(m[2], words)[0] >= least]
 
 
-def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: tuple[str, ...] = WORDS, least: float = LEAST) -> DataFrame:
+def _loaded(sent, cache: dict = {}) -> Ranks:  # noqa: B006  one dictionary a worker process
+    if cache.get("of") is not sent.value:
+        cache["of"], cache["ranks"] = sent.value, Ranks.of(sent.value)
+    return cache["ranks"]
+
+
+def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: list[str] | None = None, least: float = LEAST) -> DataFrame:
     """One row per row of ``docs``: doc_id, spans array<struct<start, end, kind>>, by start and then kind as listed.
 
     Offsets count code points, ends are exclusive.  A null text is empty; an empty text has no spans; rows that repeat keep
-    a row each.  Whole texts are scanned.
+    a row each.  Whole texts are scanned.  ``words``, the most common first, are by default ``WORDS`` and then those of
+    ``common_words``.
     """
+    sent = docs.sparkSession.sparkContext.broadcast(list(WORDS) + common_words(docs, text) if words is None else words)
     small_batches(docs.sparkSession)
     kind = docs.schema[doc_id].dataType.simpleString()
     struct = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())])
     order = {k: i for i, k in enumerate(KINDS)}
 
     def run(batches):
+        ranks = _loaded(sent)
         for b in batches:
             found = []
             for raw in b.column(1).to_pylist():
                 t = raw.decode("utf-8", "replace")
-                spans = sorted(base_spans(t) + guess_spans(t, words, least), key=lambda s: (s[0], order[s[2]], s[1]))
+                spans = sorted(base_spans(t) + guess_spans(t, ranks, least), key=lambda s: (s[0], order[s[2]], s[1]))
                 found.append([{"start": a, "end": z, "kind": k} for a, z, k in spans])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(struct))], names=["doc_id", "spans"])
 

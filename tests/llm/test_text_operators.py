@@ -192,7 +192,7 @@ def slow_cost(value, words):
 @pytest.mark.parametrize("value", ["password", "p4ssw0rd1", "qwertyui", "aaaaaabb", "20240131", "xk3!vq", "lovelove9", "abcabcabc", "Zz"])
 def test_guess_cost_is_the_minimum(value):
     cost, parts = secrets.guess_cost(value)
-    assert cost == pytest.approx(slow_cost(value, secrets.WORDS))
+    assert cost == pytest.approx(slow_cost(value, secrets.COMMON))
     assert [a for a, _, _ in parts] == [0, *(z for _, z, _ in parts[:-1])] and parts[-1][1] == len(value)
 
 
@@ -218,3 +218,28 @@ def test_secrets_awkward(spark, awkward, nothing):
     text = "AKIA" + "Z" * 16 + " password = hunter2hunter2"
     assert [(s["kind"], text[s["start"] : s["end"]]) for s in got[9]][:2] == [("access", "AKIA" + "Z" * 16), ("assign", "password = hunter2hunter2")]
     assert got[3] == [] and secrets.scan(nothing).count() == 0 and secrets.scan(awkward).count() == 12
+
+
+def test_words_are_ranked_from_the_documents(spark):
+    rows = [(1, "The butterfly's wing; butterfly nets. Configuration FILES configuration"), (2, "wing of a butterfly wing"), (3, None), (4, "once upon " + "x" * 30 + " " + "x" * 30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert secrets.common_words(docs) == ["butterfly", "wing", "configuration"]
+    assert secrets.common_words(docs, most=1) == ["butterfly"] and secrets.common_words(docs.where("false")) == []
+
+
+def test_guesses_find_secrets_and_leave_prose(spark):
+    """Precision on values that are words of the documents, and recall on random ones."""
+    import random
+    import string
+
+    rng = random.Random(11)
+    prose = ["".join(rng.choice("aeiou" if k % 2 else "bcdfghklmnprst") for k in range(rng.randint(6, 14))) for _ in range(400)]
+    plain = [f"the {rng.choice(('password', 'token', 'secret', 'auth'))}: {rng.choice(prose)} of {rng.choice(prose)} and {rng.choice(prose)}" for _ in range(400)]
+    plain += [f"secret = {w}_{x}" for w, x in zip(prose[:100], prose[100:200], strict=True)]
+    hidden = [f"api_key = {''.join(rng.choice(string.ascii_letters + string.digits) for _ in range(rng.randint(10, 40)))}" for _ in range(200)]
+    rows = [(i, t) for i, t in enumerate([*plain, *hidden, *(" ".join(prose) for _ in range(3))])]
+    found = {r["doc_id"]: [s for s in r["spans"] if s["kind"] == "guess"] for r in secrets.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    hit = [i for i, x in found.items() if x]
+    planted = range(len(plain), len(plain) + len(hidden))
+    assert sum(i in planted for i in hit) == len(hidden)
+    assert len(hit) <= 1.2 * len(hidden)
