@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,10 +19,20 @@ HOT = 1000
 BATCH_BYTES = 8 << 20
 
 
+#: What ``written`` has made in this process, in order.
+_MADE: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in ``spark.checkpoint.dir``; an own one only where it is unset (tests)."""
+    """The folder that the cluster names in ``spark.checkpoint.dir``.
+
+    Where it is unset an own one is set, in local mode alone (tests); elsewhere executors would each write to their own disk,
+    so it is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="tessera-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -37,9 +48,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
+    _MADE.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def made() -> int:
+    """How many tables ``written`` has made so far; for ``discard_since``."""
+    return len(_MADE)
+
+
+def discard_since(spark: SparkSession, mark: int, keep: int = 0) -> None:
+    """Delete the tables made since ``mark``, but for the last ``keep``; what still reads them is lost."""
+    end = len(_MADE) - keep
+    for path in _MADE[mark:end]:
+        _delete(spark, path)
+    del _MADE[mark:end]
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound the bytes of Arrow batches (the default bounds rows only)."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -73,6 +98,9 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total:
 
 def discard(spark: SparkSession) -> None:
     """Delete what ``written`` and ``scratch`` have left of this application; results that read it are lost with it."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{spark.sparkContext.applicationId}")
+    _delete(spark, f"{shared_folder(spark)}/{spark.sparkContext.applicationId}")
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import written
+from tessera.llm.common import discard_since, made, written
 
 SALTS = 16
 
@@ -44,5 +44,7 @@ def components(links: DataFrame) -> DataFrame:
         if found["n"] == 0 or (found["n"], found["x"]) == mark:
             break
         mark = (found["n"], found["x"])
+        before = made()
         now = written(_step(now), "links")
+        discard_since(now.sparkSession, before - 1, 1)  # the step before
     return now.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())

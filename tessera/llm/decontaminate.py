@@ -2,17 +2,18 @@
 
 Normalising lower-cases A-Z and turns every ASCII byte that is no letter or digit into a blank, byte for byte, so offsets
 in the normalised text are offsets in the original.  The automaton is sent to every task; it is built from at most
-``max_windows`` windows.  A larger benchmark is cut into blocks of that many, each scanned by itself, and the findings of a
-document are united, so the automaton's size has a bound and no window is left out.
+``max_windows`` windows.  A larger benchmark is cut into blocks of that many, each sent by itself: a task reads about
+``HELD_BYTES`` of texts, scans them with one block's automaton after another and unites the findings.  So an automaton's size
+has a bound, no window is left out, and texts are read once and never shuffled.
 """
 
 from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections.abc import Iterator
 
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +22,8 @@ from tessera.llm.common import small_batches, utf8, written
 WINDOW = 10
 #: An automaton has about 50 bytes a character of its windows: 100,000 windows of 60 characters take about 300 MB.
 MAX_WINDOWS = 100_000
+#: Texts that a task scans with one block's automaton before it builds the next one's.
+HELD_BYTES = 32 << 20
 _CUT = 10_000
 _NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isdigit() or 97 <= b <= 122 else 32 for b in range(256))
 _WORD = re.compile(rb"[^ ]+")
@@ -105,21 +108,48 @@ def benchmark_windows(benchmark: DataFrame, item_id: str = "item_id", text: str
     return benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("item"), utf8(text).alias("_t_text")).mapInArrow(run, "item string, win binary").distinct()
 
 
-def _scanners(benchmark: DataFrame, item_id: str, item_text: str, size: int, max_windows: int):
-    """The windows of each block, broadcast; one block after another."""
+def _blocks(benchmark: DataFrame, item_id: str, item_text: str, size: int, max_windows: int) -> list:
+    """The windows of each block, broadcast; the driver holds one block at a time."""
     found = written(benchmark_windows(benchmark, item_id, item_text, size), "windows")
     blocks = max(1, -(-found.count() // max_windows))
+    sent = []
     for k in range(blocks):
-        part = found.where(F.pmod(F.xxhash64("item", "win"), F.lit(blocks)) == k).collect() if blocks > 1 else found.collect()
-        yield blocks, found.sparkSession.sparkContext.broadcast([(r["item"], bytes(r["win"])) for r in part])
+        part = found.where(F.pmod(F.xxhash64("item", "win"), F.lit(blocks)) == k) if blocks > 1 else found
+        sent.append(found.sparkSession.sparkContext.broadcast([(r["item"], bytes(r["win"])) for r in part.collect()]))
+    return sent
 
 
 def _loaded(sent, cache: dict = {}) -> Scanner:  # noqa: B006  one automaton a worker process
-    if cache.get("of") is not sent.value:
-        cache["of"], cache["scanner"] = sent.value, Scanner(sent.value)
+    if cache.get("of") is not sent:
+        cache.clear()
+        cache["scanner"] = Scanner(sent.value)
+        cache["of"] = sent
+        sent.__dict__.pop("_value", None)  # the broadcast's own copy; it is read again from its file
     return cache["scanner"]
 
 
+def _held(batches, at: int) -> Iterator[list[pa.RecordBatch]]:
+    held, weight = [], 0
+    for b in batches:
+        held.append(b)
+        weight += b.column(at).nbytes
+        if weight >= HELD_BYTES:
+            yield held
+            held, weight = [], 0
+    if held:
+        yield held
+
+
+def _united(ranges: list[tuple[int, int]], more: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(ranges + more) if ranges and more else ranges or more:
+        if out and out[-1][1] >= a:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
+        else:
+            out.append((a, b))
+    return out
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_hit, items array<string>, spans array<struct<start, end>>.
 
@@ -129,58 +159,30 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     """
     small_batches(docs.sparkSession)
     kind = docs.schema[doc_id].dataType.simpleString()
-    narrow = docs.select(F.col(doc_id).alias("doc_id"), utf8(text).alias("_t_text"))
-    schema = f"doc_id {kind}, n_words bigint, n_hit bigint, items array<string>, spans array<struct<start:bigint,end:bigint>>"
+    blocks = _blocks(benchmark, item_id, item_text, size, max_windows)
 
-    def scan(sent, only_hits):
-        def run(batches):
-            scanner = _loaded(sent)
-            for b in batches:
-                rows, n, ranges, items, texts = [], [], [], [], b.column(1).to_pylist()
-                for k, t in enumerate(texts):
+    def run(batches):
+        for held in _held(batches, 1):
+            texts = [b.column(1).to_pylist() for b in held]
+            n: list[int] = []
+            ranges: list[list[tuple[int, int]]] = [[] for ts in texts for _ in ts]
+            items: list[set[str]] = [set() for _ in ranges]
+            for k, sent in enumerate(blocks):
+                scanner = _loaded(sent)
+                for i, t in enumerate(t for ts in texts for t in ts):
                     count, hit, of = scanner(t)
-                    if hit or not only_hits:
-                        rows.append(k)
+                    ranges[i] = _united(ranges[i], hit)
+                    items[i] |= of
+                    if not k:
                         n.append(count)
-                        ranges.append(hit)
-                        items.append(sorted(of))
-                if only_hits:
-                    keys = [pa.array([xxhash.xxh64_intdigest(texts[k]) >> 1 for k in rows], pa.int64())]
-                    yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), *keys, pa.array([[{"a": a, "b": z} for a, z in r] for r in ranges], pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))), pa.array(items, pa.list_(pa.string()))], names=["doc_id", "_t_key", "ranges", "items"])
-                else:
-                    yield pa.RecordBatch.from_arrays(_found(b.column(0), texts, n, ranges, items), names=["doc_id", "n_words", "n_hit", "items", "spans"])
-
-        return run
-
-    hits = None
-    for blocks, sent in _scanners(benchmark, item_id, item_text, size, max_windows):
-        if blocks == 1:
-            return narrow.mapInArrow(scan(sent, False), schema)
-        part = narrow.mapInArrow(scan(sent, True), f"doc_id {kind}, _t_key bigint, ranges array<struct<a:bigint,b:bigint>>, items array<string>").dropDuplicates(["doc_id", "_t_key"])
-        hits = part if hits is None else hits.unionByName(part)
-    hits = hits.groupBy("doc_id", "_t_key").agg(F.array_sort(F.flatten(F.collect_list("ranges"))).alias("ranges"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-
-    def keyed(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([xxhash.xxh64_intdigest(t) >> 1 for t in b.column(1).to_pylist()], pa.int64())], names=["doc_id", "_t_text", "_t_key"])
+            i = 0
+            for b, ts in zip(held, texts, strict=True):
+                j = i + len(ts)
+                yield pa.RecordBatch.from_arrays(_found(b.column(0), ts, n[i:j], ranges[i:j], [sorted(x) for x in items[i:j]]), names=["doc_id", "n_words", "n_hit", "items", "spans"])
+                i = j
 
-    def finish(batches):
-        for b in batches:
-            texts, ranges = b.column(1).to_pylist(), []
-            for r in b.column(2).to_pylist():
-                merged: list[tuple[int, int]] = []
-                for x in r or []:
-                    if merged and merged[-1][1] >= x["a"]:
-                        merged[-1] = (merged[-1][0], max(merged[-1][1], x["b"]))
-                    else:
-                        merged.append((x["a"], x["b"]))
-                ranges.append(merged)
-            yield pa.RecordBatch.from_arrays(_found(b.column(0), texts, [len(words(t)) for t in texts], ranges, [x or [] for x in b.column(3).to_pylist()]), names=["doc_id", "n_words", "n_hit", "items", "spans"])
-
-    left = narrow.mapInArrow(keyed, f"doc_id {kind}, _t_text binary, _t_key bigint").alias("l")
-    same = F.col("l.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("l._t_key") == F.col("r._t_key"))
-    joined = left.join(hits.alias("r"), same, "left").select("l.doc_id", "l._t_text", "r.ranges", "r.items")
-    return joined.mapInArrow(finish, schema)
+    schema = f"doc_id {kind}, n_words bigint, n_hit bigint, items array<string>, spans array<struct<start:bigint,end:bigint>>"
+    return docs.select(F.col(doc_id).alias("doc_id"), utf8(text).alias("_t_text")).mapInArrow(run, schema)
 
 
 def _found(ids, texts, n, ranges, items) -> list[pa.Array]:
@@ -191,21 +193,26 @@ def _found(ids, texts, n, ranges, items) -> list[pa.Array]:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
-    """``docs`` without the rows in which any window occurs; nothing is shuffled, one pass a block of the benchmark."""
+    """``docs`` without the rows in which any window occurs; nothing is shuffled.
+
+    Null and empty texts have no words and stay, also if an item has none; rows that repeat go or stay alike; an empty
+    benchmark drops nothing.
+    """
     small_batches(docs.sparkSession)
-    left, columns, schema = docs, docs.columns, docs.schema
-
-    def clean(sent, at):
-        def run(batches):
-            scanner = _loaded(sent)
-            for b in batches:
-                texts = b.column(at).cast(pa.binary()).to_pylist()
-                yield b.filter(pa.array([not scanner(t or b"")[1] for t in texts], pa.bool_()))
-
-        return run
-
-    for blocks, sent in _scanners(benchmark, item_id, item_text, size, max_windows):
-        left = left.mapInArrow(clean(sent, columns.index(text)), schema)
-        if blocks > 1:
-            left = written(left, "clean")
-    return left
+    at = docs.columns.index(text)
+    blocks = _blocks(benchmark, item_id, item_text, size, max_windows)
+
+    def run(batches):
+        for held in _held(batches, at):
+            texts = [b.column(at).cast(pa.binary()).to_pylist() for b in held]
+            stays = [[True] * len(ts) for ts in texts]
+            for sent in blocks:
+                scanner = _loaded(sent)
+                for ts, keep in zip(texts, stays, strict=True):
+                    for i, t in enumerate(ts):
+                        if keep[i] and t and scanner(t)[1]:
+                            keep[i] = False
+            for b, keep in zip(held, stays, strict=True):
+                yield b.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
