@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,8 +15,11 @@ from tessera.streaming import clocks
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder below the one that the cluster names; an own one only where none is named."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='tessera-')}"
+    """A new folder below the one that the cluster names; an own one only where none is named, in local mode (tests)."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    root = root or f"file://{tempfile.mkdtemp(prefix='tessera-')}"
     return f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
 
 
