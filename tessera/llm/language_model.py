@@ -45,7 +45,7 @@ BUCKETS = 1 << 15
 MOST_NODE_BUCKETS = 1 << 19
 ROUNDS = 2
 STEP = 0.3
-BATCH = 8192
+BATCH = 32_768
 SHARDS = 16
 END = b"\n"  # no word has white space
 _FLUSH = 1_000_000
@@ -112,13 +112,17 @@ def cluster(profiles: np.ndarray, weights: np.ndarray, classes: int, rounds: int
 
 @dataclass
 class Trees:
-    """A Huffman tree of each class's words: of every word the nodes from the root to it and where it turns."""
+    """A Huffman tree of each class's words.
+
+    A word's path is a stretch of the flat arrays, a place for each node from the root on: a hash of the node, the log odds of
+    the counts that it turns right, and whether the word does.
+    """
 
     at: np.ndarray
     long: np.ndarray
-    node: np.ndarray
-    right: np.ndarray
+    salt: np.ndarray
     bias: np.ndarray
+    right: np.ndarray
 
     @classmethod
     def of(cls, counts: np.ndarray, classes: np.ndarray) -> Trees:
@@ -144,15 +148,15 @@ class Trees:
             nodes += [n for n, _ in reversed(path)]
             turns += [r for _, r in reversed(path)]
             at.append(len(nodes))
-        ends = np.array(at, np.int64)
-        return cls(ends[:-1], np.diff(ends), np.array(nodes, np.uint32), np.array(turns, bool), np.array(bias, np.float32))
+        ends, node = np.array(at), np.array(nodes, np.int64)
+        salt = (node.astype(np.uint32) + np.uint32(1)) * np.uint32(0x9E3779B1)
+        return cls(ends[:-1], np.diff(ends), salt, np.array(bias, np.float32)[node], np.array(turns, bool))
 
     def steps(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(which of the ids, place in ``node`` and ``right``) of every node on the ids' paths."""
+        """(which of the ids, place in the flat arrays) of every node on the ids' paths."""
         long = self.long[ids]
         of = np.repeat(np.arange(len(ids)), long)
-        first = np.cumsum(long) - long
-        return of, np.arange(len(of)) - (first - self.at[ids])[of]
+        return of, np.arange(len(of)) - np.repeat(np.cumsum(long) - long - self.at[ids], long)
 
 
 @dataclass
@@ -167,7 +171,7 @@ class Vocabulary:
     distinct: int
     rare_tokens: int
     rare_distinct: int
-    used: np.ndarray
+    wide: int  # classes; the last but one is the rare words', the last the end's
 
     @property
     def rare(self) -> int:
@@ -190,13 +194,12 @@ def vocabulary(kinds: DataFrame, counts: DataFrame, frequent: int = FREQUENT, cl
     of_kind = kinds.join(listed, "word").select("id", F.col("kind").cast("tinyint"), "n").toArrow()
     profiles = np.zeros((len(n), KINDS), np.float32)
     profiles[of_kind["id"].to_numpy(), of_kind["kind"].to_numpy()] = of_kind["n"].to_numpy()
-    of = np.append(cluster(profiles, n, classes), classes).astype(np.int32)  # the last is the rare words'
+    of = np.append(cluster(profiles, n, classes), classes)  # the last is the rare words'
     if END in number:
         of[number[END]] = classes + 1
-    used = np.zeros(classes + 2, bool)
-    used[np.unique(of)] = True
-    used[classes + 1] = True
-    return Vocabulary(number, np.append(n, 0), of, Trees.of(np.append(n, 0), of), int(whole["n"]), whole["v"], int(whole["n"] - n.sum()), whole["v"] - len(n), used)
+    found, of = np.unique(np.append(of, classes + 1), return_inverse=True)
+    of = of[:-1].astype(np.int32)
+    return Vocabulary(number, np.append(n, 0), of, Trees.of(np.append(n, 0), of), int(whole["n"]), whole["v"], int(whole["n"] - n.sum()), whole["v"] - len(n), len(found))
 
 
 class _Numbers(dict):
@@ -207,7 +210,7 @@ class _Numbers(dict):
         self.known = known
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > len(self.known) + (1 << 18):
+        if len(self) > len(self.known) + (1 << 19):
             self.clear()
             self.update(self.known)
         found = self[word] = -1 - (xxhash.xxh3_64_intdigest(word) & 0x3FFFFFFF)
@@ -247,71 +250,75 @@ def _padded(ids: bytes) -> np.ndarray:
 
 
 def _contexts(rows: list[np.ndarray]) -> np.ndarray:
-    """A hash per feature and token of padded rows: the word before, the two before, the second and the third before."""
+    """A 32-bit hash per feature and token of padded rows: the word before, the two before, the second and the third before."""
     w1, w2, w3 = (np.concatenate([r[3 - k : len(r) - k] for r in rows]).astype(np.int64).astype(np.uint64) for k in (1, 2, 3))
-    out = np.empty((4, len(w1)), np.uint64)
+    out = np.empty((4, len(w1)), np.uint32)
     for i, x in enumerate((w1, (w1 * np.uint64(0xC2B2AE3D27D4EB4F)) ^ w2, w2, w3)):
         h = (x + np.uint64(i + 1 << 40)) * _ODD
-        out[i] = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        out[i] = ((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(32)
     return out
 
 
 def _features(contexts: np.ndarray, buckets: int) -> np.ndarray:
-    """The class model's buckets of each token; every token also has the bias, bucket 0."""
-    return (1 + (contexts >> np.uint64(33)) % np.uint64(buckets - 1)).astype(np.uint16).T
+    """The class model's buckets of each feature and token; every token also has the bias, bucket 0."""
+    return (1 + (contexts >> np.uint32(1)) % np.uint32(buckets - 1)).astype(np.intp)
 
 
-def _node_features(contexts: np.ndarray, of: np.ndarray, node: np.ndarray, buckets: int) -> np.ndarray:
+def _node_features(contexts: np.ndarray, of: np.ndarray, salt: np.ndarray, buckets: int) -> np.ndarray:
     """Buckets of three contexts (two n-grams, a skip) along with a node, for each of the tokens' nodes."""
-    salt = (node + np.uint32(1)) * np.uint32(0x9E3779B1)
+    out = np.empty((3, len(of)), np.intp)
     shift = np.uint32(33 - buckets.bit_length())
-    return np.stack([((c[of] ^ salt) * np.uint32(0x85EBCA6B)) >> shift for c in (contexts[:3] >> np.uint64(32)).astype(np.uint32)])
+    for row, c in zip(out, contexts, strict=False):
+        h = np.take(c, of, mode="clip")
+        h ^= salt
+        h *= np.uint32(0x85EBCA6B)
+        h >>= shift
+        row[:] = h
+    return out
 
 
-def _log_softmax(weights: np.ndarray, features: np.ndarray, used: np.ndarray) -> np.ndarray:
-    z = weights[features[:, 0]]
-    for i in range(1, features.shape[1]):
-        z += weights[features[:, i]]
-    z += weights[0]
-    z[:, ~used] = -np.inf
-    z -= z.max(1, keepdims=True)
-    z -= np.log(np.exp(z).sum(1, keepdims=True))
-    return z
+def _odds(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
+    """Unnormalised logs (classes x tokens) from weights (classes x buckets) and features (features x tokens)."""
+    z = np.take(weights, features[0], axis=1, mode="clip")
+    for f in features[1:]:
+        z += np.take(weights, f, axis=1, mode="clip")
+    z += weights[:, :1]
+    return np.clip(z, -80, 80, out=z)
 
 
-def gradient_steps(weights: np.ndarray, sums: np.ndarray, features: np.ndarray, classes: np.ndarray, used: np.ndarray, step: float = STEP) -> None:
-    """AdaGrad steps in place over mini-batches of (features, class); features are at most 16 bits, so they sort by radix."""
+def gradient_steps(weights: np.ndarray, sums: np.ndarray, features: np.ndarray, classes: np.ndarray, step: float = STEP) -> None:
+    """AdaGrad steps in place over mini-batches of (features, class)."""
+    buckets = weights.shape[1]
     for i in range(0, len(classes), BATCH):
-        f, y = features[i : i + BATCH], classes[i : i + BATCH]
-        g = np.exp(_log_softmax(weights, f, used))
-        g[np.arange(len(y)), y] -= 1
-        rows, totals = [np.zeros(1, np.int64)], [g.sum(0, keepdims=True)]
-        for k in range(f.shape[1]):
-            order = np.argsort(f[:, k], kind="stable")
-            at = f[order, k]
-            first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-            rows.append(at[first].astype(np.int64))
-            totals.append(np.add.reduceat(g[order], first, axis=0))
-        for at, total in zip(rows, totals, strict=True):
-            sums[at] += total * total
-            weights[at] -= step * total / np.sqrt(sums[at] + 1e-6)
+        f, y = features[:, i : i + BATCH], classes[i : i + BATCH]
+        g = np.exp(_odds(weights, f))
+        g /= g.sum(0)
+        g[y, np.arange(len(y))] -= 1
+        at = f.ravel()
+        for k in range(len(weights)):
+            total = np.bincount(at, np.tile(g[k], len(f)), buckets).astype(np.float32)
+            total[0] = g[k].sum()
+            sums[k] += total * total
+            weights[k] -= step * total / np.sqrt(sums[k] + np.float32(1e-6))
 
 
 def _node_odds(weights: np.ndarray, trees: Trees, contexts: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(which token, buckets, log odds of turning right, whether it does) of every node on the words' paths."""
     of, place = trees.steps(ids)
-    node = trees.node[place]
-    at = _node_features(contexts, of, node, len(weights))
-    return of, at, trees.bias[node] + weights[at[0]] + weights[at[1]] + weights[at[2]], trees.right[place]
+    at = _node_features(contexts, of, np.take(trees.salt, place, mode="clip"), len(weights))
+    odds = np.take(trees.bias, place, mode="clip")
+    for row in at:
+        odds += np.take(weights, row, mode="clip")
+    return of, at, np.clip(odds, -80, 80, out=odds), np.take(trees.right, place, mode="clip")
 
 
 def node_steps(weights: np.ndarray, sums: np.ndarray, trees: Trees, contexts: np.ndarray, ids: np.ndarray, step: float = STEP) -> None:
     """AdaGrad steps in place for the nodes on the paths of frequent words."""
-    _, at, odds, right = _node_odds(weights, trees, contexts, ids)
-    if not len(odds):
+    if not trees.long[ids].any():
         return
+    _, at, odds, right = _node_odds(weights, trees, contexts, ids)
     g = 1 / (1 + np.exp(-odds)) - right
-    total = sum(np.bincount(x, g, len(weights)) for x in at).astype(np.float32)
+    total = np.bincount(at.ravel(), np.tile(g, len(at)), len(weights)).astype(np.float32)
     sums += total * total
     weights -= step * total / np.sqrt(sums + np.float32(1e-6))
 
@@ -345,15 +352,15 @@ def _targets(rows: list[np.ndarray], v: Vocabulary) -> tuple[np.ndarray, np.ndar
     last = np.zeros(len(ids), bool)
     last[np.cumsum([len(x) - 3 for x in rows]) - 1] = True
     ids = np.where(ids < 0, v.rare, ids)
-    return ids, np.where(last, len(v.used) - 1, v.classes[ids]), last
+    return ids, np.where(last, v.wide - 1, v.classes[ids]), last
 
 
 def train(training: DataFrame, v: Vocabulary, buckets: int = BUCKETS, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """(class weights, buckets x classes; node weights) from (ids, part): round r takes the documents whose part is r."""
-    spark, wide = training.sparkSession, len(v.used)
-    weights, nodes = np.zeros((buckets, wide), np.float32), np.zeros(v.node_buckets, np.float32)
+    """(class weights, classes x buckets; node weights) from (ids, part): round r takes the documents whose part is r."""
+    spark = training.sparkSession
+    weights, nodes = np.zeros((v.wide, buckets), np.float32), np.zeros(v.node_buckets, np.float32)
     vocab = _send(spark, "vocabulary", v)
-    every = max(BATCH, len(nodes) // 16)  # so that a step over all of the nodes' weights is little beside its tokens'
+    every = max(BATCH, len(nodes) // 8)  # so that a step over all of the nodes' weights is little beside its tokens'
 
     for r in range(rounds):
         shared = _send(spark, "weights", (weights, nodes))
@@ -362,10 +369,10 @@ def train(training: DataFrame, v: Vocabulary, buckets: int = BUCKETS, rounds: in
             v, (base, node_base) = _value(vocab), _value(shared)
             own, sums, done = base.copy(), np.full(base.shape, 1.0, np.float32), 0
             node_own, node_sums = node_base.copy(), np.full(node_base.shape, 1.0, np.float32)
-            for rows in _chunks((t for b in batches for t in b.column(0).to_pylist()), 8 * BATCH):
+            for rows in _chunks((t for b in batches for t in b.column(0).to_pylist()), 4 * BATCH):
                 contexts = _contexts(rows)
                 ids, y, last = _targets(rows, v)
-                gradient_steps(own, sums, _features(contexts, len(own)), y, v.used)
+                gradient_steps(own, sums, _features(contexts, own.shape[1]), y)
                 words = np.flatnonzero(~last & (ids < v.rare))
                 for i in range(0, len(words), every):
                     part = words[i : i + every]
@@ -374,7 +381,7 @@ def train(training: DataFrame, v: Vocabulary, buckets: int = BUCKETS, rounds: in
             if done:
                 change, weight = (own - base) * np.float32(done), node_sums - 1
                 part = TaskContext.get().partitionId()
-                parts = [np.array_split(x, SHARDS) for x in (change, (node_own - node_base) * weight, weight)]
+                parts = [np.array_split(x.ravel(), SHARDS) for x in (change, (node_own - node_base) * weight, weight)]
                 yield pa.RecordBatch.from_arrays([pa.array(range(SHARDS), pa.int32()), pa.array([part] * SHARDS, pa.int32()), pa.array([float(done)] * SHARDS), *(pa.array([s.tobytes() for s in p], pa.binary()) for p in parts)], names=["shard", "part", "tokens", "change", "node_change", "node_weight"])
 
         def add(part: pd.DataFrame) -> pd.DataFrame:
@@ -392,9 +399,9 @@ def train(training: DataFrame, v: Vocabulary, buckets: int = BUCKETS, rounds: in
         few = of.groupBy("shard", F.floor(F.col("part") / 32)).applyInPandas(add, schema)
         few = few.groupBy("shard", F.floor(F.col("part") / 32)).applyInPandas(add, schema)
         got = few.groupBy("shard").applyInPandas(add, schema).collect()
-        shards, node_shards = np.array_split(weights, SHARDS), np.array_split(nodes, SHARDS)
+        shards, node_shards = np.array_split(weights.reshape(-1), SHARDS), np.array_split(nodes, SHARDS)
         for x in got:
-            shards[x["shard"]][...] += np.frombuffer(x["change"], np.float32).reshape(-1, wide) / np.float32(x["tokens"])
+            shards[x["shard"]][...] += np.frombuffer(x["change"], np.float32) / np.float32(x["tokens"])
             weight = np.frombuffer(x["node_weight"], np.float32)
             node_shards[x["shard"]][...] += np.frombuffer(x["node_change"], np.float32) / np.maximum(weight, np.float32(1e-12))
     return weights, nodes
@@ -404,16 +411,18 @@ def log_probabilities(rows: list[np.ndarray], v: Vocabulary, weights: np.ndarray
     """Natural log of the model's probability of every token of padded rows; a rare word's is that of its class."""
     contexts = _contexts(rows)
     ids, y, last = _targets(rows, v)
-    f = _features(contexts, len(weights))
+    f = _features(contexts, weights.shape[1])
     out = np.empty(len(ids))
     for i in range(0, len(ids), BATCH):
-        p = _log_softmax(weights, f[i : i + BATCH], v.used)
-        out[i : i + BATCH] = p[np.arange(len(p)), y[i : i + BATCH]]
+        z, own = _odds(weights, f[:, i : i + BATCH]), y[i : i + BATCH]
+        out[i : i + BATCH] = z[own, np.arange(len(own))] - np.log(np.exp(z).sum(0))
     words = np.flatnonzero(~last & (ids < v.rare))
     for i in range(0, len(words), BATCH):
         part = words[i : i + BATCH]
+        if not v.trees.long[ids[part]].any():
+            continue
         of, _, odds, right = _node_odds(nodes, v.trees, contexts[:, part], ids[part])
-        out[part] -= np.bincount(of, np.logaddexp(np.float32(0), np.where(right, -odds, odds)), len(part))
+        out[part] -= np.bincount(of, np.log(1 + np.exp(np.where(right, -odds, odds))), len(part))
     return out
 
 
@@ -443,7 +452,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent:
         end_base = known[v.words.get(END, v.rare)]
         for b in batches:
             sums = []
-            for held in _chunks(iter(b.column(3).to_pylist()), 16 * BATCH):
+            for held in _chunks(iter(b.column(3).to_pylist()), 4 * BATCH):
                 model = log_probabilities(held, v, w, nodes) / np.log(10.0)
                 ids, _, last = _targets(held, v)
                 base = np.where(last, end_base, np.where(ids < v.rare, known[ids], 0.0))

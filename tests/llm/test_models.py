@@ -218,18 +218,17 @@ def slow_log10(text, v, w, nodes, counts):
     for k, word in enumerate(said):
         row = np.array([*ids[k : k + 3], language_model._START], np.int32)
         context = language_model._contexts([row])
-        z = [float(w[0, y] + sum(w[f, y] for f in language_model._features(context, len(w))[0])) for y in range(len(v.used))]
-        least = sum(math.exp(x) for x, on in zip(z, v.used, strict=True) if on)
+        z = [float(w[y, 0] + sum(w[y, f] for f in language_model._features(context, w.shape[1])[:, 0])) for y in range(v.wide)]
+        least = sum(map(math.exp, z))
         i = ids[k + 3] if k + 3 < len(ids) else None
-        y = len(v.used) - 1 if i is None else v.classes[max(i, -1) if i >= 0 else v.rare]
+        y = v.wide - 1 if i is None else v.classes[max(i, -1) if i >= 0 else v.rare]
         total += math.log10(math.exp(z[y]) / least)
         if i is not None and i < 0:
             total += math.log10((counts[word] + 1) / (v.rare_tokens + v.rare_distinct + 1))
         elif i is not None:
             t = v.trees
             for place in range(t.at[i], t.at[i] + t.long[i]):
-                node = t.node[place : place + 1]
-                odds = float(t.bias[node[0]]) + sum(float(nodes[x[0]]) for x in language_model._node_features(context, np.zeros(1, int), node, len(nodes)))
+                odds = float(t.bias[place]) + sum(float(nodes[x[0]]) for x in language_model._node_features(context, np.zeros(1, int), t.salt[place : place + 1], len(nodes)))
                 total -= math.log10(1 + math.exp(-odds if t.right[place] else odds))
     return total
 
