@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import struct
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -171,20 +174,64 @@ def mask_area(counts: Column) -> Column:
     return F.aggregate(F.transform(counts, lambda x, i: F.when(i % 2 == 1, x).otherwise(0)), F.lit(0).cast("bigint"), lambda s, x: s + x.cast("bigint"))
 
 
-def opus_pages(packets: list[bytes], serial: int = 1) -> bytes:
-    """An Ogg stream of packets, a page each, with running granule positions of 960 samples."""
-    import struct
+def ogg_page(segments: bytes, content: bytes, serial: int, number: int, granule: int, flags: int) -> bytes:
+    """One Ogg page: its header with the checksum, the segment table, the content."""
+    page = struct.pack("<4sBBqIIIB", b"OggS", 0, flags, granule, serial, number, 0, len(segments)) + segments + content
+    return page[:22] + struct.pack("<I", ogg_crc(page)) + page[26:]
+
 
-    out = []
-    for n, p in enumerate(packets):
-        lacing = bytes([255] * (len(p) // 255) + [len(p) % 255])
-        flags = (2 if n == 0 else 0) | (4 if n == len(packets) - 1 else 0)
-        head = struct.pack("<4sBBqIIIB", b"OggS", 0, flags, 960 * n, serial, n, 0, len(lacing)) + lacing
-        page = head + p
-        out.append(page[:22] + struct.pack("<I", ogg_crc(page)) + page[26:])
+def ogg_opus(packets: list[bytes], channels: int = 1, rate: int = 48_000, preskip: int = 0, vendor: str = "tessera", serial: int = 1, samples: int = 960) -> bytes:
+    """An Ogg Opus file of raw packets in order: a page with OpusHead, one with OpusTags, then at most 32 packets a page.
+
+    The granule position counts the samples (of 48 kHz) that a page's packets complete; the last page adds ``preskip``.  A packet
+    that does not fit in a page's 255 segments goes on in the next one, which says so; a page that ends no packet has granule -1.
+    """
+    if not packets:
+        raise ValueError("no packets")
+    named = vendor.encode()
+    head = struct.pack("<8sBBHIhB", b"OpusHead", 1, channels, preskip, rate, 0, 0)
+    tags = struct.pack("<8sI", b"OpusTags", len(named)) + named + struct.pack("<I", 0)
+    laid: list[tuple[bytes, bytes, int, bool]] = []  # segments, content, packets that end, whether it goes on from before
+    held, content, ends, continued = bytearray(), bytearray(), 0, False
+
+    def close(goes_on: bool) -> None:
+        nonlocal held, content, ends, continued
+        laid.append((bytes(held), bytes(content), ends, continued))
+        held, content, ends, continued = bytearray(), bytearray(), 0, goes_on
+
+    for p in packets:
+        sizes = bytes([255] * (len(p) // 255) + [len(p) % 255])
+        if ends == 32 or held and len(held) + len(sizes) > 255 >= len(sizes):
+            close(False)
+        at = 0
+        while sizes:
+            part, sizes = sizes[: 255 - len(held)], sizes[255 - len(held) :]
+            held += part
+            content += p[at : at + sum(part)]
+            at += sum(part)
+            if sizes:
+                close(True)
+        ends += 1
+    close(False)
+    out, done = [ogg_page(bytes([len(head)]), head, serial, 0, 0, 2), ogg_page(bytes([255] * (len(tags) // 255) + [len(tags) % 255]), tags, serial, 1, 0, 0)], 0
+    for n, (sizes, data, count, goes_on) in enumerate(laid):
+        done += samples * count
+        last = n == len(laid) - 1
+        out.append(ogg_page(sizes, data, serial, n + 2, done + preskip if last else done if count else -1, (4 if last else 0) | (1 if goes_on else 0)))
     return b"".join(out)
 
 
+def opus_files(df: DataFrame, keys: list[str], order: str, payload: str, **how) -> DataFrame:
+    """(keys, packets, content): each stream's packets by ``order`` as one Ogg Opus file; null packets are left out."""
+    kinds = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        packets = [bytes(p) for p in part.sort_values(order)[payload]]
+        return pd.DataFrame([(*part[keys].iloc[0], len(packets), ogg_opus(packets, **how))], columns=[*keys, "packets", "content"])
+
+    return df.where(F.col(payload).isNotNull()).select(*keys, order, payload).groupBy(*keys).applyInPandas(run, f"{kinds}, packets bigint, content binary")
+
+
 def ogg_crc(data: bytes) -> int:
     """CRC-32 with polynomial 0x04C11DB7, not reflected, from 0."""
     crc = 0

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.intervals import freeze_spans
+from tessera.operators.quality import every_kth
 
 
 def depth_stats(df: DataFrame, keys: list[str], pixels: str, invalid: int | None = None) -> DataFrame:
@@ -129,6 +130,36 @@ def frame_metrics(df: DataFrame, keys: list[str], content: str, height: str, wid
     return df.select(*keys, content, height, width).mapInPandas(run, f"{kinds}, " + ", ".join(f"{n} double" for n in names))
 
 
+def video_hashes(df: DataFrame, keys: list[str], order: str, content: str, height: str, width: str, channels: int = 1, samples: int = 10, size: int = 8) -> DataFrame:
+    """(keys, bit, share): the perceptual hash of each video, the mean over evenly sampled frames of (low DCT block > its mean).
+
+    Frames are sampled by number and hashed where they lie; only their bits are brought together.  Raw 8-bit frames; those whose
+    bytes don't fit are left out.
+    """
+    chosen = every_kth(df, keys, order, samples)
+    kinds = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
+
+    def run(parts):
+        for part in parts:
+            bits = []
+            for data, h, w in zip(part[content], part[height], part[width], strict=True):
+                pixels = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
+                whole = len(pixels) and len(pixels) == h * w * channels
+                bits.append(perceptual_hash([pixels.reshape((h, w, channels) if channels > 1 else (h, w))], size).ravel().tolist() if whole else None)
+            yield part[keys].assign(bits=bits)
+
+    hashed = chosen.select(*keys, content, height, width).mapInPandas(run, f"{kinds}, bits array<double>")
+    return hashed.select(*keys, F.posexplode("bits").alias("bit", "v")).groupBy(*keys, "bit").agg(F.avg("v").alias("share"))
+
+
+def blurred(width: str = "width", height: str = "height", sharpness: str = "sharpness", limits: dict[tuple[int, int], float] | None = None, limit: float = 100.0, area: int = 1920 * 1080) -> Column:
+    """Too little detail: sharpness under the limit of the frame's resolution, or else under ``limit`` scaled by its area."""
+    out = F.lit(limit) * F.least(F.lit(1.0), F.col(width) * F.col(height) / F.lit(float(area)))
+    for (w, h), own in (limits or {}).items():
+        out = F.when((F.col(width) == w) & (F.col(height) == h), own).otherwise(out)
+    return F.col(sharpness) < out
+
+
 def overexposed(mean: str = "gray_mean", limit: float = 240, saturated: float = 0.3, p95: float = 250, p99: float = 254) -> Column:
     """Too bright by any of the mean, the saturated part or the upper percentiles."""
     return (F.col(mean) >= limit) | (F.col("saturated_ratio") >= saturated) | (F.col("p95") >= p95) | (F.col("p99") >= p99)

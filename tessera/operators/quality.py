@@ -133,6 +133,43 @@ def every_kth(df: DataFrame, keys: list[str], order: str, most: int) -> DataFram
     return placed.where(hit).drop("_t_i", "_t_n")
 
 
+#: Fixed values of the older rule: it takes a recording to have 983 samples, 50 a second, and leaves the last 10 frames alone.
+LEGACY_SAMPLES, LEGACY_INTERVAL_S, LEGACY_LAST = 983, 0.02, 10
+
+
+def legacy_span(frames: DataFrame, head: DataFrame, gaps: DataFrame, keys: list[str], order: str, ts: str, factor: float = 3.0) -> DataFrame:
+    """(keys, start_ns, end_ns, frames, head_frames, tail_frames) of each stream by the older rule.
+
+    ``head`` is ``head_black_span``'s start_ns.  The last of ``gaps`` (sample_index, gap_s) that is longer than ``factor`` usual
+    intervals, and whose place in proportion to ``LEGACY_SAMPLES`` is a frame but one of the first or last, ends the span there;
+    else the last frame does.  A span lasts a second at least.
+    """
+    placed = frames.select(*keys, F.col(ts).alias("_t_t"), (F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1).alias("_t_i"))
+    of = placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_t_n"), F.min_by("_t_t", "_t_i").alias("_t_first"), F.max_by("_t_t", "_t_i").alias("_t_last"))
+    at = F.floor(F.col("sample_index") / LEGACY_SAMPLES * F.col("_t_n"))
+    long = gaps.where(F.col("gap_s") > factor * LEGACY_INTERVAL_S).join(of, keys).withColumn("_t_i", at).where((F.col("_t_i") > 0) & (F.col("_t_i") < F.col("_t_n") - LEGACY_LAST))
+    cut = long.groupBy(*keys).agg(F.max_by("_t_i", "sample_index").alias("_t_i")).join(placed, [*keys, "_t_i"]).select(*keys, F.col("_t_t").alias("_t_tail"))
+    start = F.greatest("_t_first", "_t_head")
+    spans = of.join(head.select(*keys, F.col("start_ns").alias("_t_head")), keys, "left").join(cut, keys, "left").select(*keys, start.alias("start_ns"), F.greatest(start + 1_000_000_000, F.coalesce("_t_tail", "_t_last")).alias("end_ns"))
+    before, after = F.col("_t_t") < F.col("start_ns"), F.col("_t_t") > F.col("end_ns")
+    return placed.join(spans, keys).groupBy(*keys, "start_ns", "end_ns").agg(F.count_if(~before & ~after).alias("frames"), F.count_if(before).alias("head_frames"), F.count_if(after).alias("tail_frames"))
+
+
+def layered(layers: DataFrame, keys: list[str], path: str, value: str, layer: str) -> DataFrame:
+    """(keys, path, value, layer): of the settings that several layers give, that of the highest layer.
+
+    ``path`` is a setting's place in the nested configuration, dots between; a layer that gives a null doesn't override.
+    """
+    best = layers.where(F.col(value).isNotNull()).groupBy(*keys, path).agg(F.max(F.struct(layer, value)).alias("_t_b"))
+    return best.select(*keys, path, F.col(f"_t_b.{value}").alias(value), F.col(f"_t_b.{layer}").alias(layer))
+
+
+def config_hash(settings: DataFrame, keys: list[str], path: str, value: str) -> DataFrame:
+    """(keys, settings, config_sha256): a hash of each configuration's sorted path=value lines."""
+    lines = F.array_sort(F.collect_list(F.concat_ws("=", path, value)))
+    return settings.groupBy(*keys).agg(F.count(F.lit(1)).alias("settings"), F.sha2(F.array_join(lines, "\n"), 256).alias("config_sha256"))
+
+
 def head_black_span(df: DataFrame, keys: list[str], order: str, ts: str, flag: str, least_ns: int, least_rows: int = 3) -> DataFrame:
     """Where a stream starts after its leading flagged rows: the next row's time if these last ``least_ns`` or are ``least_rows``
     or more, else the first row's; a stream that is flagged throughout starts at its first row."""

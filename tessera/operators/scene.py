@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.numbers import cosine_change, half_even
+from tessera.operators.frames import similarity
 from tessera.operators.sequence import previous, runs
 
 
@@ -91,6 +92,51 @@ def joint_hard_cuts(clusters: DataFrame, low: DataFrame, high: DataFrame, keys:
     return clusters.join(hit, [*keys, "first_frame"], "left").withColumn("is_hard_cut", F.col("is_hard_cut") | F.coalesce("_t_hit", F.lit(False))).drop("_t_hit")
 
 
+def structural_similarity(df: DataFrame, keys: list[str], order: str, content: str, height: str, width: str, channels: int = 1, window: int = 5) -> DataFrame:
+    """``df`` without its pixels and with ``similarity`` to the frame before (1 on the first) and ``lag_similarity`` to that
+    ``window`` before (null on the first ones): mean structural similarity of raw 8-bit frames of one size."""
+    w = Window.partitionBy(*keys).orderBy(order)
+    kept = [c for c in df.columns if c != content]
+    both = df.withColumns({"_t_p": F.lag(content).over(w), "_t_l": F.lag(content, window).over(w)})
+    kinds = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in kept)
+
+    def run(parts):
+        for part in parts:
+            def frame(data, h, w):
+                return np.frombuffer(data, np.uint8).reshape((h, w, channels) if channels > 1 else (h, w))
+
+            def alike(other):
+                return [None if o is None else similarity(frame(o, h, w), frame(x, h, w)) for o, x, h, w in zip(part[other], part[content], part[height], part[width], strict=True)]
+
+            one, far = alike("_t_p"), alike("_t_l")
+            out = part[kept].reset_index(drop=True)
+            out["similarity"] = [1.0 if x is None else x for x in one]
+            out["lag_similarity"] = pd.array(far, "Float64")
+            yield out
+
+    return both.mapInPandas(run, f"{kinds}, similarity double, lag_similarity double")
+
+
+def structural_cuts(df: DataFrame, keys: list[str], index: str, hard: float = 0.4, gradual: float = 0.6, least: int = 3, window: int = 5) -> DataFrame:
+    """(keys, index, score) of cuts by ``similarity`` and ``lag_similarity``, the highest of each chain of candidates.
+
+    A frame is a hard candidate if its similarity is at most ``hard``.  The middle of a window is a gradual one if its ends are
+    alike by at most ``gradual``, at least ``least`` of its steps changed, and none of them is hard.  Scores are 1 - similarity,
+    raised to 1 - lag similarity in a gradual middle.
+    """
+    w = Window.partitionBy(*keys).orderBy(index)
+    trail = w.rowsBetween(1 - window, 0)
+    unit = lambda c: F.least(F.lit(1.0), F.greatest(F.lit(0.0), 1 - F.col(c)))
+    d = df.withColumns({"_t_n": F.row_number().over(w) - 1, "_t_c": F.count_if(F.col("similarity") < 0.999).over(trail), "_t_h": F.min("similarity").over(trail)})
+    slow = (F.col("_t_n") >= window) & (F.col("lag_similarity") <= gradual) & (F.col("_t_c") >= least) & (F.col("_t_h") > hard)
+    # the window that ends half a window later has its middle here
+    ahead = window // 2
+    d = d.withColumn("_t_g", F.lead(F.when(slow, unit("lag_similarity")), ahead).over(w) if ahead else F.when(slow, unit("lag_similarity")))
+    found = d.where(F.col("_t_g").isNotNull() | ((F.col("_t_n") > 0) & (F.col("similarity") <= hard)))
+    scored = found.select(*keys, index, F.greatest(unit("similarity"), F.coalesce("_t_g", F.lit(0.0))).alias("score"))
+    return peaks(scored, keys, index, "score", max(1, least)).select(*keys, index, "score")
+
+
 def hysteresis(df: DataFrame, keys: list[str], most: int = 2) -> DataFrame:
     """Candidates (frame_index, timestamp_ns, confidence, is_hard_cut) merged within chains of places ``most`` apart.
 

@@ -87,12 +87,3 @@ def matched_tracks(spark, sf_dir):
     x = F.col("v")
     rows = events(spark, sf_dir).select("k", F.floor(F.col("i") / 2).alias("f"), x.alias("x1"), x.alias("y1"), (x + 40).alias("x2"), (x + 40).alias("y2"))
     return frames.match_tracks(rows, "k", "f", ["x1", "y1", "x2", "y2"])
-
-
-@query()
-def frame_metrics(spark, sf_dir):
-    px = F.transform("embedding", lambda x: F.least(F.lit(255), F.greatest(F.lit(0), F.floor(x * 40 + 128))).cast("int"))
-    raw = F.unhex(F.array_join(F.transform(px, lambda x: F.lpad(F.hex(x), 2, "0")), ""))
-    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("i"), raw.alias("content"), F.lit(8).alias("h"), F.lit(8).alias("w"))
-    out = frames.frame_metrics(rows, ["i"], "content", "h", "w", 1)
-    return out.withColumn("too_bright", frames.overexposed())

@@ -26,7 +26,7 @@ def scratch(spark: SparkSession) -> str:
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.readStream.schema(table(spark, sf_dir, "events").schema).option("maxFilesPerTrigger", 1).parquet(f"{sf_dir}/events.parquet*")
     t = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts) * 1000")
-    return rows.select(F.col("user_id").alias("k"), F.col("event_id").alias("id"), t.alias("t"), F.col("event_type").alias("e"), F.col("value").alias("v"), F.timestamp_micros((t / 1000).cast("bigint")).alias("at"))
+    return rows.select(F.col("user_id").alias("k"), F.col("event_id").alias("id"), t.alias("t"), F.col("event_type").alias("e"), F.col("value").alias("v"), F.timestamp_micros(F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts)")).alias("at"))
 
 
 _EV = "ev AS (SELECT user_id AS k, event_id AS id, epoch_us(ts) * 1000 AS t, event_type AS e, value AS v, ts FROM events)"
@@ -48,20 +48,52 @@ def streaming_forced_increasing(spark, sf_dir):
     return _worked_off(spark, clocks.forced_increasing(_events(spark, sf_dir).select("k", "id", "t"), "k", "id", "t"))
 
 
-@query()
+_MARK = "mk AS (SELECT max(epoch_us(ts)) - 3600000000 AS mark FROM events)"
+
+
+def _window_sql(slide_us: int, length_us: int = 86_400_000_000) -> str:
+    return f"""WITH {_EV}, {_MARK}, wi AS (SELECT e, v, (t // 1000) // {slide_us} * {slide_us} - j * {slide_us} AS start_us FROM ev, range({length_us // slide_us}) r(j))
+    SELECT e, start_us, count(*) AS rows, round_even(sum(v), 6) AS total FROM wi, mk WHERE start_us + {length_us} <= mark GROUP BY e, start_us"""
+
+
+def _closed_windows(spark, sf_dir, slide: str | None):
+    out = _worked_off(spark, clocks.windows(_events(spark, sf_dir), ["e"], "at", "v", "1 day", "1 hour", slide))
+    return out.select("e", F.unix_micros("window_start").alias("start_us"), "rows", F.bround("total", 6).alias("total"))
+
+
+@query(_window_sql(86_400_000_000))
 def streaming_windows(spark, sf_dir):
     """Windows that the watermark has closed."""
-    out = _worked_off(spark, clocks.windows(_events(spark, sf_dir), ["e"], "at", "v", "1 day", "1 hour"))
-    return out.select("e", F.unix_micros("window_start").alias("start_us"), "rows", F.bround("total", 6).alias("total"))
+    return _closed_windows(spark, sf_dir, None)
+
 
+@query(_window_sql(21_600_000_000))
+def streaming_sliding_windows(spark, sf_dir):
+    return _closed_windows(spark, sf_dir, "6 hours")
 
-@query()
+
+@query(f"""WITH {_EV}, {_MARK}, g AS (SELECT k, t // 1000 AS u, CASE WHEN t // 1000 - lag(t // 1000) OVER (PARTITION BY k ORDER BY t) < 21600000000 THEN 0 ELSE 1 END AS s FROM ev), n AS (SELECT k, u, sum(s) OVER (PARTITION BY k ORDER BY u ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n FROM g),
+    se AS (SELECT k, min(u) AS start_us, max(u) + 21600000000 AS end_us, count(*) AS rows FROM n GROUP BY k, n) SELECT k, start_us, end_us, rows FROM se, mk WHERE end_us <= mark""")
 def streaming_sessions(spark, sf_dir):
     """Sessions that the watermark has closed."""
     out = _worked_off(spark, clocks.sessions(_events(spark, sf_dir), "k", "at", "6 hours", "1 hour"))
     return out.select("k", F.unix_micros("session_start").alias("start_us"), F.unix_micros("session_end").alias("end_us"), "rows")
 
 
+@query(f"""WITH {_EV}, l AS (SELECT k, max(id) AS last FROM ev WHERE id % 7 <> 0 GROUP BY k) SELECT ev.k, ev.id, ev.id % 7 = 0 AND ev.id <= coalesce(last, -1) AS late FROM ev LEFT JOIN l ON l.k = ev.k""")
+def streaming_late_rows(spark, sf_dir):
+    """Two deliveries, the second of rows that mostly should have come before: the clock's state names these late."""
+    folder = f"{scratch(spark)}/deliveries"
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").alias("k"), F.col("event_id").alias("id"), F.col("ts"))
+    rows = rows.select("k", "id", F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts) * 1000").alias("t"))
+    out = scratch(spark)
+    for part in (rows.where("id % 7 <> 0"), rows.where("id % 7 = 0")):  # the second run goes on from the first's state
+        part.coalesce(1).write.mode("append").parquet(folder)
+        found = clocks.continuity(spark.readStream.schema(rows.schema).parquet(folder), "k", "id", "t", 24 * HOUR)
+        done = clocks.run_once(found, f"{out}/rows", f"{out}/checkpoint")
+    return done.select("k", "id", (F.col("continuity_start_reason") == "late").alias("late"))
+
+
 @query(f"WITH {_EV} SELECT k, count(*) AS rows FROM ev GROUP BY k")
 def streaming_distinct(spark, sf_dir):
     rows = _events(spark, sf_dir)

@@ -1,13 +1,18 @@
-"""Recording containers as Spark data sources; each needs a package of its own, asked for only when it is read."""
+"""HDF5 as a Spark data source; it needs the package ``h5py``, asked for only when a file is read.  MCAP: ``sources.mcap``."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
+_VALUES = 1 << 17
+
+
 class _Files(DataSourceReader):
     """One partition per file of the comma-separated ``path`` option."""
 
@@ -19,41 +24,20 @@ class _Files(DataSourceReader):
         return [InputPartition(p) for p in self.paths]
 
 
-class McapReader(_Files):
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        from mcap.reader import make_reader
-
-        with open(partition.value, "rb") as f:
-            for _, channel, message in make_reader(f).iter_messages(topics=self.topics or None):
-                yield channel.topic, message.sequence, message.log_time, message.publish_time, message.data
-
-
-class Mcap(DataSource):
-    """MCAP messages; ``topics`` (comma-separated) limits what is read."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "mcap"
-
-    def schema(self) -> str:
-        return "topic string, sequence bigint, log_time_ns bigint, publish_time_ns bigint, payload binary"
-
-    def reader(self, schema) -> DataSourceReader:
-        return McapReader(self.options)
-
-
 class Hdf5Reader(_Files):
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
         import h5py
 
         with h5py.File(partition.value, "r") as f:
-            names = self.topics or [n for n in _datasets(f)]
-            for name in names:
+            for name in self.topics or list(_datasets(f)):
                 data = f[name]
-                for i in range(data.shape[0]):
-                    row = data[i]
-                    for j, v in enumerate(row.ravel().tolist() if hasattr(row, "ravel") else [row]):
-                        yield partition.value, name, i, j, float(v)
+                wide = max(1, int(np.prod(data.shape[1:])))
+                rows = max(1, _VALUES // wide)
+                for at in range(0, data.shape[0], rows):  # a slice of samples at a time, as one Arrow batch
+                    values = np.asarray(data[at : at + rows], np.float64).reshape(-1)
+                    n = len(values)
+                    sample, element = at + np.arange(n) // wide, (np.arange(n) % wide).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array([partition.value] * n), pa.array([name] * n), pa.array(sample.astype(np.int64)), pa.array(element), pa.array(values)], names=["path", "dataset", "sample_index", "element", "value"])
 
 
 def _datasets(group, prefix: str = "") -> Iterator[str]:
@@ -76,5 +60,4 @@ class Hdf5(DataSource):
 
 
 def register(spark: SparkSession) -> None:
-    for source in (Mcap, Hdf5):
-        spark.dataSource.register(source)
+    spark.dataSource.register(Hdf5)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -91,3 +94,23 @@ def constant_rate(streams: DataFrame, keys: list[str], frames: str, fps: str) ->
     """A row per frame with its time at a constant rate, rounded half to even."""
     out = streams.where(F.col(frames) > 0).withColumn("frame_index", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(frames) - 1)))
     return out.select(*keys, "frame_index", F.bround(F.col("frame_index") * 1e9 / F.col(fps), 0).cast("bigint").alias("timestamp_ns"))
+
+
+def settings(spark: SparkSession, path: str, layer: int = 0) -> DataFrame:
+    """(path, value, layer) of the leaves of the JSON objects at ``path``, places joined by dots; lists are one value each."""
+    whole = spark.read.option("wholetext", True).text(path)
+
+    def run(parts):
+        for part in parts:
+            rows = []
+            for text in part["value"]:
+                held = [("", json.loads(text))]
+                while held:
+                    at, x = held.pop()
+                    if isinstance(x, dict):
+                        held += [(f"{at}.{k}" if at else k, v) for k, v in x.items()]
+                    else:
+                        rows.append((at, None if x is None else x if isinstance(x, str) else json.dumps(x)))
+            yield pd.DataFrame(rows, columns=["path", "value"])
+
+    return whole.mapInPandas(run, "path string, value string").withColumn("layer", F.lit(layer))

@@ -244,10 +244,70 @@ def test_masks_and_boxes(spark):
     assert (got["x1"], got["x2"], got["was_clipped"], got["area"]) == (0.0, 20.0, True, 120.0)
 
 
-def test_ogg_pages():
-    pages = annotate.opus_pages([b"a" * 300, b"", b"xyz"])
-    assert pages.count(b"OggS") == 3
-    assert pages[5] == 2 and annotate.ogg_crc(b"") == 0
+def ogg_packets(data):
+    """(packets, flags and granules of the pages) of an Ogg stream; every checksum is held."""
+    import struct
+
+    at, packets, open_, pages = 0, [], b"", []
+    while at < len(data):
+        magic, _, flags, granule, _, number, crc, n = struct.unpack_from("<4sBBqIIIB", data, at)
+        table = data[at + 27 : at + 27 + n]
+        end = at + 27 + n + sum(table)
+        page = data[at:end]
+        assert magic == b"OggS" and number == len(pages) and annotate.ogg_crc(page[:22] + bytes(4) + page[26:]) == crc
+        assert bool(flags & 1) == bool(open_)
+        x = at + 27 + n
+        for size in table:
+            open_ += data[x : x + size]
+            x += size
+            if size < 255:
+                packets.append(open_)
+                open_ = b""
+        pages.append((flags, granule))
+        at = end
+    return packets, pages
+
+
+def test_ogg_opus(spark):
+    for sizes in ([3], [0, 255, 254, 300], [200] * 70, [65_025, 70_000, 10], [65_024] * 3, [255 * 255, 1]):
+        packets = [bytes([k % 251]) * n for k, n in enumerate(sizes)]
+        got, pages = ogg_packets(annotate.ogg_opus(packets, channels=2, preskip=7))
+        assert got[2:] == packets and got[0][:8] == b"OpusHead" and got[0][9] == 2 and len(got[0]) == 19 and got[1].startswith(b"OpusTags")
+        assert pages[0] == (2, 0) and pages[1] == (0, 0) and pages[-1][0] & 4 and pages[-1][1] == 960 * len(sizes) + 7
+    with pytest.raises(ValueError):
+        annotate.ogg_opus([])
+    df = spark.createDataFrame([("s", 2, b"two"), ("s", 1, b"one"), ("t", 1, None)], "k string, i int, p binary")
+    got = annotate.opus_files(df, ["k"], "i", "p").collect()
+    assert [(r["k"], r["packets"], ogg_packets(bytes(r["content"]))[0][2:]) for r in got] == [("s", 2, [b"one", b"two"])]
+
+
+def test_structural_similarity_and_cuts(spark):
+    import numpy as np
+
+    from tessera.operators import frames
+
+    rng = np.random.default_rng(1)
+    one, two = (rng.integers(0, 256, (12, 12), dtype=np.uint8) for _ in range(2))
+    shots = [one] * 8 + [two] * 8
+    df = spark.createDataFrame([("v", i, x.tobytes(), 12, 12) for i, x in enumerate(shots)], "k string, i bigint, content binary, h int, w int")
+    found = scene.structural_similarity(df, ["k"], "i", "content", "h", "w").orderBy("i").collect()
+    assert [r["similarity"] for r in found] == pytest.approx([1.0] * 8 + [frames.similarity(one, two)] + [1.0] * 7)
+    assert found[4]["lag_similarity"] is None and found[7]["lag_similarity"] == pytest.approx(1) and found[10]["lag_similarity"] == pytest.approx(frames.similarity(one, two))
+    cuts = scene.structural_cuts(spark.createDataFrame(found), ["k"], "i")
+    assert [(r["i"], round(r["score"], 6)) for r in cuts.collect()] == [(8, round(min(1.0, 1 - frames.similarity(one, two)), 6))]
+
+
+def test_video_hashes(spark):
+    import numpy as np
+
+    from tessera.operators import frames
+
+    rng = np.random.default_rng(2)
+    shots = [rng.integers(0, 256, (16, 24), dtype=np.uint8) for _ in range(25)]
+    df = spark.createDataFrame([("v", i, x.tobytes(), 16, 24) for i, x in enumerate(shots)] + [("bad", 0, b"x", 2, 2), ("null", 0, None, 2, 2)], "k string, i bigint, content binary, h int, w int")
+    got = {r["bit"]: r["share"] for r in frames.video_hashes(df, ["k"], "i", "content", "h", "w").collect()}
+    want = frames.perceptual_hash([shots[int(i * 2.5)] for i in range(10)]).ravel()
+    assert [got[i] for i in range(64)] == pytest.approx(want.tolist())
 
 
 def test_sequential_twins(spark):

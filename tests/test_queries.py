@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from tessera.plans import annotated, clocks, duplicates, findings, further, outliers, pairs, pixels, reviews, scenes, spans, streams  # noqa: F401
+from tessera.plans import annotated, clocks, duplicates, findings, flows, further, outliers, pairs, pixels, reviews, scenes, spans, streams  # noqa: F401
 from tessera.plans.registry import ORACLES, QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")

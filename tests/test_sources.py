@@ -6,8 +6,9 @@ import struct
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.operators import quality
 from tessera.sinks import tables
-from tessera.sources import containers, files, wire
+from tessera.sources import containers, files, mcap, wire
 
 
 def test_metadata_and_index(spark, tmp_path):
@@ -64,7 +65,119 @@ def test_wire(spark):
 
 def test_containers_register(spark):
     containers.register(spark)
-    assert containers.Mcap.name() == "mcap" and "dataset string" in containers.Hdf5({}).schema()
+    assert "dataset string" in containers.Hdf5({}).schema()
+
+
+def _record(kind, content):
+    return struct.pack("<BQ", kind, len(content)) + content
+
+
+def _string(text):
+    return struct.pack("<I", len(text)) + text.encode()
+
+
+def _varint(n):
+    n &= (1 << 64) - 1
+    out = b""
+    while n > 127:
+        out += bytes([n & 127 | 128])
+        n >>= 7
+    return out + bytes([n])
+
+
+def _field(number, value):
+    if isinstance(value, int):
+        return _varint(number << 3) + _varint(value)
+    if isinstance(value, float):
+        return _varint(number << 3 | 1) + struct.pack("<d", value)
+    return _varint(number << 3 | 2) + _varint(len(value)) + value
+
+
+def _stamp(ns):
+    return _field(1, _field(1, ns // 10**9) + _field(2, ns % 10**9))
+
+
+def _mcap(messages, topics, compression="", indexed=True, chunk=3):
+    """A container of (topic number, log time, payload), a few messages a chunk."""
+    import zlib
+
+    import zstandard
+
+    schema = _record(3, struct.pack("<H", 1) + _string("some.Schema") + _string("protobuf") + struct.pack("<I", 0))
+    channels = b"".join(_record(4, struct.pack("<HH", n, 1) + _string(t) + _string("protobuf") + struct.pack("<I", 0)) for n, t in enumerate(topics))
+    out = mcap.MAGIC + _record(1, _string("") + _string("test"))
+    index, counts = b"", {}
+    for i in range(0, len(messages), chunk):
+        part = messages[i : i + chunk]
+        body = (schema + channels if i == 0 or not indexed else b"") + b"".join(_record(5, struct.pack("<HIQQ", n, i + k, t, t + 1) + p) for k, (n, t, p) in enumerate(part))
+        packed = zstandard.ZstdCompressor().compress(body) if compression else body
+        low, high = min(t for _, t, _ in part), max(t for _, t, _ in part)
+        one = _record(6, struct.pack("<QQQI", low, high, len(body), zlib.crc32(body)) + _string(compression) + struct.pack("<Q", len(packed)) + packed)
+        index += _record(8, struct.pack("<QQQQ", low, high, len(out), len(one)) + struct.pack("<I", 0) + struct.pack("<Q", 0) + _string(compression) + struct.pack("<QQ", len(packed), len(body)))
+        out += one
+        for n, _, _ in part:
+            counts[n] = counts.get(n, 0) + 1
+    out += _record(15, struct.pack("<I", 0))
+    begin = len(out) if indexed else 0
+    if indexed:
+        numbers = b"".join(struct.pack("<HQ", *x) for x in counts.items())
+        out += schema + channels + index + _record(11, struct.pack("<QHIIIIQQ", len(messages), 1, len(topics), 0, 0, 0, 0, 0) + struct.pack("<I", len(numbers)) + numbers)
+    return out + _record(2, struct.pack("<QQI", begin, 0, 0)) + mcap.MAGIC
+
+
+def _imu(ns, x):
+    three = lambda *v: b"".join(_field(k + 1, float(y)) for k, y in enumerate(v))
+    return _stamp(ns) + _field(3, three(x, 2, 3)) + _field(4, three(4, 5, 9.8))
+
+
+@pytest.mark.parametrize("compression", ["", "zstd"])
+@pytest.mark.parametrize("indexed", [True, False])
+def test_mcap(spark, tmp_path, compression, indexed):
+    topics = ["/imu", "/audio", "/calibration"]
+    sent = [(0, 100 + 10 * i, _imu(10**9 * i + 5, i)) for i in range(7)] + [(1, 95 + i, _stamp(7 * i) + _field(2, bytes([i])) + _field(3, b"opus")) for i in range(4)]
+    sent += [(2, 99, _field(2, 640) + _field(3, 480) + _field(4, b"plumb") + _field(6, struct.pack("<2d", 1.5, 2.5)) + _field(9, b"cam")), (2, 200, b"")]
+    (tmp_path / "a.mcap").write_bytes(_mcap(sent, topics, compression, indexed))
+    found = mcap.index(spark, str(tmp_path))
+    assert found.count() == (5 if indexed else 1)
+    if indexed:
+        assert {r["topic"]: r["messages"] for r in mcap.topic_counts(found).collect()} == {"/imu": 7, "/audio": 4, "/calibration": 2}
+    every = mcap.messages(found)
+    assert sorted((r["topic"], r["log_time_ns"], bytes(r["payload"])) for r in every.collect()) == sorted((topics[n], t, p) for n, t, p in sent)
+    assert {r["topic"] for r in mcap.messages(found, ["/audio"]).collect()} == {"/audio"} and mcap.messages(found, ["/none"]).count() == 0
+    assert sorted(r["log_time_ns"] for r in mcap.messages(found, ["/imu"], 110, 130).collect()) == [110, 120, 130]
+    imu = mcap.decoded(mcap.messages(found, ["/imu"]), mcap.IMU).orderBy("timestamp_ns").collect()
+    assert [(r["timestamp_ns"], r["gx"], r["az"]) for r in imu] == [(10**9 * i + 5, float(i), 9.8) for i in range(7)]
+    audio = mcap.decoded(mcap.messages(found, ["/audio"]), mcap.AUDIO).orderBy("timestamp_ns").collect()
+    assert [(r["timestamp_ns"], bytes(r["data"]), r["format"]) for r in audio] == [(7 * i, bytes([i]), "opus") for i in range(4)]
+    cal = mcap.decoded(mcap.first_message(found, "/calibration"), mcap.CALIBRATION).first()
+    assert (cal["width"], cal["height"], cal["frame_id"], cal["K"], cal["D"]) == (640, 480, "cam", [1.5, 2.5], [])
+    frames = mcap.frame_index(found, "/imu")
+    assert [(r["frame_index"], r["stamp_ns"]) for r in frames.orderBy("frame_index").collect()] == [(i, 10**9 * i + 5) for i in range(7)]
+    assert mcap.bounds(frames).first()["end_ns"] == 6 * 10**9 + 5
+    rate = mcap.rate_hz(frames, ["path"], "stamp_ns", 25.0).first()
+    assert (rate["rate_hz"], rate["dropped"]) == (1.0, 0)
+
+
+def test_mcap_damage_is_an_error(spark, tmp_path):
+    whole = _mcap([(0, i, _imu(i, i)) for i in range(9)], ["/imu"])
+    broken = bytearray(whole)
+    broken[whole.index(b"some.Schema") + 40] ^= 1
+    (tmp_path / "a.mcap").write_bytes(bytes(broken))
+    with pytest.raises(Exception, match="checksum"):
+        mcap.messages(mcap.index(spark, str(tmp_path))).count()
+    (tmp_path / "a.mcap").write_bytes(whole[:-20])
+    with pytest.raises(Exception, match="cut short"):
+        mcap.messages(mcap.index(spark, str(tmp_path))).count()
+
+
+def test_settings(spark, tmp_path):
+    (tmp_path / "base.json").write_text(json.dumps({"a": {"b": 1, "c": [1, 2]}, "d": "x"}))
+    (tmp_path / "own.json").write_text(json.dumps({"a": {"b": 5}, "e": None}))
+    both = files.settings(spark, str(tmp_path / "base.json")).unionByName(files.settings(spark, str(tmp_path / "own.json"), 1)).withColumn("p", F.lit("p"))
+    got = quality.layered(both, ["p"], "path", "value", "layer")
+    assert {r["path"]: r["value"] for r in got.collect()} == {"a.b": "5", "a.c": "[1, 2]", "d": "x"}
+    assert quality.config_hash(got, ["p"], "path", "value").first()["settings"] == 3
+
 
 
 def test_sinks(spark, tmp_path):
