@@ -82,7 +82,7 @@ def utf8(text: str | Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit("")).cast("binary")
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int, how: str = "inner") -> DataFrame:
+def join_groups(rows: DataFrame, groups: DataFrame, key: str | list[str], size: str, total: int, how: str = "inner") -> DataFrame:
     """Join ``rows`` with one row per ``key`` of ``groups``, whose column ``size`` counts the rows of that key.
 
     Keys that hold over 1/1000 of ``total`` are at most 1000, so they are broadcast and their rows stay where they are;
@@ -92,7 +92,7 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total:
     hot = F.broadcast(groups.where(F.col(size) > least))
     cold = groups.where(F.col(size) <= least)
     at_hot = rows.join(hot, key)
-    at_cold = rows.join(F.broadcast(groups.where(F.col(size) > least).select(key)), key, "left_anti").join(cold, key, how)
+    at_cold = rows.join(F.broadcast(groups.where(F.col(size) > least).select(*([key] if isinstance(key, str) else key))), key, "left_anti").join(cold, key, how)
     return at_hot.unionByName(at_cold)
 
 

@@ -4,12 +4,16 @@ A text is cut into sentences, and sentences of over ``LONG`` words into stretche
 after 2 * ``LONG`` words), so that a passage is cut alike wherever it stands.  A span
 starts at every sentence and takes as many as give it at least ``SENTENCES`` sentences and ``WORDS`` words; another ends at
 every sentence and takes as many before it, so that the last sentences of a passage are covered too.  A span's words, lower
-case and joined by blanks, are hashed.  All spans' hashes meet globally: a span is a repeat if it occurred earlier in its own
-document, or if a document with a smaller id has it too.  Sentences covered by any repeat are removed.
+case and joined by blanks, are hashed to 96 bits.  All spans' hashes meet globally: a span is a repeat if it occurred earlier in
+its own document, or if a document with a smaller id has it too.  Sentences covered by any repeat are removed.
+
+Sentences end at ASCII marks, line ends and the marks of other scripts.  In scripts without blanks (Chinese, Japanese, Thai, Lao,
+Burmese, Khmer) every character is a word that counts half.
 
 A span occurs once per document in the global table, and hashes are combined in each task before they are shuffled; the join
 that brings repeats back broadcasts the at most 1000 hashes that can hold a thousandth of all spans each, so a passage that
-a third of all documents share never meets in one task.
+a third of all documents share never meets in one task.  Texts that lose nothing stay where they are as long as the list of the
+others is short enough to be broadcast (``FEW``).
 """
 
 from __future__ import annotations
@@ -28,16 +32,31 @@ WORDS = 20
 LONG = 16
 _SENTENCE = re.compile(rb"[^.!?\n]+[.!?\n]*\s*|[.!?\n]+\s*")
 _WORD = re.compile(rb"\S+\s*")
+#: Texts whose list of losers is up to so long stay unless they are on it; about 50 bytes each are broadcast.
+FEW = 500_000
+_END = rb"(?:[.!?\n]|\xe3\x80\x82|\xef\xbc[\x81\x8e\x9f]|\xef\xbd\xa1|\xe0\xa5\xa4|\xd8\x9f|\xdb\x94)"
+_WIDE = rb"(?:[\xe4-\xe9][\x80-\xbf]{2}|\xe3[\x81-\xbf][\x80-\xbf]|\xe0[\xb8-\xbb][\x80-\xbf]|\xe1[\x80-\x82\x9e\x9f][\x80-\xbf])"
+#: What may start a mark or a character of these; texts without it take the plain way, which cuts them alike.
+_OTHER = re.compile(rb"[\xe0\xe1\xe3-\xe9\xef]|\xd8\x9f|\xdb\x94")
+_OTHER_SENTENCE = re.compile(rb"(?:(?!" + _END + rb").)+" + _END + rb"*\s*|" + _END + rb"+\s*", re.S)
+_OTHER_WORD = re.compile(rb"(?:" + _WIDE + rb"|(?:(?!" + _WIDE + rb")\S)+)\s*")
+_WIDE_START = re.compile(_WIDE)
+
+
+def _split(said: bytes, other: bool) -> list[bytes]:
+    return [w.rstrip() for w in _OTHER_WORD.findall(said)] if other else said.split()
 
 
 def sentences(text: bytes, long: int = LONG) -> list[tuple[int, int]]:
     """Byte ranges that make up the whole text, each a sentence or a stretch of one."""
     out = []
-    for m in _SENTENCE.finditer(text):
+    other = bool(_OTHER.search(text))
+    word = _OTHER_WORD if other else _WORD
+    for m in (_OTHER_SENTENCE if other else _SENTENCE).finditer(text):
         a, b = m.span()
-        if b - a > 2 * long and len(m[0].split()) > long:
+        if b - a > 2 * long and len(_split(m[0], other)) > long:
             n = 0
-            for w in _WORD.finditer(text, a, b):
+            for w in word.finditer(text, a, b):
                 n += 1
                 if n == 2 * long or not xxhash.xxh32_intdigest(w[0].translate(LOWER).rstrip()) & 7:
                     out.append((a, w.end()))
@@ -49,43 +68,46 @@ def sentences(text: bytes, long: int = LONG) -> list[tuple[int, int]]:
     return out
 
 
-def spans(text: bytes, least_sentences: int = SENTENCES, least_words: int = WORDS, long: int = LONG) -> tuple[list[tuple[int, int]], list[tuple[int, int, int]]]:
-    """(sentences, spans): spans are (first sentence, one past the last, hash) by place; the shortest that
-    start and the shortest that end at each sentence, those of the same words once."""
+def spans(text: bytes, least_sentences: int = SENTENCES, least_words: int = WORDS, long: int = LONG) -> tuple[list[tuple[int, int]], list[tuple[int, int, int, int]]]:
+    """(sentences, spans): spans are (first sentence, one past the last, 64 and 32 bits of the hash) by place; the shortest
+    that start and the shortest that end at each sentence, those of the same words once."""
     units = sentences(text, long)
-    low = text.translate(LOWER)
-    said = [low[a:b].split() for a, b in units]
+    low, other = text.translate(LOWER), bool(_OTHER.search(text))
+    said = [_split(low[a:b], other) for a, b in units]
     words = [w for s in said for w in s]
-    at, n = [0], 0  # words before each sentence
+    at, mass, n, x = [0], [0.0], 0, 0.0  # words before each sentence, and what they count
     for s in said:
         n += len(s)
+        x += len(s) if not other else sum(0.5 if _WIDE_START.match(w) else 1 for w in s)
         at.append(n)
+        mass.append(x)
     joined = b" ".join(words)
-    begin, x = [0], 0  # where each word starts in the joined text
+    begin, n = [0], 0  # where each word starts in the joined text
     for w in words:
-        x += len(w) + 1
-        begin.append(x)
-    found, j, hash64 = {}, 0, xxhash.xxh3_64_intdigest
+        n += len(w) + 1
+        begin.append(n)
+    found, j, hash128 = {}, 0, xxhash.xxh3_128_intdigest
     for i in range(len(units)):
         if not said[i]:
             continue
         j = max(j, i + least_sentences)
-        while j <= len(units) and at[j] - at[i] < least_words:
+        while j <= len(units) and mass[j] - mass[i] < least_words:
             j += 1
         if j > len(units):
             break
         found[at[i], at[j]] = i, j
     i = 0
     for j in range(least_sentences, len(units) + 1):
-        if not said[j - 1] or at[j] < least_words:
+        if not said[j - 1] or mass[j] < least_words:
             continue
-        while i + 1 <= j - least_sentences and at[j] - at[i + 1] >= least_words:
+        while i + 1 <= j - least_sentences and mass[j] - mass[i + 1] >= least_words:
             i += 1
         found.setdefault((at[i], at[j]), (i, j))
     out = []
     for (a, z), (i, j) in sorted(found.items()):
-        h = hash64(joined[begin[a] : begin[z] - 1])
-        out.append((i, j, h - (1 << 64) if h >> 63 else h))
+        h = hash128(joined[begin[a] : begin[z] - 1])
+        g, h = h >> 96, h & (1 << 64) - 1
+        out.append((i, j, h - (1 << 64) if h >> 63 else h, g - (1 << 32) if g >> 31 else g))
     return units, out
 
 
@@ -94,26 +116,27 @@ def _row_key(doc_id: str, text: str) -> Column:
 
 
 def span_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """(h, doc, row, first, past): a row per distinct span of each row of ``docs``, at its first place there."""
+    """(h, g, doc, row, first, past): a row per distinct span of each row of ``docs``, at its first place there."""
     small_batches(docs.sparkSession)
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches):
         for b in batches:
-            rows, first, past, hashes = [], [], [], []
+            rows, first, past, high, low = [], [], [], [], []
             for k, t in enumerate(b.column(2).to_pylist()):
                 seen = set()
-                for i, j, h in spans(t, **how)[1]:
-                    if h not in seen:
-                        seen.add(h)
+                for i, j, h, g in spans(t, **how)[1]:
+                    if (h, g) not in seen:
+                        seen.add((h, g))
                         rows.append(k)
                         first.append(i)
                         past.append(j)
-                        hashes.append(h)
+                        high.append(h)
+                        low.append(g)
             take = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), b.column(0).take(take), b.column(1).take(take), pa.array(first, pa.int32()), pa.array(past, pa.int32())], names=["h", "doc", "row", "first", "past"])
+            yield pa.RecordBatch.from_arrays([pa.array(high, pa.int64()), pa.array(low, pa.int32()), b.column(0).take(take), b.column(1).take(take), pa.array(first, pa.int32()), pa.array(past, pa.int32())], names=["h", "g", "doc", "row", "first", "past"])
 
-    return docs.select(F.col(doc_id).alias("doc"), _row_key(doc_id, text).alias("row"), utf8(text).alias("_t_text")).mapInArrow(run, f"h bigint, doc {kind}, row bigint, first int, past int")
+    return docs.select(F.col(doc_id).alias("doc"), _row_key(doc_id, text).alias("row"), utf8(text).alias("_t_text")).mapInArrow(run, f"h bigint, g int, doc {kind}, row bigint, first int, past int")
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
@@ -125,13 +148,20 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     kind = docs.schema[doc_id].dataType.simpleString()
     table = written(span_table(docs, doc_id, text, **how), "spans")
     total = table.count()
-    groups = table.groupBy("h").agg(F.min("doc").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    groups = table.groupBy("h", "g").agg(F.min("doc").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
     groups = written(groups, "repeated")
-    later = join_groups(table, groups, "h", "n", total).where(~F.col("doc").eqNullSafe(F.col("least")))
-    gone = later.groupBy("row").agg(F.collect_list(F.struct("first", "past")).alias("gone"))
+    later = join_groups(table, groups, ["h", "g"], "n", total).where(~F.col("doc").eqNullSafe(F.col("least")))
+    gone = later.groupBy(F.col("row").alias("_t_row"), F.col("doc").alias("_t_doc")).agg(F.collect_list(F.struct("first", "past")).alias("gone"))
+    gone = written(gone, "gone")
     texts = docs.select(F.col(doc_id).alias("doc_id"), utf8(text).alias("_t_text"), _row_key(doc_id, text).alias("row"))
+    same = (F.col("row") == F.col("_t_row")) & F.col("doc_id").eqNullSafe(F.col("_t_doc"))
     # rows that repeat id and text share a key and a list of the same places twice over: they are removed alike
-    joined = texts.join(gone, "row", "left").select("doc_id", "_t_text", "gone")
+    if gone.count() <= FEW:
+        losers = F.broadcast(gone.select("_t_row", "_t_doc"))
+        whole = texts.join(losers, same, "left_anti").select("doc_id", "_t_text", F.lit(None).cast(gone.schema["gone"].dataType).alias("gone"))
+        joined = whole.unionByName(texts.join(losers, same, "left_semi").join(gone, same).select("doc_id", "_t_text", "gone"))
+    else:
+        joined = texts.join(gone, same, "left").select("doc_id", "_t_text", "gone")
 
     def run(batches):
         for b in batches:
@@ -139,10 +169,10 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             for t, lost in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 units, found = spans(t, **how)
                 covered, seen = bytearray(len(units)), set()
-                for i, j, h in found:
-                    if h in seen:
+                for i, j, h, g in found:
+                    if (h, g) in seen:
                         covered[i:j] = b"\1" * (j - i)
-                    seen.add(h)
+                    seen.add((h, g))
                 for x in lost or []:
                     covered[x["first"] : x["past"]] = b"\1" * (x["past"] - x["first"])
                 cut: list[list[int]] = []

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import defaultdict
 
 import pytest
@@ -187,26 +188,72 @@ def test_five_words_counts_a_repeated_line_once(spark):
     assert all(got[i] == i for i in got if i % 4 > 1)
 
 
+def slow_units(text, long=16):
+    """Sentences of a text in ASCII, character by character: what isn't an end, then ends, then blanks; long ones cut at words."""
+    out, at, ends, blank = [], 0, ".!?\n", " \t\n\r\x0b\x0c"
+    while at < len(text):
+        i = at
+        for kind in (lambda c: c not in ends, lambda c: c in ends, lambda c: c in blank):
+            while i < len(text) and kind(text[i]):
+                i += 1
+        unit, at = text[at:i], i
+        words = re.findall(r"\S+\s*", unit)
+        lead = unit[: len(unit) - len("".join(words))]
+        if len(unit) <= 2 * long or len(words) <= long:
+            out.append(unit)
+            continue
+        held = lead
+        n = 0
+        for w in words:
+            held += w
+            n += 1
+            if n == 2 * long or xxhash.xxh32_intdigest(w.strip().lower().encode()) % 8 == 0:
+                out.append(held)
+                held, n = "", 0
+        if held:
+            out.append(held)
+    return out
+
+
+def slow_spans(units, sentences=2, words=20):
+    """Of every start the shortest span of enough sentences and words, and of every end; (first, past, what it says)."""
+    said = [u.lower().split() for u in units]
+    many = lambda i, j: sum(map(len, said[i:j]))
+    found = {}
+    for i in range(len(units)):
+        for j in range(i + sentences, len(units) + 1):
+            if said[i] and many(i, j) >= words:
+                found.setdefault((many(0, i), many(0, j)), (i, j))
+                break
+    for j in range(len(units) + 1):
+        for i in range(j - sentences, -1, -1):
+            if said[j - 1] and many(i, j) >= words:
+                found.setdefault((many(0, i), many(0, j)), (i, j))
+                break
+    return [(i, j, " ".join(w for s in said[i:j] for w in s)) for _, (i, j) in sorted(found.items())]
+
+
 def slow_removal(rows):
     """The definition, document by document: what each span's smallest document is, then what is covered."""
     least, cut = {}, {}
     for i, t in rows:
-        cut[i] = substring_dedup.spans(t.encode())
-        for _, _, h in cut[i][1]:
-            least[h] = min(least.get(h, i), i)
+        units = slow_units(t)
+        cut[i] = units, slow_spans(units)
+        for _, _, said in cut[i][1]:
+            least[said] = min(least.get(said, i), i)
     out = {}
-    for i, t in rows:
+    for i, _ in rows:
         units, found = cut[i]
         gone, seen = set(), set()
-        for a, b, h in found:
-            if h in seen or least[h] != i:
+        for a, b, said in found:
+            if said in seen or least[said] != i:
                 gone |= set(range(a, b))
-            seen.add(h)
-        out[i] = b"".join(t.encode()[x:y] for k, (x, y) in enumerate(units) if k not in gone).decode()
+            seen.add(said)
+        out[i] = "".join(u for k, u in enumerate(units) if k not in gone)
     return out
 
 
-def test_substring_brute_force(spark):
+def test_substring_brute_force(spark, monkeypatch):
     rng = random.Random(5)
     sentence = lambda: " ".join(rng.choice("abcdefghij") * rng.randint(1, 6) for _ in range(rng.randint(2, 12))) + rng.choice([". ", "! ", "\n"])
     passage = "".join(sentence() for _ in range(9))
@@ -216,6 +263,13 @@ def test_substring_brute_force(spark):
         rows.append((i, t + (passage if i % 4 == 0 else "") + "".join(sentence() for _ in range(3))))
     got = {r["doc_id"]: r["text"] for r in substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert got == slow_removal(rows)
+    long = [(i, " ".join(f"w{rng.randrange(40)}" for _ in range(90)) + rng.choice(["", ". x", "\n\n . "])) for i in range(6)]
+    long += [(9, long[0][1] + " " + long[1][1]), (10, "  lead. " + long[2][1]), (11, "")]
+    got = {r["doc_id"]: r["text"] for r in substring_dedup.remove_repeats(spark.createDataFrame(long, "doc_id bigint, text string")).collect()}
+    assert got == slow_removal(long)
+    got = {r["doc_id"]: r["text"] for r in substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    monkeypatch.setattr(substring_dedup, "FEW", 0)
+    assert got == {r["doc_id"]: r["text"] for r in substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert passage[40:-40] in got[0] and all(passage[40:-40] not in got[i] for i in range(4, 40, 4))
 
 
@@ -243,8 +297,27 @@ def test_long_sentences_without_stops(spark):
     assert all(got[i]["n_removed"] >= 6 and len(got[i]["text"].split()) < 90 for i in (1, 2, 3))
 
 
+def test_scripts_without_blanks(spark):
+    rng = random.Random(8)
+    said = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9F00)) for _ in range(n))
+    thai = "".join(chr(rng.randrange(0x0E01, 0x0E2E)) for _ in range(160))
+    passage = "".join(said(rng.randint(8, 20)) + rng.choice("。！？") for _ in range(6))
+    rows = [(i, said(30) + "。" + passage + said(25) + "。own words here.") for i in range(3)] + [(9, "plain text. " + thai + " end."), (10, "other start. " + thai + " stop.")]
+    got = {r["doc_id"]: r["text"] for r in substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got[0] == rows[0][1] and passage not in got[1] + got[2] and all(rows[i][1][:31] == got[i][:31] for i in (1, 2))
+    assert got[9] == rows[3][1] and thai[40:120] not in got[10]
+
+
+def test_plain_and_other_ways_cut_alike(monkeypatch):
+    rng = random.Random(9)
+    texts = ["".join(rng.choice(["word ", "Other ", "é. ", "x! ", "\n", "longer_word ", ".. "]) for _ in range(120)) for _ in range(30)] + ["w " * 200]
+    plain = [substring_dedup.spans(t.encode()) for t in texts]
+    monkeypatch.setattr(substring_dedup, "_OTHER", re.compile(b""))
+    assert plain == [substring_dedup.spans(t.encode()) for t in texts]
+
+
 def test_sentences_cover_the_text():
-    for t in ("", "a", ". . a.b!c\n\nd ", "é" * 50 + ". x", "w " * 200):
+    for t in (". 。字" * 30, "สวัสดี" * 20, "", "a", ". . a.b!c\n\nd ", "é" * 50 + ". x", "w " * 200):
         units = substring_dedup.sentences(t.encode())
         assert b"".join(t.encode()[a:b] for a, b in units) == t.encode()
 
