@@ -69,7 +69,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op1_substring_dedup, op2_warc, op3_exact_dedup, op4_token_counts, op5_simhash, op6_lm_scoring, op7_quality, op8_secrets, op9_packing, op10_decontamination,
 )}
 
+def _said(text: str) -> str:
+    """SQL: the words of a text for decontamination; only A to Z are lower-cased."""
+    return f"regexp_extract_all(translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
 ORACLES: dict[str, str] = {
+    "op10_decontamination": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_said("text")} AS w FROM documents),
+        b AS (SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item, {_said("text")} AS w FROM benchmark),
+        bw AS (SELECT DISTINCT item, n, win FROM (SELECT item, least(len(w), 10) AS n, unnest(list_transform(range(greatest(1, len(w) - 9)), lambda i: array_to_string(w[i + 1:i + 10], ' '))) AS win FROM b WHERE len(w) > 0)),
+        dw AS (SELECT r, n, unnest(range(len(w) - n + 1)) AS i, unnest(list_transform(range(len(w) - n + 1), lambda i: array_to_string(w[i + 1:i + n], ' '))) AS win FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n),
+        hit AS (SELECT DISTINCT dw.r, dw.i, dw.n, bw.item FROM dw JOIN bw ON bw.n = dw.n AND bw.win = dw.win),
+        cov AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hit) GROUP BY r),
+        its AS (SELECT r, count(DISTINCT item) AS n_items, array_to_string(list_sort(list(DISTINCT item)), ',') AS said FROM hit GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(said, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN cov ON cov.r = d.r LEFT JOIN its ON its.r = d.r
+    """,
     "op2_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
         d AS (SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, sha1(body) AS payload_digest FROM p),
