@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,18 +24,41 @@ def sign_code(vector: str, bits: int = 64) -> Column:
     return F.aggregate(F.zip_with(F.slice(vector, 1, bits), F.sequence(F.lit(0), F.lit(bits - 1)), lambda v, i: F.when(v > 0, F.call_function("shiftleft", F.lit(1).cast("bigint"), i)).otherwise(F.lit(0).cast("bigint"))), F.lit(0).cast("bigint"), lambda s, x: s.bitwiseOR(x))
 
 
+def classes(df: DataFrame, key: str, code: str) -> DataFrame:
+    """(representative, code, members): one row per distinct code, by its smallest key; null codes are left out."""
+    return df.where(F.col(code).isNotNull()).groupBy(F.col(code).alias("code")).agg(F.min(key).alias("representative"), F.count(F.lit(1)).alias("members"))
+
+
+def class_members(df: DataFrame, key: str, code: str) -> DataFrame:
+    """(key, representative): the class of each row with a code."""
+    return df.where(F.col(code).isNotNull()).join(classes(df, key, code).select(F.col("code").alias("_t_c"), "representative"), F.col(code) == F.col("_t_c")).select(key, "representative")
+
+
 def hamming_pairs(df: DataFrame, key: str, code: str, most: int, bits: int = 64) -> DataFrame:
-    """Pairs of rows (smaller key first) whose codes differ in at most ``most`` bits, by the pigeonhole principle.
+    """Pairs of representatives of equal codes (smaller key first) whose codes differ in at most ``most`` bits; complete.
 
-    The code is cut into most + 1 bands; rows that agree in a band meet, and the complete distance is verified.
+    Multi-index hashing: the code is cut into bands, about one for every three bits allowed; two codes that close are within
+    most // bands bits in one of them.  Each code is filed under its bands' values and looks up the values in the balls
+    around them, so the wider the bands, the fewer codes meet for nothing; the complete distance is verified.
     """
-    bands = most + 1
+    bands = max(2, -(-(most + 1) // 3))
+    radius = most // bands
     cut = [bits * i // bands for i in range(bands + 1)]
-    band = F.explode(F.array(*(F.struct(F.lit(i).alias("b"), F.shiftrightunsigned(F.col(code), cut[i]).bitwiseAND(F.lit((1 << (cut[i + 1] - cut[i])) - 1 if cut[i + 1] - cut[i] < 63 else -1).cast("bigint")).alias("v")) for i in range(bands))))
-    rows = df.select(F.col(key).alias("key_a"), F.col(code).alias("code_a"), band.alias("x")).select("key_a", "code_a", "x.*")
-    other = rows.withColumnsRenamed({"key_a": "key_b", "code_a": "code_b"})
+
+    def value(i: int) -> Column:
+        wide = cut[i + 1] - cut[i]
+        return F.shiftrightunsigned(F.col("code"), cut[i]).bitwiseAND(F.lit((1 << wide) - 1).cast("bigint"))
+
+    def ball(i: int) -> Column:
+        wide = cut[i + 1] - cut[i]
+        flips = [sum(1 << x for x in of) for r in range(radius + 1) for of in combinations(range(wide), r)]
+        return F.transform(F.array(*(F.lit(x).cast("bigint") for x in flips)), lambda x: F.struct(F.lit(i).alias("b"), value(i).bitwiseXOR(x).alias("v")))
+
+    nodes = classes(df, key, code).select("representative", "code")
+    filed = nodes.select(F.col("representative").alias("key_b"), F.col("code").alias("code_b"), F.explode(F.array(*(F.struct(F.lit(i).alias("b"), value(i).alias("v")) for i in range(bands)))).alias("x")).select("key_b", "code_b", "x.*")
+    looked = nodes.select(F.col("representative").alias("key_a"), F.col("code").alias("code_a"), F.explode(F.concat(*(ball(i) for i in range(bands)))).alias("x")).select("key_a", "code_a", "x.*")
     distance = F.bit_count(F.col("code_a").bitwiseXOR(F.col("code_b")))
-    met = rows.join(other, ["b", "v"]).where((F.col("key_a") < F.col("key_b")) & (distance <= most))
+    met = looked.join(filed, ["b", "v"]).where((F.col("key_a") < F.col("key_b")) & (distance <= most))
     return met.select("key_a", "key_b", distance.cast("bigint").alias("distance")).distinct()
 
 
@@ -52,16 +78,33 @@ def histogram(df: DataFrame, keys: list[str], value: str, bins: int = 20) -> Dat
     return every.join(counts, [*keys, "bin"], "left").select(*keys, "bin", F.when(F.col("_t_n") < 2, 0.0).otherwise(F.coalesce("_t_c", F.lit(0)) / (F.col("_t_n") * width)).alias("density"))
 
 
-def correlated_pairs(prints: DataFrame, key: str, position: list[str], value: str, least: float) -> DataFrame:
-    """Pairs of fingerprints (long rows) with a Pearson correlation of at least ``least``.
+def fingerprints(prints: DataFrame, key: str, position: list[str], value: str) -> DataFrame:
+    """(key, code): each fingerprint's values (long rows, every position given) as one array in the order of positions."""
+    held = F.array_sort(F.collect_list(F.struct(*position, F.col(value).cast("double").alias("_t_v"))))
+    return prints.groupBy(key).agg(F.transform(held, lambda x: x["_t_v"]).alias("code"))
+
+
+def correlated_pairs(prints: DataFrame, key: str, position: list[str], value: str, least: float, axes: int = 3) -> DataFrame:
+    """Pairs of representatives of equal fingerprints (smaller key first) with a Pearson correlation of at least ``least``;
+    complete.  Constant fingerprints have no correlation.
 
-    Every fingerprint is centred and scaled once; pairs meet on positions where both differ from 0, so the join is as large
-    as the non-zero overlaps.  Constant fingerprints have no correlation.
+    Fingerprints are centred and scaled to length 1, so a correlation of r is a distance of sqrt(2 - 2r).  On ``axes`` fixed
+    orthonormal directions two that close are no further apart than that either: each is filed in a grid of cells that wide
+    and looks into the cells around its own, and the correlation is computed for those it meets.
     """
-    n = prints.groupBy(key).agg(F.sum(value).alias("_t_s"), F.sum(F.col(value) * F.col(value)).alias("_t_q"), F.count(F.lit(1)).alias("_t_n")).withColumn("_t_d", F.sqrt(F.col("_t_q") - F.col("_t_s") * F.col("_t_s") / F.col("_t_n"))).where("_t_d > 0")
-    some = prints.where(F.col(value) != 0)
-    side = lambda s: some.select(F.col(key).alias(f"key_{s}"), *position, F.col(value).alias(f"v_{s}"))
-    dots = side("a").join(side("b"), position).where("key_a < key_b").groupBy("key_a", "key_b").agg(F.sum(F.col("v_a") * F.col("v_b")).alias("dot"))
-    of = lambda s: n.select(F.col(key).alias(f"key_{s}"), F.col("_t_s").alias(f"s_{s}"), F.col("_t_d").alias(f"d_{s}"), F.col("_t_n").alias(f"n_{s}"))
-    r = (F.col("dot") - F.col("s_a") * F.col("s_b") / F.col("n_a")) / (F.col("d_a") * F.col("d_b"))
-    return dots.join(of("a"), "key_a").join(of("b"), "key_b").select("key_a", "key_b", r.alias("correlation")).where(F.col("correlation") >= least)
+    add = lambda x: F.aggregate(x, F.lit(0.0), lambda s, v: s + v)
+    nodes = classes(fingerprints(prints, key, position, value), key, "code").select("representative", "code")
+    mean = add("code") / F.size("code")
+    nodes = nodes.withColumn("_t_m", mean).withColumn("_t_c", F.transform("code", lambda v: v - F.col("_t_m"))).withColumn("_t_n", F.sqrt(add(F.transform("_t_c", lambda v: v * v))))
+    unit = nodes.where("_t_n > 0").select("representative", F.transform("_t_c", lambda v: v / F.col("_t_n")).alias("u"))
+    size = F.size("u")
+    wide = math.sqrt(max(2 - 2 * least, 1e-12)) * (1 + 1e-9)
+    on = lambda j: add(F.transform("u", lambda v, i: v * F.sqrt(F.lit(2.0) / size) * F.cos(F.lit(math.pi * j) * (2 * i + 1) / (2 * size))))
+    laid = unit.withColumns({f"c{j}": F.floor(on(j) / wide) for j in range(1, axes + 1)})
+    cells = [f"c{j}" for j in range(1, axes + 1)]
+    filed = laid.select(F.col("representative").alias("key_b"), F.col("u").alias("u_b"), *cells)
+    around = laid.select(F.col("representative").alias("key_a"), F.col("u").alias("u_a"), *cells)
+    for c in cells:
+        around = around.withColumn(c, F.explode(F.array(F.col(c) - 1, F.col(c), F.col(c) + 1)))
+    r = add(F.zip_with("u_a", "u_b", lambda x, y: x * y))
+    return around.join(filed, cells).where("key_a < key_b").select("key_a", "key_b", r.alias("correlation")).where(F.col("correlation") >= least)

@@ -14,11 +14,21 @@ def hash_groups(spark, sf_dir):
     return dedup.hash_groups(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-@query("""WITH b AS (SELECT vec_id, list_reduce(list_prepend(''::VARCHAR, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN '1' ELSE '0' END)), lambda s, v: s || v)::BIT AS c FROM embeddings)
-    SELECT a.vec_id AS key_a, z.vec_id AS key_b, bit_count(xor(a.c, z.c))::BIGINT AS distance FROM b a JOIN b z ON a.vec_id < z.vec_id AND bit_count(xor(a.c, z.c)) <= 6""")
+_CODES = "b AS (SELECT vec_id, list_reduce(list_prepend(''::VARCHAR, list_transform(embedding[1:24], lambda x: CASE WHEN x > 0 THEN '1' ELSE '0' END)), lambda s, v: s || v) AS c FROM embeddings), re AS (SELECT c, min(vec_id) AS k FROM b GROUP BY c)"
+
+
+def _codes(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").select("vec_id", dedup.sign_code("embedding", 24).alias("code"))
+
+
+@query(f"""WITH {_CODES} SELECT a.k AS key_a, z.k AS key_b, bit_count(xor(a.c::BIT, z.c::BIT))::BIGINT AS distance FROM re a JOIN re z ON a.k < z.k AND bit_count(xor(a.c::BIT, z.c::BIT)) <= 4""")
 def hamming_pairs(spark, sf_dir):
-    codes = table(spark, sf_dir, "embeddings").select("vec_id", dedup.sign_code("embedding").alias("code"))
-    return dedup.hamming_pairs(codes, "vec_id", "code", 6)
+    return dedup.hamming_pairs(_codes(spark, sf_dir), "vec_id", "code", 4, 24)
+
+
+@query(f"WITH {_CODES} SELECT vec_id, k AS representative FROM b JOIN re USING (c)")
+def hamming_classes(spark, sf_dir):
+    return dedup.class_members(_codes(spark, sf_dir), "vec_id", "code")
 
 
 HISTOGRAM = f"""{SHIPMENTS}, va AS (SELECT k, p AS v FROM sh WHERE NOT isnan(p)), en AS (SELECT k, min(v) AS lo, max(v) AS hi, count(*) AS n FROM va GROUP BY k),
@@ -35,9 +45,10 @@ def trajectory_fingerprint(spark, sf_dir):
     return _prints(spark, sf_dir).select("k", "bin", F.bround(F.col("density") * 1e6, 6).alias("density"))
 
 
-@query(f"WITH {HISTOGRAM} SELECT a.k AS key_a, b.k AS key_b, round_even(corr(a.density, b.density), 6) AS correlation FROM hi a JOIN hi b ON a.bin = b.bin AND a.k < b.k GROUP BY 1, 2 HAVING corr(a.density, b.density) >= 0.9")
+@query(f"""WITH {HISTOGRAM}, ve AS (SELECT k, list(density ORDER BY bin) AS c FROM hi GROUP BY k), re AS (SELECT min(k) AS k FROM ve GROUP BY c), hr AS (SELECT hi.* FROM hi JOIN re USING (k))
+    SELECT a.k AS key_a, b.k AS key_b, round_even(corr(a.density, b.density), 6) AS correlation FROM hr a JOIN hr b ON a.bin = b.bin AND a.k < b.k GROUP BY 1, 2 HAVING corr(a.density, b.density) >= 0.6""")
 def trajectory_duplicates(spark, sf_dir):
-    out = dedup.correlated_pairs(_prints(spark, sf_dir), "k", ["bin"], "density", 0.9)
+    out = dedup.correlated_pairs(_prints(spark, sf_dir), "k", ["bin"], "density", 0.6)
     return out.withColumn("correlation", F.bround("correlation", 6))
 
 

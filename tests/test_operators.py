@@ -221,6 +221,26 @@ def test_histogram_is_numpys(spark):
     assert np.allclose(flat, np.histogram([2.0] * 3, bins=20, density=True)[0])
 
 
+def test_correlated_pairs_brute_force(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(12, 20))
+    held = np.concatenate([base, base[:6] * 3 + 1 + rng.normal(size=(6, 20)) * 0.3, base[:2], np.ones((1, 20))])
+    df = spark.createDataFrame([(k, i, float(v)) for k, row in enumerate(held) for i, v in enumerate(row)], "k bigint, bin int, v double")
+    for least in (0.2, 0.6, 0.9, 0.99):
+        got = {(r["key_a"], r["key_b"]): r["correlation"] for r in dedup.correlated_pairs(df, "k", ["bin"], "v", least).collect()}
+        own = [k for k in range(len(held)) if held[k].std() and not any((held[j] == held[k]).all() for j in range(k))]
+        want = {(a, b): np.corrcoef(held[a], held[b])[0, 1] for a in own for b in own if a < b and np.corrcoef(held[a], held[b])[0, 1] >= least}
+        assert set(got) == set(want) and all(got[x] == pytest.approx(want[x]) for x in want)
+
+
+def test_classes_of_equal_codes(spark):
+    df = spark.createDataFrame([(3, 7), (1, 7), (2, 6), (9, 7), (5, None)], "k bigint, c bigint")
+    assert rows(dedup.class_members(df, "k", "c"), "k", "representative") == [(1, 1), (2, 2), (3, 1), (9, 1)]
+    assert rows(dedup.hamming_pairs(df, "k", "c", 1), "key_a", "key_b", "distance") == [(1, 2, 1)]
+
+
 def test_hamming_pairs_brute_force(spark):
     rng = np.random.default_rng(5)
     codes = [int(x) for x in rng.integers(-(2**63), 2**63 - 1, 40)]
