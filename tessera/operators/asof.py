@@ -7,6 +7,8 @@ later-row rule).  ``tie`` says who wins at equal distance: ``earlier`` or ``late
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,8 +16,12 @@ from tessera.functions.numbers import truncated
 from tessera.operators.sequence import true_runs
 
 
-def nearest(left: DataFrame, right: DataFrame, keys: list[str], left_ts: str, right_ts: str, right_index: str, tie: str = "earlier") -> DataFrame:
-    """``left`` with match_ts, match_index and offset_ns (match - left); nulls where the key has no right row."""
+def nearest(left: DataFrame, right: DataFrame, keys: list[str], left_ts: str, right_ts: str, right_index: str, tie: str = "earlier", slice_ns: int | None = None) -> DataFrame:
+    """``left`` with match_ts, match_index and offset_ns (match - left); nulls where the key has no right row.
+
+    ``slice_ns`` cuts each key's axis into stretches of that long, for keys that hold a large part of all rows: rows meet within a
+    stretch, and a table with one row per stretch carries the last right row before and the first after it over.
+    """
     if tie not in ("earlier", "later"):
         raise ValueError(f"tie: {tie}")
     own = left.columns
@@ -23,9 +29,19 @@ def nearest(left: DataFrame, right: DataFrame, keys: list[str], left_ts: str, ri
     rows = left.select(*keys, F.col(left_ts).alias("_t_ts"), F.lit(1).alias("_t_side"), F.struct(*own).alias("_t_row"))
     marks = one.select(*keys, "_t_ts", F.lit(0).alias("_t_side"), F.struct("_t_ts", "_t_low", "_t_high").alias("_t_mark"))
     both = rows.unionByName(marks, allowMissingColumns=True)
-    before = Window.partitionBy(*keys).orderBy("_t_ts", "_t_side").rowsBetween(Window.unboundedPreceding, 0)
-    after = Window.partitionBy(*keys).orderBy(F.desc("_t_ts"), F.desc("_t_side")).rowsBetween(Window.unboundedPreceding, -1)
+    by = list(keys)
+    if slice_ns is not None:
+        both = both.withColumn("_t_slice", F.floor(F.col("_t_ts") / slice_ns))
+        by.append("_t_slice")
+    before = Window.partitionBy(*by).orderBy("_t_ts", "_t_side").rowsBetween(Window.unboundedPreceding, 0)
+    after = Window.partitionBy(*by).orderBy(F.desc("_t_ts"), F.desc("_t_side")).rowsBetween(Window.unboundedPreceding, -1)
     seen = both.withColumns({"_t_prev": F.last("_t_mark", ignorenulls=True).over(before), "_t_next": F.last("_t_mark", ignorenulls=True).over(after)}).where("_t_side = 1")
+    if slice_ns is not None:
+        ends = both.groupBy(*by).agg(F.min("_t_mark").alias("_t_first"), F.max("_t_mark").alias("_t_last"))  # marks sort by time
+        w = Window.partitionBy(*keys).orderBy("_t_slice")
+        carry = ends.select(*(F.col(k).alias(f"_t_k_{k}") for k in by), F.last("_t_last", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("_t_past"), F.first("_t_first", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("_t_future"))
+        same = reduce(lambda x, y: x & y, (F.col(k).eqNullSafe(F.col(f"_t_k_{k}")) for k in by))
+        seen = seen.join(carry, same).withColumns({"_t_prev": F.coalesce("_t_prev", "_t_past"), "_t_next": F.coalesce("_t_next", "_t_future")})
     back, ahead = F.col("_t_ts") - F.col("_t_prev._t_ts"), F.col("_t_next._t_ts") - F.col("_t_ts")
     nearer = back <= ahead if tie == "earlier" else (back < ahead) | (back == 0)
     use_prev = F.col("_t_next").isNull() | (F.col("_t_prev").isNotNull() & nearer)
@@ -59,9 +75,9 @@ def sample_map(frames: DataFrame, spans: DataFrame, keys: list[str], ts: str, in
     return found.select(*keys, "output_frame_index", "output_timestamp_ns", F.col("match_index").alias("source_frame_index"), F.col("match_ts").alias("source_timestamp_ns"), F.lit("nearest").alias("mapping_method"), F.col("offset_ns").alias("time_error_ns"))
 
 
-def pairing(left: DataFrame, right: DataFrame, keys: list[str], ts: str, index: str, most_ns: int) -> DataFrame:
+def pairing(left: DataFrame, right: DataFrame, keys: list[str], ts: str, index: str, most_ns: int, slice_ns: int | None = None) -> DataFrame:
     """``left`` rows with their nearest ``right`` row and ``paired``: within ``most_ns``."""
-    return nearest(left, right, keys, ts, ts, index).withColumn("paired", F.coalesce(F.abs("offset_ns") <= most_ns, F.lit(False)))
+    return nearest(left, right, keys, ts, ts, index, slice_ns=slice_ns).withColumn("paired", F.coalesce(F.abs("offset_ns") <= most_ns, F.lit(False)))
 
 
 def pairing_summary(pairs: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:

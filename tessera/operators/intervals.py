@@ -6,25 +6,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.numbers import finite
-from tessera.operators.sequence import runs, same, true_runs
+from tessera.operators.sequence import previous, runs, same, true_runs
 
 #: Decisions whose intervals the planner takes out.
 REMOVED = ("split", "exclude_range", "quarantine", "keep_with_flag")
 
 
-def time_spans(df: DataFrame, keys: list[str], order: str, ts: str, flag: str, least_ns: int = 0) -> DataFrame:
+def time_spans(df: DataFrame, keys: list[str], order: str, ts: str, flag: str, least_ns: int = 0, slice_rows: int | None = None) -> DataFrame:
     """Runs of true rows as [start_ns, end_ns], the end extended by the interval between the run's last row and the row
     before it in the stream (0 on the first row); runs of at least ``least_ns`` stay."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    step = F.coalesce(F.col(ts) - F.lag(ts).over(w), F.lit(0))
-    marked = true_runs(df.withColumn("_t_step", step), keys, order, flag)
+    seen = previous(df, keys, order, [ts], slice_rows, "_t_prev_")
+    marked = true_runs(seen.withColumn("_t_step", F.coalesce(F.col(ts) - F.col(f"_t_prev_{ts}"), F.lit(0))), keys, order, flag, slice_rows)
     spans = marked.groupBy(*keys, "run_id").agg(F.min(ts).alias("start_ns"), F.max_by(F.col(ts) + F.col("_t_step"), order).alias("end_ns"), F.count(F.lit(1)).alias("rows"))
     return spans.where(F.col("end_ns") - F.col("start_ns") >= least_ns).drop("run_id")
 
 
-def frame_spans(df: DataFrame, keys: list[str], order: str, flag: str, least: int = 1) -> DataFrame:
+def frame_spans(df: DataFrame, keys: list[str], order: str, flag: str, least: int = 1, slice_rows: int | None = None) -> DataFrame:
     """Runs of true rows as half-open [first, past) places; runs of at least ``least`` rows stay."""
-    marked = true_runs(df, keys, order, flag)
+    marked = true_runs(df, keys, order, flag, slice_rows)
     return marked.groupBy(*keys, "run_id").agg(F.min(order).alias("first"), (F.max(order) + 1).alias("past"), F.count(F.lit(1)).alias("rows")).where(F.col("rows") >= least).drop("run_id")
 
 

@@ -221,6 +221,23 @@ def test_histogram_is_numpys(spark):
     assert np.allclose(flat, np.histogram([2.0] * 3, bins=20, density=True)[0])
 
 
+def test_slices_change_nothing(spark):
+    import random
+
+    rng = random.Random(3)
+    left = [("ab"[k % 2], rng.randrange(1000), k) for k in range(60)] + [("c", 5, 60), (None, 7, 61), ("a", None, 62)]
+    right = [("ab"[k % 2], rng.randrange(1000) if k < 20 else 100 + k % 3, k) for k in range(40)] + [(None, 900, 41)]
+    a, b = (spark.createDataFrame(x, "k string, t bigint, n int") for x in (left, right))
+    for tie in ("earlier", "later"):
+        want = asof.nearest(a, b, ["k"], "t", "t", "n", tie).collect()
+        for size in (1, 37, 400, 10**6):
+            assert sorted(map(str, asof.nearest(a, b, ["k"], "t", "t", "n", tie, size).collect())) == sorted(map(str, want))
+    flagged = spark.createDataFrame([("ab"[k % 2], k // 2, 10 * k + rng.randrange(9), rng.random() < 0.7) for k in range(120)], "k string, i bigint, t bigint, f boolean")
+    for size in (1, 7, 1000):
+        assert sorted(intervals.time_spans(flagged, ["k"], "i", "t", "f", slice_rows=size).collect()) == sorted(intervals.time_spans(flagged, ["k"], "i", "t", "f").collect())
+        assert sorted(intervals.frame_spans(flagged, ["k"], "i", "f", slice_rows=size).collect()) == sorted(intervals.frame_spans(flagged, ["k"], "i", "f").collect())
+
+
 def test_correlated_pairs_brute_force(spark):
     import numpy as np
 
