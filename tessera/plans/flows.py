@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tessera.operators import annotate, frames, quality, scene
+from tessera.operators import annotate, frames, intervals, quality, scene
 from tessera.operators.sequence import true_runs
 from tessera.plans.adapters import EVENTS, HOUR, events, six, table
 from tessera.plans.registry import query
 from tessera.plans.scenes import _SCENES, _ends, _kept
-from tessera.plans.spans import PLAN, plan_rows
+from tessera.plans.spans import _BAD, PLAN, _bad, _subtracted, plan_rows
 
 _ALIKE = """si AS (SELECT k, i, 1 - abs(v - lag(v) OVER w) / 100 AS s, 1 - abs(v - lag(v, 5) OVER w) / 100 AS l FROM ev WINDOW w AS (PARTITION BY k ORDER BY i)), s1 AS (SELECT k, i, coalesce(s, 1.0) AS s, l FROM si)"""
 
@@ -129,3 +129,21 @@ def scene_pipeline(spark, sf_dir):
     rows = annotate.clip(events(spark, sf_dir).select("k", "t", "v"), found.select("k", "place", "start_ns", "end_ns"), ["k"], "t", "start_ns", "end_ns")
     of = rows.groupBy("k", "place").agg(F.count(F.lit(1)).alias("frames"), F.bround(F.sum("v"), 4).alias("brightness"))
     return found.join(of, ["k", "place"], "left").na.fill(0, ["frames"])
+
+
+@query(f"""WITH {_BAD}, ra AS (SELECT k, max(a) AS lo, min(b) AS hi FROM (SELECT k, e, min(t) AS a, max(t) AS b FROM ev WHERE e <> 'error' GROUP BY 1, 2) GROUP BY k HAVING max(a) < min(b)),
+    hi AS (SELECT bad.* FROM bad JOIN ra USING (k) WHERE end_ns > lo AND start_ns < ra.hi), sp AS (SELECT k, start_ns, end_ns FROM {_subtracted("ra", "hi", "start_ns", "end_ns")}),
+    lg AS (SELECT k, row_number() OVER (PARTITION BY k ORDER BY start_ns) - 1 AS place, start_ns, end_ns FROM sp WHERE end_ns - start_ns >= {12 * HOUR}),
+    cv AS (SELECT lg.k, place, count(*) AS rows, count(DISTINCT e) AS streams FROM lg JOIN ev ON ev.k = lg.k AND ev.t >= start_ns AND ev.t < end_ns WHERE e <> 'error' GROUP BY 1, 2)
+    SELECT lg.k, lg.place, start_ns, end_ns, coalesce(rows, 0) AS rows, coalesce(streams, 0) AS streams, coalesce(streams, 0) = n AS complete FROM lg JOIN (SELECT k, count(DISTINCT e) AS n FROM ev WHERE e <> 'error' GROUP BY k) x ON x.k = lg.k LEFT JOIN cv ON cv.k = lg.k AND cv.place = lg.place""")
+def delivery_candidates(spark, sf_dir):
+    """What can be delivered of each session: the range that all its streams share, without blocked intervals and short pieces, and
+    whether every stream has rows in it."""
+    rows = events(spark, sf_dir).where("e <> 'error'")
+    ranges = rows.groupBy("k", "e").agg(F.min("t").alias("start_ns"), F.max("t").alias("end_ns"))
+    spans = intervals.physical_spans(ranges, _bad(spark, sf_dir), ["k"]).where(F.col("end_ns") - F.col("start_ns") >= 12 * HOUR)
+    placed = spans.select("k", (F.row_number().over(Window.partitionBy("k").orderBy("start_ns")) - 1).cast("bigint").alias("place"), "start_ns", "end_ns")
+    inside = annotate.clip(rows.select("k", "t", "e"), placed, ["k"], "t", "start_ns", "end_ns").groupBy("k", "place").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("e").alias("streams"))
+    every = ranges.groupBy("k").agg(F.count(F.lit(1)).alias("_t_all"))
+    out = placed.join(inside, ["k", "place"], "left").na.fill(0, ["rows", "streams"]).join(every, "k")
+    return out.select("k", "place", "start_ns", "end_ns", "rows", "streams", (F.col("streams") == F.col("_t_all")).alias("complete"))
