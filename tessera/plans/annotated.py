@@ -99,12 +99,19 @@ def redacted_texts(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.sha2(privacy.redacted(F.col("text")), 256).alias("sha"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {EVENTS}, n AS (SELECT k, i, t, row_number() OVER (PARTITION BY k ORDER BY t, i) AS r FROM ev), f AS (SELECT k, i, t, r, t AS last, true AS inferred FROM n WHERE r = 1 UNION ALL
+    SELECT n.k, n.i, n.t, n.r, CASE WHEN n.t - f.last >= {6 * HOUR} THEN n.t ELSE f.last END, n.t - f.last >= {6 * HOUR} FROM f JOIN n ON n.k = f.k AND n.r = f.r + 1) SELECT k, i, t, inferred FROM f""")
 def sampled_rows(spark, sf_dir):
     return privacy.sampled(events(spark, sf_dir).select("k", "i", "t"), "k", "t", 6 * HOUR)
 
 
-@query()
+_OVERLAP = "greatest(0.0, least(n.x2, f.x2) - greatest(n.x1, f.x1)) * greatest(0.0, least(n.y2, f.y2) - greatest(n.y1, f.y1))"
+_UNION = f"(n.x2 - n.x1) * (n.y2 - n.y1) + (f.x2 - f.x1) * (f.y2 - f.y1) - {_OVERLAP}"
+_MEANS = ", ".join(f"CASE WHEN {_UNION} > 0 AND {_OVERLAP} / ({_UNION}) >= 0.3 THEN (n.{c} + f.{c}) / 2 ELSE n.{c} END" for c in ("x1", "y1", "x2", "y2"))
+
+
+@query(f"""WITH RECURSIVE {_BOXES}, g AS (SELECT k % 97 AS video, k, max(x1) AS x1, max(y1) AS y1, max(x2) AS x2, max(y2) AS y2 FROM bx GROUP BY 1, 2), n AS (SELECT *, row_number() OVER (PARTITION BY video ORDER BY k) AS r FROM g),
+    f AS (SELECT video, k, r, x1, y1, x2, y2 FROM n WHERE r = 1 UNION ALL SELECT n.video, n.k, n.r, {_MEANS} FROM f JOIN n ON n.video = f.video AND n.r = f.r + 1) SELECT video, k, x1, y1, x2, y2 FROM f""")
 def smoothed_regions(spark, sf_dir):
     rows = _boxes(spark, sf_dir).withColumn("video", F.col("k") % 97).groupBy("video", "k").agg(*(F.max(c).alias(c) for c in ("x1", "y1", "x2", "y2")))
     return privacy.smooth_regions(rows, "video", "k", ["x1", "y1", "x2", "y2"])
