@@ -128,12 +128,13 @@ def _loaded(sent, cache: dict = {}) -> Scanner:  # noqa: B006  one automaton a w
     return cache["scanner"]
 
 
-def _held(batches, at: int) -> Iterator[list[pa.RecordBatch]]:
+def _held(batches, at: int, blocks: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches to scan together: one by one, or so many that building a block's automaton is worth it."""
     held, weight = [], 0
     for b in batches:
         held.append(b)
         weight += b.column(at).nbytes
-        if weight >= HELD_BYTES:
+        if blocks == 1 or weight >= HELD_BYTES:
             yield held
             held, weight = [], 0
     if held:
@@ -162,7 +163,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     blocks = _blocks(benchmark, item_id, item_text, size, max_windows)
 
     def run(batches):
-        for held in _held(batches, 1):
+        for held in _held(batches, 1, len(blocks)):
             texts = [b.column(1).to_pylist() for b in held]
             n: list[int] = []
             ranges: list[list[tuple[int, int]]] = [[] for ts in texts for _ in ts]
@@ -203,7 +204,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     blocks = _blocks(benchmark, item_id, item_text, size, max_windows)
 
     def run(batches):
-        for held in _held(batches, at):
+        for held in _held(batches, at, len(blocks)):
             texts = [b.column(at).cast(pa.binary()).to_pylist() for b in held]
             stays = [[True] * len(ts) for ts in texts]
             for sent in blocks:
