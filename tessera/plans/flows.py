@@ -27,7 +27,7 @@ def structural_cuts(spark, sf_dir):
     return scene.structural_cuts(rows, ["k"], "i", 0.2, 0.6, 3, 5).withColumn("score", six("score"))
 
 
-_PIXELS = "fr AS (SELECT vec_id AS i, label AS k, list_transform(embedding, lambda x: least(255, greatest(0, floor(x * 40 + 128)))::INT) AS px FROM embeddings)"
+_PIXELS = "fr AS (SELECT vec_id AS i, label AS k, list_transform(embedding, lambda x: least(255, greatest(0, floor(x::DOUBLE * 40 + 128)))::INT) AS px FROM embeddings)"
 _METRICS = f"""{_PIXELS}, la AS (SELECT i, k, px, list_sort(px) AS s, list_transform(range(64), lambda j: px[(CASE WHEN j // 8 = 0 THEN 1 ELSE j // 8 - 1 END) * 8 + j % 8 + 1] + px[(CASE WHEN j // 8 = 7 THEN 6 ELSE j // 8 + 1 END) * 8 + j % 8 + 1]
         + px[(j // 8) * 8 + (CASE WHEN j % 8 = 0 THEN 1 ELSE j % 8 - 1 END) + 1] + px[(j // 8) * 8 + (CASE WHEN j % 8 = 7 THEN 6 ELSE j % 8 + 1 END) + 1] - 4 * px[j + 1]) AS d FROM fr),
     fm AS (SELECT i, k, list_sum(px) / 64.0::DOUBLE AS gray_mean, s[60] + 0.85 * (s[61] - s[60]) AS p95, s[63] + 0.37 * (s[64] - s[63]) AS p99, len(list_filter(px, lambda x: x >= 250)) / 64.0::DOUBLE AS saturated_ratio,

