@@ -80,12 +80,12 @@ def depth_sources(files: DataFrame, declared: DataFrame) -> DataFrame:
     return files.select("session").distinct().join(chosen, "session", "left").na.fill({"source_kind": "missing", "files": 0})
 
 
-def folders(spark: SparkSession, root: str) -> Session:
-    """Sessions as folders below ``root``: meta.json, index.jsonl, imu/*.csv, color_*.mkv, raw depth; ids are "guida_" and the folder.
+def folders(spark: SparkSession, root: str, prefix: str = "") -> Session:
+    """Sessions as folders below ``root``: meta.json, index.jsonl, imu/*.csv, color_*.mkv, raw depth; ids are ``prefix`` and the folder.
 
     The index's frames are the time line of colour and depth.  A session without depth has no depth stream.
     """
-    text = spark.read.option("wholetext", True).text(f"{root}/*/meta.json").select(F.concat(F.lit("guida_"), _folder(F.col("_metadata.file_path"), 2)).alias("session"), "value")
+    text = spark.read.option("wholetext", True).text(f"{root}/*/meta.json").select(F.concat(F.lit(prefix), _folder(F.col("_metadata.file_path"), 2)).alias("session"), "value")
     get = lambda p: F.get_json_object("value", f"$.{p}")
     first = lambda *ps: F.coalesce(*(get(f"streams.depth.{p}") for p in ps))
     meta = text.select(
@@ -93,16 +93,19 @@ def folders(spark: SparkSession, root: str) -> Session:
         F.coalesce(first("frame_count"), get("recording_stats.total_frames")).alias("declared_rows"), named(first("unit", "depth_unit", "measurement_unit"), UNITS).alias("unit"), named(first("dtype", "data_type", "pixel_type", "format"), DTYPES).alias("dtype"),
         first("fps").cast("double").alias("depth_fps"), first("width").alias("depth_width"), first("height").alias("depth_height"), F.array_compact(F.array(*(get(f"streams.depth.{p}") for p in ("uri", "path", "file", "filename")))).alias("declared"),
     )
-    index = spark.read.schema(INDEX).option("mode", "FAILFAST").json(f"{root}/*/index.jsonl").select(F.concat(F.lit("guida_"), _folder(F.col("_metadata.file_path"), 2)).alias("session"), "*")
+    index = spark.read.schema(INDEX).option("mode", "FAILFAST").json(f"{root}/*/index.jsonl").select(F.concat(F.lit(prefix), _folder(F.col("_metadata.file_path"), 2)).alias("session"), "*")
     place = F.row_number().over(Window.partitionBy("session").orderBy("seq")) - 1
     frames = index.where("type = 'frame'").select("session", F.lit("ego_rgb").alias("stream"), place.cast("bigint").alias("frame_index"), "timestamp_ns")
-    csv = spark.read.schema(IMU).option("header", True).csv(f"{root}/*/imu/*.csv").select(F.concat(F.lit("guida_"), _folder(F.col("_metadata.file_path"), 3)).alias("session"), "*")
+    csv = spark.read.schema(IMU).option("header", True).csv(f"{root}/*/imu/*.csv").select(F.concat(F.lit(prefix), _folder(F.col("_metadata.file_path"), 3)).alias("session"), "*")
     axes = ("ax", "ay", "az", "gx", "gy", "gz")
     samples = csv.select("session", F.lit("ego_imu").alias("stream"), "timestamp_ns", F.create_map(*(x for a in axes for x in (F.lit(a), F.col(a)))).alias("values"))
     paths = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
-    inner = F.regexp_extract("path", r"/([^/]+)$", 1)
-    base = paths.join(F.broadcast(text.select("session", F.regexp_replace("session", "^guida_", "").alias("_t_name"))), F.col("path").contains(F.concat(F.lit("/"), F.col("_t_name"), F.lit("/"))))
-    files = base.select("session", "path", F.expr("substring_index(path, concat('/', _t_name, '/'), -1)").alias("relative"), inner.alias("name"))
+    plain = lambda c: F.regexp_replace(c, r"^(\w+):/+", "$1:/")  # noqa: E731  the two ways that Spark writes a local path
+    at = spark.read.format("binaryFile").load(f"{root}/*/meta.json").select(F.regexp_replace(plain("path"), "/meta.json$", "").alias("_t_at"), F.concat(F.lit(prefix), _folder(F.col("path"), 2)).alias("session"))
+    parts = F.split(plain("path"), "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
+    base = paths.withColumn("_t_at", F.explode(above)).join(at, "_t_at")
+    files = base.select("session", "path", F.expr("substr(regexp_replace(path, '^(\\\\w+):/+', '$1:/'), length(_t_at) + 2)").alias("relative"))
     colour = files.where(F.col("relative").rlike(r"^color_\d+\.mkv$")).groupBy("session").agg(F.min("path").alias("source"))
     video = _ranges(frames, "frame_index").join(meta.select("session", "width", "height", "fps"), "session").join(colour, "session", "left").withColumns({"kind": F.lit("video"), "rate_hz": F.col("fps")})
     imu = _ranges(samples, "timestamp_ns").join(meta.select("session", "imu_rate"), "session").withColumns({"kind": F.lit("imu"), "rate_hz": F.coalesce("imu_rate", "rate_hz")})
@@ -115,8 +118,8 @@ def folders(spark: SparkSession, root: str) -> Session:
     return Session(streams, frames.unionByName(with_depth), samples)
 
 
-def containers(spark: SparkSession, path: str, prefix: str = "dunjia") -> Session:
-    """Sessions as MCAP files at ``path``: a session a file, a stream a topic that ``TOPICS`` names, "robot0/camera0" and the like;
+def containers(spark: SparkSession, path: str, prefix: str = "") -> Session:
+    """Sessions as MCAP files at ``path``: a session a file (ids: ``prefix`` and its name), a stream a topic that ``TOPICS`` names, "robot0/camera0" and the like;
     robots are told apart by the topics, so recordings of one or of two are read alike.
 
     Times are the messages' stamps.  A rate is 10^9 over the median positive interval; sizes are those of the camera_info or
@@ -124,7 +127,7 @@ def containers(spark: SparkSession, path: str, prefix: str = "dunjia") -> Sessio
     """
     found = mcap.index(spark, path)
     kind = reduce(lambda out, kv: F.when(F.col("topic").endswith(kv[0]), kv[1]).otherwise(out), TOPICS.items(), F.lit(None).cast("string"))
-    session = F.concat(F.lit(f"{prefix}_"), F.regexp_extract("path", r"([^/]+?)(?:\.[^/.]*)?$", 1))
+    session = F.concat(F.lit(prefix), F.regexp_extract("path", r"([^/]+?)(?:\.[^/.]*)?$", 1))
     stream = F.regexp_replace(F.regexp_replace(F.regexp_replace("topic", "^/", ""), "/compressed$", ""), "/(sensor|vio)/", "/")
     every = mcap.messages(found)
     of = every.withColumns({"session": session, "stream": stream, "kind": kind})

@@ -174,21 +174,21 @@ def test_folder_sessions(spark, tmp_path):
     for name, depth, files in (("a", {"path": "raw", "unit": "Millimeters", "format": "Z16", "frame_count": 2}, ["raw/1.png", "raw/2.png", "color_000000.mkv"]), ("b", {}, ["depth_000.mkv", "depth/1.png"]), ("c", {"path": "gone.mkv"}, [])):
         root = tmp_path / name
         (root / "imu").mkdir(parents=True)
-        (root / "meta.json").write_text(json.dumps({"device": {"name": "g"}, "streams": {"color": {"fps": 30, "width": 640, "height": 480}, "depth": depth}, "recording_stats": {"total_frames": 3, "dropped_frames": 0}, "imu": {"sample_rate_hz": 200}}))
+        (root / "meta.json").write_text(json.dumps({"device": {"name": "x"}, "streams": {"color": {"fps": 30, "width": 640, "height": 480}, "depth": depth}, "recording_stats": {"total_frames": 3, "dropped_frames": 0}, "imu": {"sample_rate_hz": 200}}))
         (root / "index.jsonl").write_text("\n".join(json.dumps({"type": "frame", "seq": k, "timestamp_ns": 10 * k + 5}) for k in (2, 0, 1)))
         (root / "imu" / "imu_000000.csv").write_text("timestamp_ns,ax,ay,az,gx,gy,gz\n1,0,0,9.8,0,0,0\n6,1,0,9.8,0,0,0\n")
         for f in files:
             (root / f).parent.mkdir(exist_ok=True)
             (root / f).write_bytes(b"x")
-    got = sessions.folders(spark, str(tmp_path))
+    got = sessions.folders(spark, str(tmp_path), "rec_")
     streams = {(r["session"], r["stream"]): r for r in got.streams.collect()}
-    assert set(streams) == {(f"guida_{n}", s) for n in "abc" for s in ("ego_rgb", "ego_imu")} | {("guida_a", "ego_depth"), ("guida_b", "ego_depth")}
-    rgb, a, b = streams["guida_a", "ego_rgb"], streams["guida_a", "ego_depth"], streams["guida_b", "ego_depth"]
+    assert set(streams) == {(f"rec_{n}", s) for n in "abc" for s in ("ego_rgb", "ego_imu")} | {("rec_a", "ego_depth"), ("rec_b", "ego_depth")}
+    rgb, a, b = streams["rec_a", "ego_rgb"], streams["rec_a", "ego_depth"], streams["rec_b", "ego_depth"]
     assert (rgb["rows"], rgb["start_ns"], rgb["end_ns"], rgb["rate_hz"], rgb["width"]) == (3, 5, 25, 30.0, 640) and rgb["source"].endswith("a/color_000000.mkv")
     assert (a["source_kind"], a["files"], a["unit"], a["dtype"], a["declared_rows"], a["rows"]) == ("image_sequence", 2, "mm", "uint16", 2, 3)
     assert (b["source_kind"], b["files"], b["unit"], b["declared_rows"]) == ("video", 1, "unknown", 3)
-    assert streams["guida_c", "ego_imu"]["rate_hz"] == 200.0 and got.samples.where("session = 'guida_c'").count() == 2
-    assert [r["timestamp_ns"] for r in got.frames.where("session = 'guida_b' and stream = 'ego_depth'").orderBy("frame_index").collect()] == [5, 15, 25]
+    assert streams["rec_c", "ego_imu"]["rate_hz"] == 200.0 and got.samples.where("session = 'rec_c'").count() == 2
+    assert [r["timestamp_ns"] for r in got.frames.where("session = 'rec_b' and stream = 'ego_depth'").orderBy("frame_index").collect()] == [5, 15, 25]
 
 
 def test_container_sessions(spark, tmp_path):
@@ -199,12 +199,12 @@ def test_container_sessions(spark, tmp_path):
     (tmp_path / "two.mcap").write_bytes(_mcap(sent[:3], topics, "zstd"))
     got = sessions.containers(spark, str(tmp_path))
     streams = {(r["session"], r["stream"]): r for r in got.streams.collect()}
-    assert set(streams) == {("dunjia_one", "robot0/camera0"), ("dunjia_one", "robot0/imu"), ("dunjia_one", "robot1/eef_pose"), ("dunjia_two", "robot0/camera0")}
-    cam = streams["dunjia_one", "robot0/camera0"]
+    assert set(streams) == {("one", "robot0/camera0"), ("one", "robot0/imu"), ("one", "robot1/eef_pose"), ("two", "robot0/camera0")}
+    cam = streams["one", "robot0/camera0"]
     assert (cam["kind"], cam["rows"], cam["end_ns"], cam["rate_hz"], cam["width"], cam["height"]) == ("video", 5, 4 * 10**8, 10.0, 640, 480)
-    assert streams["dunjia_two", "robot0/camera0"]["width"] is None and streams["dunjia_one", "robot0/imu"]["rate_hz"] == 100.0
+    assert streams["two", "robot0/camera0"]["width"] is None and streams["one", "robot0/imu"]["rate_hz"] == 100.0
     assert sorted(r["values"]["gx"] for r in got.samples.collect()) == [0.0, 1.0, 2.0, 3.0]
-    assert got.frames.where("session = 'dunjia_one'").count() == 5
+    assert got.frames.where("session = 'one'").count() == 5
 
 
 def test_settings(spark, tmp_path):
