@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import small_batches, utf8
+from tessera.llm.common import small_batches, utf8, written
 
 KINDS = ("assign", "access", "hex", "guess")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -68,7 +68,18 @@ def common_words(docs: DataFrame, text: str = "text", most: int = MOST_WORDS) ->
     """The most common words of all texts, of which at least two occur; ties by the word.  Null texts have none."""
     said = F.lower(F.col(text).cast("string"))
     counted = docs.select(F.explode(F.regexp_extract_all(said, F.lit("(?<![a-z])[a-z]{3,24}(?![a-z])"), F.lit(0))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    return [r["word"] for r in counted.where("n > 1").orderBy(F.desc("n"), "word").limit(most).collect()]
+    # tasks send the driver no more words than it wants: a histogram of the counts tells from which count on
+    counted = written(counted.where("n > 1").withColumn("level", F.floor(F.log2("n") * 64)), "words")
+    left, last = most, None
+    for r in sorted(counted.groupBy("level").agg(F.count(F.lit(1)).alias("words")).collect(), reverse=True):
+        if r["words"] > left:
+            last = r["level"]
+            break
+        left -= r["words"]
+    order = (F.desc("n"), "word")
+    if last is None:
+        return [r["word"] for r in counted.orderBy(*order).collect()]
+    return [r["word"] for part in (counted.where(F.col("level") > last).orderBy(*order), counted.where(F.col("level") == last).orderBy(*order).limit(left)) for r in part.collect()]
 
 
 def _spans(value: str, words: Ranks):

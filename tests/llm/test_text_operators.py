@@ -224,6 +224,9 @@ def test_words_are_ranked_from_the_documents(spark):
     rows = [(1, "The butterfly's wing; butterfly nets. Configuration FILES configuration"), (2, "wing of a butterfly wing"), (3, None), (4, "once upon " + "x" * 30 + " " + "x" * 30)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert secrets.common_words(docs) == ["butterfly", "wing", "configuration"]
+    many = spark.createDataFrame([(" ".join(f"{chr(97 + k % 26)}{chr(97 + k // 26)}x" for k in range(90) for _ in range(2 + (k * 7) % 40)),)], "text string")
+    every = secrets.common_words(many)
+    assert len(every) == 90 and all(secrets.common_words(many, most=m) == every[:m] for m in (1, 7, 40, 89, 90))
     assert secrets.common_words(docs, most=1) == ["butterfly"] and secrets.common_words(docs.where("false")) == []
 
 
