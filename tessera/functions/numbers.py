@@ -13,8 +13,10 @@ def _c(x) -> Column:
 
 
 def half_even(x, places: int = 0) -> Column:
-    """Round half to even."""
-    return F.bround(_c(x), places)
+    """Round half to even as NumPy does: the scaled double is rounded, so 1.225 (122.50000000000001 hundredths) gives 1.23,
+    where ``bround`` takes its shortest decimal for a tie.  What has no scaled value stays."""
+    v, scale = _c(x).cast("double"), float(10**places)
+    return F.when(F.abs(v) < 1e300 / scale, F.rint(v * scale) / scale).otherwise(v)
 
 
 def truncated(x) -> Column:

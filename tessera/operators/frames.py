@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.numbers import half_even
 from tessera.operators.intervals import freeze_spans
 from tessera.operators.quality import every_kth
 
@@ -23,11 +24,11 @@ def depth_stats(df: DataFrame, keys: list[str], pixels: str, invalid: int | None
     d = df.withColumns({"_t_n": n, "_t_good": good, "_t_zero": F.size(F.filter(p, lambda x: x == 0))}).withColumn("_t_m", F.size("_t_good"))
     d = d.withColumn("_t_mean", F.when(F.col("_t_m") > 0, add(F.col("_t_good"), lambda x: x.cast("double")) / F.col("_t_m")).otherwise(0.0))
     std = F.when(F.col("_t_m") > 0, F.sqrt(add(F.col("_t_good"), lambda x: (x.cast("double") - F.col("_t_mean")) * (x.cast("double") - F.col("_t_mean"))) / F.col("_t_m"))).otherwise(0.0)
-    ratio = lambda c, empty: F.when(F.col("_t_n") > 0, F.bround(c / F.col("_t_n"), 6)).otherwise(empty)
+    ratio = lambda c, empty: F.when(F.col("_t_n") > 0, half_even(c / F.col("_t_n"), 6)).otherwise(empty)
     invalid_px = F.col("_t_n") - F.col("_t_m")
     return d.select(
         *keys, F.col("_t_n").cast("bigint").alias("pixels"), ratio(F.col("_t_zero"), 1.0).alias("zero_ratio"), ratio(invalid_px, 1.0).alias("invalid_ratio"), ratio(F.col("_t_m"), 0.0).alias("valid_ratio"),
-        (F.col("_t_zero") == F.col("_t_n")).alias("all_zero"), F.bround("_t_mean", 2).alias("mean"), F.bround(std, 2).alias("std"),
+        (F.col("_t_zero") == F.col("_t_n")).alias("all_zero"), half_even("_t_mean", 2).alias("mean"), half_even(std, 2).alias("std"),
         F.coalesce(F.array_min("_t_good"), F.lit(0)).cast("bigint").alias("min"), F.coalesce(F.array_max("_t_good"), F.lit(0)).cast("bigint").alias("max"),
     )
 

@@ -398,6 +398,12 @@ def test_frames(spark):
     assert [r["track_id"] for r in frames.match_tracks(t, "k", "f", ["a", "b", "c", "d"]).orderBy("f", "a").collect()] == [0, 0, 1, 1]
 
 
+def test_depth_means_are_rounded_as_numpy_does(spark):
+    sums = [49, 93, 179, 201, 357, 651]  # of 40 pixels: their means are ties as decimals, and as doubles lie to either side
+    d = spark.createDataFrame([(i, [n // 40] * (40 - n % 40) + [n // 40 + 1] * (n % 40)) for i, n in enumerate(sums)], "i int, p array<int>")
+    assert [r["mean"] for r in frames.depth_stats(d, ["i"], "p").orderBy("i").collect()] == [float(np.round(n / 40, 2)) for n in sums]
+
+
 def test_continuity_is_recomputed(spark):
     rows = timeline.continuity(stream(spark, [0, 10, 5, 6]), ["k"], "i", "t", 100)
     good = rows.withColumn("stored", F.col("continuity_group"))
