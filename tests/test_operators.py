@@ -1,6 +1,7 @@
 """Golden vectors of the operators."""
 
 import math
+import re
 
 import numpy as np
 import pytest
@@ -177,6 +178,35 @@ def test_cross_correlation_finds_the_shift(spark):
     assert asof.cross_correlation(a, b, ["k"], "i", "v", 20).first()["lag_samples"] == 7
 
 
+@pytest.mark.parametrize("cut", [500, 37, None])
+def test_cross_correlation_by_brute_force(spark, monkeypatch, cut):
+    """Signals with gaps, nulls, infinities and one row, cut into short stretches."""
+    monkeypatch.setattr(asof, "STRETCH", 16)
+    rng = np.random.default_rng(6)
+    signals = {("x", n): {i: float(v) for i, v in enumerate(rng.normal(size=90)) if rng.random() < 0.9} for n in (0, 1)}
+    signals |= {("y", 0): {0: 1.0, 1: None, 2: 5.0}, ("y", 1): {0: None, 1: 2.0, 2: 3.0, 3: 9.0}, ("z", 0): {0: 4.0}, ("z", 1): {0: 2.0}, ("only", 0): {0: 1.0}, ("i", 0): {0: 1.0, 1: float("inf")}, ("i", 1): {0: 3.0, 1: 1.0}}
+    signals |= {(None, 0): {0: 1.0}, (None, 1): {0: 1.0}, ("far", 0): {0: 1.0, 1: 2.0}, ("far", 1): {40: 1.0, 41: 2.0}}
+    a, b = (spark.createDataFrame([(k, i, v) for (k, m), of in signals.items() if m == n for i, v in of.items()], "k string, i bigint, v double") for n in (0, 1))
+    got = {r["k"]: (r["lag_samples"], r["correlation_peak"]) for r in asof.cross_correlation(a, b, ["k"], "i", "v", 5, cut).collect()}
+    assert set(got) == {"x", "y", "z", "i"}
+    for k in ("x", "y", "z"):
+        x, y = ({i: v for i, v in signals[k, n].items() if cut is None or i < cut} for n in (0, 1))
+        n = min(len(x), len(y))
+        x, y = ({i: v for i, v in s.items() if i < n} for s in (x, y))
+        x, y = ({i: None if v is None else v - np.mean([u for u in s.values() if u is not None]) for i, v in s.items()} for s in (x, y))
+        sums = {lag: sum(x[i] * y[i - lag] for i in x if None not in (x[i], y.get(i - lag))) for lag in range(-5, 6)}
+        want = max(sums, key=lambda lag: (round(abs(sums[lag]), 6), -lag))
+        assert (k == "z" and got[k] == (0, 0.0)) or got[k] == (want, pytest.approx(sums[want]))
+    assert math.isnan(got["i"][1])
+
+
+def test_cross_correlation_repeats_no_row_for_each_lag(spark):
+    a, b = (stream(spark, range(200), v=np.random.default_rng(n).normal(size=200).tolist()) for n in (0, 1))
+    plan = asof.cross_correlation(a, b, ["k"], "i", "v", 20)
+    held = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"Generate .*\[lag#", held)
+
+
 def test_scene_peaks_hysteresis_duration(spark):
     p = spark.createDataFrame([("s", i, s) for i, s in ((9, 0.5), (10, 0.9), (11, 0.9), (17, 0.2))], "k string, i bigint, s double")
     assert rows(scene.peaks(p, ["k"], "i", "s"), "i") == [(10,), (17,)]
