@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.numbers import finite
 
+#: Parts that fingerprints are dealt into to meet each other, and correlations that a task computes at once.
+DEALT = 16
+PRODUCT = 1 << 22
+
 
 def hash_groups(df: DataFrame, key: str, content: str) -> DataFrame:
     """Contents that over one row has: sha256, n, first key and last key, copies.
@@ -84,27 +90,39 @@ def fingerprints(prints: DataFrame, key: str, position: list[str], value: str) -
     return prints.groupBy(key).agg(F.transform(held, lambda x: x["_t_v"]).alias("code"))
 
 
-def correlated_pairs(prints: DataFrame, key: str, position: list[str], value: str, least: float, axes: int = 3) -> DataFrame:
+def correlated_pairs(prints: DataFrame, key: str, position: list[str], value: str, least: float) -> DataFrame:
     """Pairs of representatives of equal fingerprints (smaller key first) with a Pearson correlation of at least ``least``;
-    complete.  Constant fingerprints have no correlation.
+    complete.  Constant fingerprints have no correlation, nor have those with a value that is not finite.
 
-    Fingerprints are centred and scaled to length 1, so a correlation of r is a distance of sqrt(2 - 2r).  On ``axes`` fixed
-    orthonormal directions two that close are no further apart than that either: each is filed in a grid of cells that wide
-    and looks into the cells around its own, and the correlation is computed for those it meets.
+    Fingerprints are centred and scaled to length 1 and dealt into ``DEALT`` parts; every two parts meet once, as two matrices
+    whose product holds all their correlations.  In twenty bins 0.6 is too wide an angle for cells or bands to keep any apart.
     """
     add = lambda x: F.aggregate(x, F.lit(0.0), lambda s, v: s + v)
     nodes = classes(fingerprints(prints, key, position, value), key, "code").select("representative", "code")
     mean = add("code") / F.size("code")
     nodes = nodes.withColumn("_t_m", mean).withColumn("_t_c", F.transform("code", lambda v: v - F.col("_t_m"))).withColumn("_t_n", F.sqrt(add(F.transform("_t_c", lambda v: v * v))))
-    unit = nodes.where("_t_n > 0").select("representative", F.transform("_t_c", lambda v: v / F.col("_t_n")).alias("u"))
-    size = F.size("u")
-    wide = math.sqrt(max(2 - 2 * least, 1e-12)) * (1 + 1e-9)
-    on = lambda j: add(F.transform("u", lambda v, i: v * F.sqrt(F.lit(2.0) / size) * F.cos(F.lit(math.pi * j) * (2 * i + 1) / (2 * size))))
-    laid = unit.withColumns({f"c{j}": F.floor(on(j) / wide) for j in range(1, axes + 1)})
-    cells = [f"c{j}" for j in range(1, axes + 1)]
-    filed = laid.select(F.col("representative").alias("key_b"), F.col("u").alias("u_b"), *cells)
-    around = laid.select(F.col("representative").alias("key_a"), F.col("u").alias("u_a"), *cells)
-    for c in cells:
-        around = around.withColumn(c, F.explode(F.array(F.col(c) - 1, F.col(c), F.col(c) + 1)))
-    r = add(F.zip_with("u_a", "u_b", lambda x, y: x * y))
-    return around.join(filed, cells).where("key_a < key_b").select("key_a", "key_b", r.alias("correlation")).where(F.col("correlation") >= least)
+    unit = nodes.where(finite("_t_n") & (F.col("_t_n") > 0) & F.col("representative").isNotNull()).select("representative", F.transform("_t_c", lambda v: v / F.col("_t_n")).alias("u"), F.pmod(F.xxhash64("representative"), F.lit(DEALT)).cast("int").alias("part"))
+    other = F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1)))
+    met = unit.withColumn("with", other).select("representative", "u", "part", F.size("u").alias("n"), F.least("part", "with").alias("low"), F.greatest("part", "with").alias("high"))
+    kind = unit.schema["representative"].dataType.simpleString()
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches))
+        if not table.num_rows:
+            return
+        part, low, high = (table[c].to_numpy() for c in ("part", "low", "high"))
+        keys, u = table["representative"].combine_chunks(), table["u"].combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
+        own = np.flatnonzero(part == low)
+        rest = own if low[0] == high[0] else np.flatnonzero(part == high)
+        a, b = u[own], u[rest].T.copy()
+        step = max(1, PRODUCT // max(1, len(rest)))
+        for i in range(0, len(own), step):
+            r = a[i : i + step] @ b
+            x, y = np.nonzero(r >= least)
+            if low[0] == high[0]:
+                x, y = x[x + i < y], y[x + i < y]
+            if len(x):
+                yield pa.RecordBatch.from_arrays([keys.take(pa.array(own[x + i])), keys.take(pa.array(rest[y])), pa.array(r[x, y])], names=["x", "y", "correlation"])
+
+    found = met.groupBy("low", "high", "n").applyInArrow(meet, f"x {kind}, y {kind}, correlation double")
+    return found.select(F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b"), "correlation")

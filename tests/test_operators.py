@@ -292,6 +292,20 @@ def test_correlated_pairs_brute_force(spark):
         assert set(got) == set(want) and all(got[x] == pytest.approx(want[x]) for x in want)
 
 
+def test_correlated_pairs_in_parts_without_a_join(spark, monkeypatch):
+    """Products cut into pieces of a few rows, keys that are text, a print with an infinite value."""
+    rng = np.random.default_rng(8)
+    held = rng.normal(size=(300, 6))
+    df = spark.createDataFrame([(f"k{k}", i, float(v)) for k, row in enumerate(held) for i, v in enumerate(row)] + [("bad", i, float("inf") if i else 1.0) for i in range(6)], "k string, bin int, v double")
+    assert "Join" not in dedup.correlated_pairs(df, "k", ["bin"], "v", 0.6)._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(dedup, "DEALT", 3)
+    monkeypatch.setattr(dedup, "PRODUCT", 700)
+    got = [(r["key_a"], r["key_b"]) for r in dedup.correlated_pairs(df, "k", ["bin"], "v", 0.6).collect()]
+    all_r = np.corrcoef(held)
+    want = {tuple(sorted((f"k{a}", f"k{b}"))) for a in range(300) for b in range(a) if all_r[a, b] >= 0.6}
+    assert len(got) == len(want) and set(got) == want
+
+
 def test_classes_of_equal_codes(spark):
     df = spark.createDataFrame([(3, 7), (1, 7), (2, 6), (9, 7), (5, None)], "k bigint, c bigint")
     assert rows(dedup.class_members(df, "k", "c"), "k", "representative") == [(1, 1), (2, 2), (3, 1), (9, 1)]
