@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,11 +45,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read again: cuts lineage, computed once, no executor owns it."""
+def written(df: DataFrame, name: str, partition: str | None = None) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read again: cuts lineage, computed once, no executor owns it.
+
+    ``partition``: a column whose values get files of their own."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    (df.write if partition is None else df.write.partitionBy(partition)).parquet(path)
     _MADE.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -76,6 +80,14 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
+def trim_memory() -> None:
+    """Give back what this Python worker has freed: workers live on, and their memory counts against the executor's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def utf8(text: str | Column) -> Column:
     """A text column as UTF-8 bytes, null as none; Python then gets bytes and never decodes what it needn't."""
     c = F.col(text) if isinstance(text, str) else text

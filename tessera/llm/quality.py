@@ -1,43 +1,45 @@
 """Quality classifier: an interpolated modified Kneser-Ney trigram model of trusted text, and perplexities under it.
 
-1. The model is fitted on a bounded sample of trusted rows (``max_documents`` documents of at most ``max_characters`` each, by
-   a hash of their ids).  Their trigrams are counted in Spark and dealt into ``SHARDS`` shards by the middle word, so that
-   all that a trigram's probability needs (its context, its last two words and theirs) is counted in the same shard; what all
-   shards must know, a few sums and the distinct words, is small.
+1. The model is fitted on all trusted documents of its half, whole.  Their trigrams are counted in Spark and dealt into shards by
+   the middle word, so that all that a trigram's probability needs (its context, its last two words and theirs) is counted in
+   the same shard; single words are dealt by themselves.  There is a shard for every ``SHARD_BYTES`` of trusted text, ``SHARDS``
+   at least; of the counts only a few sums reach the driver, and the tables stay in the shared folder.
 2. Scoring joins the n-grams of every document with the count tables shard by shard: a token needs the one shard of the word
-   before it.  A worker loads the shards one after another and keeps at most ``KEPT_BYTES`` of them; the driver never holds more
-   than one.  So the text, which is what grows, is scanned where it lies and never shuffled.
+   before it.  A worker takes ``CHUNK_BYTES`` of texts at a time and reads the shards one after another, holding one.  So the
+   text is scanned where it lies and never shuffled, and the model is read once for every such chunk.
 3. A document's score is its mean negative log10 probability a token (perplexity = 10 ** score).  Trusted documents are halved
-   by a hash of their ids: the sample comes from one half, and each language's threshold is the quantile ``HIGH`` of the
-   scores of all documents of the other half.  Languages with fewer than ``FEW`` of these take the quantile of all languages
-   together.
+   by a hash of their ids: the model is of one half, and each language's threshold is the quantile ``HIGH`` of the scores of
+   all documents of the other half.  Languages with fewer than ``FEW`` of these take the quantile of all languages together.
 
-Words are 64-bit hashes, n-grams mixed ones; two of the sample's n-grams or words fall together with a chance of under 10^-5.
+Words are 64-bit hashes, n-grams mixed ones; two of a billion n-grams fall together with a chance of a few in a hundred.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import LOWER, small_batches, utf8, written
+from tessera.llm.common import LOWER, discard_since, made, small_batches, trim_memory, utf8, written
 
-MAX_DOCUMENTS = 4000
-MAX_CHARACTERS = 20_000
 HIGH = 0.995
 FEW = 30
+#: Least shards, trusted text a shard beyond them, and text that is scored in one pass over the shards.
 SHARDS = 16
-#: Bytes of shards that a task keeps between batches: the default sample's fit, about 60 MB, so that each is read once a task;
-#: what is beyond is read again.  Tables of up to ``MANY`` thresholds are broadcast.
-KEPT_BYTES = 96 << 20
+SHARD_BYTES = 1 << 20
+CHUNK_BYTES = 16 << 20
+#: Tables of up to ``MANY`` thresholds are broadcast, and up to ``MANY_IDS`` trusted ids.
 MANY = 100_000
+MANY_IDS = 1_000_000
 _START, _END = np.uint64(1), np.uint64(2)
 
 
@@ -159,7 +161,7 @@ def _looked(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, default: f
 _TABLES = ("k3", "p3", "k12", "w12", "k2", "p2", "k1", "w1")
 
 
-def shard_tables(counts: Counts, d3: np.ndarray, d2: np.ndarray, unigrams: Unigrams) -> dict[str, np.ndarray]:
+def shard_tables(counts: Counts, d3: np.ndarray, d2: np.ndarray, unigrams: Unigrams | _FarUnigrams) -> dict[str, np.ndarray]:
     b, c, pair, seen = counts.bigrams()
     heads, head = np.unique(b, return_inverse=True)
     share2, w1 = _lower_part(head, seen, len(heads), d2)
@@ -176,7 +178,7 @@ def shard_tables(counts: Counts, d3: np.ndarray, d2: np.ndarray, unigrams: Unigr
 class Model:
     """Word probabilities, and a way to a shard's tables."""
 
-    unigrams: Unigrams
+    unigrams: Unigrams | _FarUnigrams
     shard: Callable[[int], dict[str, np.ndarray]]
     shards: int
 
@@ -195,18 +197,23 @@ class Model:
 
     def score(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(tokens with the end, sum of log10 probabilities) of each text."""
-        sizes, a, b, c = _trigrams(texts)
+        rows = [_row(t) for t in texts]
+        sizes = np.array([len(r) - 2 for r in rows], np.int64)
         if not len(sizes):
             return sizes, np.zeros(0)
-        p = self.unigrams.of_words(c)
-        of = (b % np.uint64(self.shards)).astype(np.uint8 if self.shards <= 256 else np.uint16)
+        flat = np.concatenate(rows)
+        del rows
+        last = np.arange(int(sizes.sum())) + np.repeat(2 * np.arange(1, len(sizes) + 1), sizes)  # where each token stands in flat
+        p = self.unigrams.of_words(flat[last])
+        of = (flat[last - 1] % np.uint64(self.shards)).astype(np.uint16 if self.shards <= 1 << 16 else np.uint32)
         order = np.argsort(of, kind="stable")
         cuts = np.searchsorted(of[order], np.arange(self.shards + 1))
         for s in range(self.shards):
             at = order[cuts[s] : cuts[s + 1]]
             if not len(at):
                 continue
-            t, x, y, z = self.shard(s), a[at], b[at], c[at]
+            x, y, z = (flat[last[at] - k] for k in (2, 1, 0))
+            t = self.shard(s)
             two, known = _looked(t["k2"], t["p2"], _pair(y, z), 0.0)
             low = np.where(known, two, _looked(t["k1"], t["w1"], y, 1.0)[0] * p[at])
             before = _pair(x, y)
@@ -221,12 +228,19 @@ def _half() -> Column:
     return F.pmod(F.xxhash64(F.col("_t_id"), F.lit("half")), F.lit(2))
 
 
-def trusted_sample(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text", max_documents: int = MAX_DOCUMENTS, max_characters: int = MAX_CHARACTERS) -> DataFrame:
-    """(_t_text): texts of the trusted ids of the model's half with the smallest hashes; at most ``max_documents``, none over
-    ``max_characters``.  Of rows that repeat an id the least text counts."""
+def _trusted_rows(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, max_documents: int | None, max_characters: int | None) -> DataFrame:
+    """The rows of ``docs`` that the model is of, with _t_id."""
     ids = trusted.select(F.col(doc_id).alias("_t_id")).where("_t_id is not null").where(_half() == 0).distinct()
-    ids = ids.orderBy(F.xxhash64("_t_id"), "_t_id").limit(max_documents)
-    of = docs.where(F.length(F.col(text)) <= max_characters).join(F.broadcast(ids), F.col(doc_id) == F.col("_t_id"))
+    if max_documents is not None:
+        ids = ids.orderBy(F.xxhash64("_t_id"), "_t_id").limit(max_documents)
+    of = docs if max_characters is None else docs.where(F.length(F.col(text)) <= max_characters)
+    return of.join(F.broadcast(ids) if ids.count() <= MANY_IDS else ids, F.col(doc_id) == F.col("_t_id"))
+
+
+def trusted_sample(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text", max_documents: int | None = None, max_characters: int | None = None) -> DataFrame:
+    """(_t_text): whole texts of all trusted ids of the model's half.  A caller may bound them: at most ``max_documents`` (by the
+    smallest hashes of ids), none over ``max_characters``.  Of rows that repeat an id the least text counts."""
+    of = _trusted_rows(docs, trusted, doc_id, text, max_documents, max_characters)
     return of.groupBy("_t_id").agg(F.min(utf8(text)).alias("_t_text")).select("_t_text")
 
 
@@ -238,39 +252,60 @@ def _fields(names) -> str:
     return "shard int, " + ", ".join(f"{n} binary" for n in names)
 
 
+def _stored(df: DataFrame, name: str) -> dict[int, str]:
+    """A table with one row a shard, written to the shared folder: each shard's file."""
+    table = written(df, name, partition="shard")
+    return {r["shard"]: r["file"] for r in table.select("shard", F.input_file_name().alias("file")).collect()}
+
+
+def _kind(name: str) -> type:
+    """Keys are hashes; probabilities and weights are single, but for those of words."""
+    return np.uint64 if name[0] == "k" else np.float64 if name == "p0" else np.float32
+
+
+def _read(file: str, names: tuple[str, ...]) -> dict[str, np.ndarray]:
+    fs, path = pafs.FileSystem.from_uri(file)
+    with fs.open_input_file(path) as f:
+        found = pq.ParquetFile(f).read(columns=list(names), use_threads=False)
+    return {k: np.frombuffer(found[k][0].as_buffer(), _kind(k)) for k in names}
+
+
+@dataclass
+class _FarUnigrams:
+    """``Unigrams`` dealt by the word into shards in the shared folder, one read at a time."""
+
+    files: dict[int, str]
+    unknown: float
+    shards: int
+
+    def of_words(self, wanted: np.ndarray) -> np.ndarray:
+        p = np.full(len(wanted), self.unknown)
+        of = (wanted % np.uint64(self.shards)).astype(np.uint16 if self.shards <= 1 << 16 else np.uint32)
+        order = np.argsort(of, kind="stable")
+        cuts = np.searchsorted(of[order], np.arange(self.shards + 1))
+        for s, file in self.files.items():
+            at = order[cuts[s] : cuts[s + 1]]
+            if len(at):
+                t = _read(file, ("k0", "p0"))
+                p[at] = _looked(t["k0"], t["p0"], wanted[at], self.unknown)[0]
+        return p
+
+
+@dataclass
 class _Sent:
-    """The model's tables as broadcasts, one a shard, and the place where a worker keeps what it has loaded of them."""
+    """What a task needs to read the model, whatever its size."""
 
-    def __init__(self, spark, unigrams: Unigrams, tables: DataFrame) -> None:
-        kinds = {k: np.float32 if k[0] in "pw" else np.uint64 for k in _TABLES}
-        self.shards = SHARDS
-        self.unigrams = spark.sparkContext.broadcast(unigrams)
-        self.tables = {}
-        for r in tables.toLocalIterator():  # a row is a shard; the driver holds one at a time
-            self.tables[r["shard"]] = spark.sparkContext.broadcast({k: np.frombuffer(bytes(r[k]), kinds[k]) for k in _TABLES})
+    unigrams: _FarUnigrams
+    files: dict[int, str]
+    shards: int
 
     def model(self) -> Model:
-        empty = {k: np.zeros(0, np.float32 if k[0] in "pw" else np.uint64) for k in _TABLES}
-        held: dict[int, dict[str, np.ndarray]] = {}
-
-        def shard(s: int) -> dict[str, np.ndarray]:
-            if s in held:
-                return held[s]
-            if s not in self.tables:
-                return empty
-            found = self.tables[s].value
-            self.tables[s].__dict__.pop("_value", None)  # the broadcast's own copy; it is read again from its file
-            if sum(x.nbytes for t in (found, *held.values()) for x in t.values()) <= KEPT_BYTES:
-                held[s] = found
-            return found
-
-        unigrams = self.unigrams.value
-        self.unigrams.__dict__.pop("_value", None)
-        return Model(unigrams, shard, self.shards)
-
-
-def fit_model(sample: DataFrame) -> _Sent:
-    """The model of the sample's texts (_t_text), counted in Spark."""
+        empty = {k: np.zeros(0, _kind(k)) for k in _TABLES}
+        return Model(self.unigrams, lambda s: _read(self.files[s], _TABLES) if s in self.files else empty, self.shards)
+
+
+def fit_model(sample: DataFrame, shards: int = SHARDS) -> _Sent:
+    """The model of the sample's texts (_t_text), counted in Spark; ``shards`` is a power of two."""
     spark = sample.sparkSession
     small_batches(spark)
 
@@ -278,17 +313,21 @@ def fit_model(sample: DataFrame) -> _Sent:
         for part in _parts(t for b in batches for t in b.column(0).to_pylist()):
             _, x, y, z = _trigrams(part)
             found = Counts.of(x, y, z, np.ones(len(x), np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array((found.b % np.uint64(SHARDS)).astype(np.int32)), *(pa.array(v.view(np.int64)) for v in (found.a, found.b, found.c, found.n))], names=["shard", "a", "b", "c", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array((found.b % np.uint64(shards)).astype(np.int32)), *(pa.array(v.view(np.int64)) for v in (found.a, found.b, found.c, found.n))], names=["shard", "a", "b", "c", "n"])
 
     def add(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         counts = Counts.of(*(part[k].to_numpy().view(np.uint64) for k in "abc"), part["n"].to_numpy())
         _, last, _, seen = counts.bigrams()
         uni, times = np.unique(last, return_counts=True)
         stats = np.array(_occur(counts.n) + _occur(seen), np.int64)
-        return _blobs(int(key[0]), {"a": counts.a, "b": counts.b, "c": counts.c, "n": counts.n, "last": uni, "times": times.astype(np.int64), "stats": stats})
+        heads, at = np.unique(np.concatenate((counts.a, counts.b, counts.c)), return_inverse=True)  # words as places in a list: a third of the bytes
+        a, b, c = at.astype(np.uint32).reshape(3, -1)
+        trim_memory()
+        return _blobs(int(key[0]), {"words": heads, "a": a, "b": b, "c": c, "n": counts.n, "last": uni, "times": times.astype(np.int64), "stats": stats})
 
     counted = sample.mapInArrow(count, "shard int, a bigint, b bigint, c bigint, n bigint")
-    counted = written(counted.groupBy("shard").applyInPandas(add, _fields(("a", "b", "c", "n", "last", "times", "stats"))), "ngrams")
+    mark = made()
+    counted = written(counted.groupBy("shard").applyInPandas(add, _fields(("words", "a", "b", "c", "n", "last", "times", "stats"))), "ngrams")
     stats = np.zeros(8, np.int64)
     for r in counted.select("stats").toLocalIterator():
         stats += np.frombuffer(bytes(r["stats"]), np.int64)
@@ -299,17 +338,32 @@ def fit_model(sample: DataFrame) -> _Sent:
             for keys, times in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(keys, np.int64)), pa.array(np.frombuffer(times, np.int64))], names=["key", "times"])
 
-    seen = counted.select("last", "times").mapInArrow(lasts, "key bigint, times bigint").groupBy("key").agg(F.sum("times").alias("times")).toArrow()
-    unigrams = Unigrams.of(seen["key"].to_numpy().view(np.uint64), seen["times"].to_numpy())
-    known = spark.sparkContext.broadcast(unigrams)
+    seen = written(counted.select("last", "times").mapInArrow(lasts, "key bigint, times bigint").groupBy("key").agg(F.sum("times").alias("times")), "words")
+    n = seen.agg(F.count(F.lit(1)), F.sum("times"), *(F.count_if(F.col("times") == k) for k in (1, 2, 3, 4))).first()
+    d1 = _discounts(list(n[2:]))
+    off = F.element_at(F.array(*(F.lit(float(x)) for x in d1[1:])), F.least(F.col("times"), F.lit(3)).cast("int"))
+    left = seen.agg(F.sum(off)).first()[0] / n[1] if n[0] else 1.0
+    unknown = left / (n[0] + 1)
+
+    def singles(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        keys, times = part["key"].to_numpy().view(np.uint64), part["times"].to_numpy()
+        order = np.argsort(keys)
+        return _blobs(int(key[0]), {"k0": keys[order], "p0": ((times - d1[np.minimum(times, 3)]) / n[1] + unknown)[order]})
+
+    words_dealt = seen.withColumn("shard", F.col("key").bitwiseAND(F.lit(shards - 1)).cast("int")).groupBy("shard").applyInPandas(singles, _fields(("k0", "p0")))
+    unigrams = _FarUnigrams(_stored(words_dealt, "unigrams"), unknown, shards)
 
     def tables(parts):
         for part in parts:
             for r in part.to_dict("records"):
-                counts = Counts(*(np.frombuffer(r[k], np.uint64) for k in "abc"), np.frombuffer(r["n"], np.int64))
-                yield _blobs(r["shard"], shard_tables(counts, d3, d2, known.value))
+                words = np.frombuffer(r["words"], np.uint64)
+                counts = Counts(*(words[np.frombuffer(r[k], np.uint32)] for k in "abc"), np.frombuffer(r["n"], np.int64))
+                yield _blobs(r["shard"], shard_tables(counts, d3, d2, unigrams))
+                trim_memory()
 
-    return _Sent(spark, unigrams, written(counted.select("shard", "a", "b", "c", "n").mapInPandas(tables, _fields(_TABLES)), "model"))
+    files = _stored(counted.select("shard", "words", "a", "b", "c", "n").mapInPandas(tables, _fields(_TABLES)), "model")
+    discard_since(spark, mark, 2)
+    return _Sent(unigrams, files, shards)
 
 
 def _parts(texts: Iterable[bytes], most: int = 1 << 20) -> Iterator[list[bytes]]:
@@ -326,18 +380,30 @@ def _parts(texts: Iterable[bytes], most: int = 1 << 20) -> Iterator[list[bytes]]
 
 
 def _scored(sent: _Sent, batches, at: int):
-    """Each batch with its (tokens, score) columns.  What a task has loaded goes when it ends: worker processes live on."""
+    """Each batch with its (tokens, score) columns.  Batches are scored some at a time, as each time all shards are read."""
     model = sent.model()
     try:
-        for b in batches:
-            tokens, score = [], []
-            for part in _parts(b.column(at).cast(pa.binary()).to_pylist(), 2 << 20):
-                n, p = model.score(part)
-                tokens += n.tolist()
-                score += (-p / n).tolist()
-            yield b, pa.array(tokens, pa.int64()), pa.array(score, pa.float64())
+        for some in _chunks(batches, at):
+            n, p = model.score([t or b"" for b in some for t in b.column(at).cast(pa.binary()).to_pylist()])
+            cuts = np.cumsum([0, *(b.num_rows for b in some)])
+            for b, i, j in zip(some, cuts[:-1], cuts[1:], strict=True):
+                yield b, pa.array(n[i:j]), pa.array(-p[i:j] / n[i:j])
     finally:
         _HASHES.clear()
+        trim_memory()
+
+
+def _chunks(batches, at: int) -> Iterator[list[pa.RecordBatch]]:
+    """Lists of batches of about ``CHUNK_BYTES`` of text each."""
+    some, weight = [], 0
+    for b in batches:
+        some.append(b)
+        weight += b.column(at).nbytes
+        if weight >= CHUNK_BYTES:
+            yield some
+            some, weight = [], 0
+    if some:
+        yield some
 
 
 def scores(docs: DataFrame, sent, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -384,7 +450,11 @@ class Fitted:
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", high: float = HIGH, **sample) -> Fitted:
     trusted = trusted_ids(labels, doc_id)
-    sent = fit_model(trusted_sample(docs, trusted.withColumnRenamed("doc_id", doc_id), doc_id, text, **sample))
+    trusted_by = trusted.withColumnRenamed("doc_id", doc_id)
+    bounds = [sample.get(k) for k in ("max_documents", "max_characters")]
+    size = _trusted_rows(docs, trusted_by, doc_id, text, *bounds).agg(F.sum(F.octet_length(utf8(text)))).first()[0] or 0
+    shards = max(SHARDS, 1 << max(0, math.ceil(size / SHARD_BYTES) - 1).bit_length())
+    sent = fit_model(trusted_sample(docs, trusted_by, doc_id, text, **sample), shards)
     scored = written(scores(docs, sent, doc_id, text, lang), "scores")
     return Fitted(sent, scored, written(thresholds(scored, trusted, high), "thresholds"))
 

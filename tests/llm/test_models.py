@@ -141,6 +141,21 @@ def test_quality_sample_is_bounded_and_whole(spark):
     assert len(got) == 20 and all(t == b"again" or t == b"w " * (len(t) // 2) for t in got)
 
 
+def test_quality_model_is_of_all_trusted_text(spark, monkeypatch):
+    """Over 4000 trusted documents of the model's half and one of over 20,000 characters, in more shards than the least."""
+    monkeypatch.setattr(quality, "SHARD_BYTES", 5000)
+    monkeypatch.setattr(quality, "CHUNK_BYTES", 30_000)
+    texts = {i: f"w{i % 50} u{i} w{i % 7}" for i in range(9000)} | {9000 + i: f"long{i} text " * 2500 for i in range(8)}
+    docs = spark.createDataFrame([(i, t, "en") for i, t in texts.items()], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in texts], "doc_id bigint, quality int, toxic int")
+    half = {r["doc_id"] for r in labels.withColumn("_t_id", F.col("doc_id")).where(quality._half() == 0).collect()}
+    assert len(half) > 4000 and any(i >= 9000 for i in half)
+    n, p = quality.Model.fit([texts[i].encode() for i in half]).score([t.encode() for t in texts.values()])
+    want = dict(zip(texts, -p / n, strict=True))
+    for r in quality.classify(docs, labels).collect():
+        assert math.log10(r["perplexity"]) == pytest.approx(want[r["doc_id"]], rel=1e-6)
+
+
 def test_quality_awkward(spark, awkward, nothing):
     _, labels = good_and_bad(spark)
     assert quality.classify(awkward, labels).count() == 12
