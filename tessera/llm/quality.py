@@ -36,10 +36,12 @@ FEW = 30
 #: Least shards, trusted text a shard beyond them, and text that is scored in one pass over the shards.
 SHARDS = 16
 SHARD_BYTES = 1 << 20
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 #: Tables of up to ``MANY`` thresholds are broadcast, and up to ``MANY_IDS`` trusted ids.
 MANY = 100_000
 MANY_IDS = 1_000_000
+#: Columns of packed trigrams.
+TRIGRAMS = ("words", "a", "b", "c", "n")
 _START, _END = np.uint64(1), np.uint64(2)
 
 
@@ -203,7 +205,8 @@ class Model:
             return sizes, np.zeros(0)
         flat = np.concatenate(rows)
         del rows
-        last = np.arange(int(sizes.sum())) + np.repeat(2 * np.arange(1, len(sizes) + 1), sizes)  # where each token stands in flat
+        last = np.arange(int(sizes.sum()), dtype=np.int32)  # where each token stands in flat
+        last += np.repeat(2 * np.arange(1, len(sizes) + 1, dtype=np.int32), sizes)
         p = self.unigrams.of_words(flat[last])
         of = (flat[last - 1] % np.uint64(self.shards)).astype(np.uint16 if self.shards <= 1 << 16 else np.uint32)
         order = np.argsort(of, kind="stable")
@@ -310,24 +313,38 @@ def fit_model(sample: DataFrame, shards: int = SHARDS) -> _Sent:
     small_batches(spark)
 
     def count(batches):
-        for part in _parts(t for b in batches for t in b.column(0).to_pylist()):
+        for part in _parts((t for b in batches for t in b.column(0).to_pylist()), 2 << 20):
             _, x, y, z = _trigrams(part)
             found = Counts.of(x, y, z, np.ones(len(x), np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array((found.b % np.uint64(shards)).astype(np.int32)), *(pa.array(v.view(np.int64)) for v in (found.a, found.b, found.c, found.n))], names=["shard", "a", "b", "c", "n"])
+            of = (found.b % np.uint64(shards)).astype(np.int32)
+            order = np.argsort(of, kind="stable")
+            held, cuts = np.unique(of[order], return_index=True)
+            rows = [packed(*(v[at] for v in (found.a, found.b, found.c, found.n))) for at in np.split(order, cuts[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(held), *(pa.array([r[k] for r in rows], pa.binary()) for k in TRIGRAMS)], names=["shard", *TRIGRAMS])
+
+    def packed(a: np.ndarray, b: np.ndarray, c: np.ndarray, n: np.ndarray) -> dict[str, bytes]:
+        """Trigrams with their words as places in a list, in half the bytes."""
+        heads, at = np.unique(np.concatenate((a, b, c)), return_inverse=True)
+        a, b, c = at.astype(np.uint16 if len(heads) <= 1 << 16 else np.uint32).reshape(3, -1)
+        return dict(zip(TRIGRAMS, (heads.tobytes(), a.tobytes(), b.tobytes(), c.tobytes(), n.astype(np.uint32).tobytes()), strict=True))
+
+    def unpacked(r: dict[str, bytes]) -> list[np.ndarray]:
+        heads = np.frombuffer(r["words"], np.uint64)
+        at = np.uint16 if len(heads) <= 1 << 16 else np.uint32
+        return [*(heads[np.frombuffer(r[k], at)] for k in "abc"), np.frombuffer(r["n"], np.uint32).astype(np.int64)]
 
     def add(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        counts = Counts.of(*(part[k].to_numpy().view(np.uint64) for k in "abc"), part["n"].to_numpy())
+        counts = Counts.of(*(np.concatenate(x) for x in zip(*map(unpacked, part.to_dict("records")), strict=True)))
         _, last, _, seen = counts.bigrams()
         uni, times = np.unique(last, return_counts=True)
         stats = np.array(_occur(counts.n) + _occur(seen), np.int64)
-        heads, at = np.unique(np.concatenate((counts.a, counts.b, counts.c)), return_inverse=True)  # words as places in a list: a third of the bytes
-        a, b, c = at.astype(np.uint32).reshape(3, -1)
+        out = _blobs(int(key[0]), {"last": uni, "times": times.astype(np.int64), "stats": stats}).assign(**{k: [v] for k, v in packed(counts.a, counts.b, counts.c, counts.n).items()})
         trim_memory()
-        return _blobs(int(key[0]), {"words": heads, "a": a, "b": b, "c": c, "n": counts.n, "last": uni, "times": times.astype(np.int64), "stats": stats})
+        return out
 
-    counted = sample.mapInArrow(count, "shard int, a bigint, b bigint, c bigint, n bigint")
+    counted = sample.mapInArrow(count, _fields(TRIGRAMS))
     mark = made()
-    counted = written(counted.groupBy("shard").applyInPandas(add, _fields(("words", "a", "b", "c", "n", "last", "times", "stats"))), "ngrams")
+    counted = written(counted.groupBy("shard").applyInPandas(add, _fields((*TRIGRAMS, "last", "times", "stats"))), "ngrams")
     stats = np.zeros(8, np.int64)
     for r in counted.select("stats").toLocalIterator():
         stats += np.frombuffer(bytes(r["stats"]), np.int64)
@@ -356,12 +373,10 @@ def fit_model(sample: DataFrame, shards: int = SHARDS) -> _Sent:
     def tables(parts):
         for part in parts:
             for r in part.to_dict("records"):
-                words = np.frombuffer(r["words"], np.uint64)
-                counts = Counts(*(words[np.frombuffer(r[k], np.uint32)] for k in "abc"), np.frombuffer(r["n"], np.int64))
-                yield _blobs(r["shard"], shard_tables(counts, d3, d2, unigrams))
+                yield _blobs(r["shard"], shard_tables(Counts(*unpacked(r)), d3, d2, unigrams))
                 trim_memory()
 
-    files = _stored(counted.select("shard", "words", "a", "b", "c", "n").mapInPandas(tables, _fields(_TABLES)), "model")
+    files = _stored(counted.select("shard", *TRIGRAMS).mapInPandas(tables, _fields(_TABLES)), "model")
     discard_since(spark, mark, 2)
     return _Sent(unigrams, files, shards)
 
