@@ -6,6 +6,7 @@ import ctypes
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -88,6 +89,18 @@ def trim_memory() -> None:
         trim(0)
 
 
+def trimmed(run: Callable) -> Callable:
+    """A function over a task's batches that gives its memory back at the end."""
+
+    def inner(batches):
+        try:
+            yield from run(batches)
+        finally:
+            trim_memory()
+
+    return inner
+
+
 def utf8(text: str | Column) -> Column:
     """A text column as UTF-8 bytes, null as none; Python then gets bytes and never decodes what it needn't."""
     c = F.col(text) if isinstance(text, str) else text

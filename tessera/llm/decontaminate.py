@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import small_batches, utf8, written
+from tessera.llm.common import small_batches, trimmed, utf8, written
 
 WINDOW = 10
 #: An automaton has about 50 bytes a character of its windows: 100,000 windows of 60 characters take about 300 MB.
@@ -216,4 +216,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
             for b, keep in zip(held, stays, strict=True):
                 yield b.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)

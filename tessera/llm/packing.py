@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import small_batches, utf8, written
+from tessera.llm.common import small_batches, trimmed, utf8, written
 from tessera.llm.tokens import VOCABULARY, as_u32, encoder
 
 CONTEXT = 2048
@@ -85,7 +85,7 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", context:
             made += [pa.array(ids, pa.list_(pa.int32()))] if with_ids else []
             yield pa.RecordBatch.from_arrays(made, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "place"] + ["ids"] * with_ids)
 
-    return docs.select(F.col(doc_id).alias("doc_id"), utf8(text).alias("_t_text")).mapInArrow(run, f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, place bigint" + ", ids array<int>" * with_ids)
+    return docs.select(F.col(doc_id).alias("doc_id"), utf8(text).alias("_t_text")).mapInArrow(trimmed(run), f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, place bigint" + ", ids array<int>" * with_ids)
 
 
 def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", context: int = CONTEXT, group_size: int = GROUP, seed: int = 0, **how) -> DataFrame:

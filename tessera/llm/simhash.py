@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import LOWER, join_groups, small_batches, utf8, written
+from tessera.llm.common import LOWER, join_groups, small_batches, trimmed, utf8, written
 from tessera.llm.components import components
 
 SEED = 42
@@ -142,7 +142,7 @@ def sketches(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame
 
     words = [f"f{k}" for k in range(LONGS)]
     fields = ", ".join(f"{w} bigint" for w in words)
-    return docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_key"), utf8(text).alias("_t_text")).mapInArrow(run, f"doc_id {kind}, text_key bigint, node bigint, n bigint, keys array<bigint>, {fields}")
+    return docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_key"), utf8(text).alias("_t_text")).mapInArrow(trimmed(run), f"doc_id {kind}, text_key bigint, node bigint, n bigint, keys array<bigint>, {fields}")
 
 
 def _promising(jaccard: float) -> Column:
@@ -176,7 +176,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, jaccard: float)
                 keep.append(both / max(1, len(one) + len(two) - both) >= jaccard)
             yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(run, "u bigint, v bigint")
+    return both.mapInArrow(trimmed(run), "u bigint, v bigint")
 
 
 def set_links(docs: DataFrame, prints: DataFrame, nodes: DataFrame, text: str, shingle: int, jaccard: float) -> DataFrame:
