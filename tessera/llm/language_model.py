@@ -24,19 +24,19 @@ from __future__ import annotations
 
 import heapq
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import LOWER, scratch, small_batches, utf8, written
+from tessera.llm.common import scratch, small_batches, utf8, written
 
 FREQUENT = 65_536
 KINDS = 32
@@ -47,14 +47,34 @@ ROUNDS = 2
 STEP = 0.3
 BATCH = 32_768
 SHARDS = 16
+PIECE = 4096  # tokens whose arrays stay in a core's cache
 END = b"\n"  # no word has white space
-_FLUSH = 1_000_000
 _START = -(1 << 31)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def words(text: bytes) -> list[bytes]:
-    return text.translate(LOWER).split()
+def split(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """(how many words each text has, the distinct words, which of these each word is) of texts as bytes; A-Z are lower-cased."""
+    found = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.binary()).view(pa.string())))
+    at, flat = found.offsets.to_numpy(), found.values
+    full = pc.binary_length(flat).to_numpy() > 0  # white space at an end leaves an empty word
+    many = np.diff(at)
+    if not full.all():
+        many = np.diff(np.concatenate(([0], np.cumsum(full)))[at])
+        flat = flat.filter(pa.array(full))
+    coded = flat.dictionary_encode()
+    return many, coded.dictionary.view(pa.binary()), coded.indices.to_numpy()
+
+
+def _runs(group: np.ndarray, code: np.ndarray, wide: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(group, code, order, starts): the distinct pairs in order, the order of all, and where in it each pair's begin."""
+    bits = np.int64(max(wide, 1).bit_length())
+    key = (group.astype(np.int64) << bits) | code
+    order = np.argsort(key)
+    key = key[order]
+    starts = np.flatnonzero(np.concatenate((np.ones(len(key[:1]), bool), key[1:] != key[:-1])))
+    key = key[starts]
+    return key >> bits, key & ((np.int64(1) << bits) - 1), order, starts
 
 
 def is_held_out(doc_id: str | Column) -> Column:
@@ -67,26 +87,23 @@ def word_counts(training: DataFrame) -> DataFrame:
     """(word, kind, n) from (text bytes): tokens, the ends included, combined in each task before they are shuffled."""
 
     def run(batches):
-        held: dict[int, list[bytes]] = {}
-        size = 0
-
-        def flush():
-            rows = [(w, k, n) for k, ws in held.items() for w, n in Counter(ws).items()]
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int64())], names=["word", "kind", "n"])
-
         for b in batches:
-            for t in b.column(0).to_pylist():
-                ws = words(t)
-                kind = zlib.crc32(Counter(ws).most_common(1)[0][0]) % KINDS if ws else 0
-                ws.append(END)
-                held.setdefault(kind, []).extend(ws)
-                size += len(ws)
-                if size > _FLUSH:
-                    yield flush()
-                    size = 0
-        if held:
-            yield flush()
+            many, distinct, codes = split(b.column(0))
+            doc, code, order, starts = _runs(np.repeat(np.arange(len(many)), many), codes, len(distinct))
+            times = np.diff(np.append(starts, len(codes)))
+            kinds = np.zeros(len(many), np.int64)
+            if len(doc):
+                # each text's most common word, of ties the first
+                first = np.minimum.reduceat(order, starts)
+                best = np.lexsort((first, -times, doc))
+                best = best[np.concatenate(([True], doc[best][1:] != doc[best][:-1]))]
+                kinds[doc[best]] = [zlib.crc32(w) % KINDS for w in distinct.take(pa.array(code[best])).to_pylist()]
+            kind, word, order, starts = _runs(kinds[doc], code, len(distinct))
+            n = np.add.reduceat(times[order], starts) if len(starts) else times
+            yield pa.RecordBatch.from_arrays([distinct.take(pa.array(word)), pa.array(kind.astype(np.int32)), pa.array(n.astype(np.int64))], names=["word", "kind", "n"])
+            ends = np.bincount(kinds, minlength=KINDS)
+            kind = np.flatnonzero(ends)
+            yield pa.RecordBatch.from_arrays([pa.array([END] * len(kind), pa.binary()), pa.array(kind.astype(np.int32)), pa.array(ends[kind].astype(np.int64))], names=["word", "kind", "n"])
 
     return training.mapInArrow(run, "word binary, kind int, n bigint").groupBy("word", "kind").agg(F.sum("n").alias("n"))
 
@@ -226,16 +243,17 @@ def numbered(docs: DataFrame, vocab: tuple) -> DataFrame:
         number = _Numbers(_value(vocab).words)
         part, row = TaskContext.get().partitionId() << 36, 0
         for b in batches:
-            ids, rare, times = [], [], []
-            for t in b.column(3).to_pylist():
-                ws = words(t)
-                x = np.fromiter(map(number.__getitem__, ws), np.int32, len(ws))
-                own = Counter([ws[i] for i in np.flatnonzero(x < 0)])
-                ids.append(x.tobytes())
-                rare.append(list(own))
-                times.append(list(own.values()))
-            n = len(ids)
-            yield pa.RecordBatch.from_arrays([pa.array(range(part + row, part + row + n), pa.int64()), *(b.column(k) for k in range(3)), pa.array(ids, pa.binary()), pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int64()))], names=["row", "doc_id", "held_out", "part", "ids", "rare", "times"])
+            many, distinct, codes = split(b.column(3))
+            n, of = len(many), np.fromiter(map(number.__getitem__, distinct.to_pylist()), np.int32, len(distinct))
+            ids = of[codes]
+            at = np.flatnonzero(ids < 0)
+            doc, code, _, starts = _runs(np.repeat(np.arange(n), many)[at], codes[at], len(distinct))
+            lists = pa.array(np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=n)))).astype(np.int32))
+            rare = pa.ListArray.from_arrays(lists, distinct.take(pa.array(code)))
+            times = pa.ListArray.from_arrays(lists, pa.array(np.diff(np.append(starts, len(at))).astype(np.int64)))
+            ends = pa.array(np.concatenate(([0], np.cumsum(many) * 4)), pa.int64()).cast(pa.int32())
+            numbers = pa.Array.from_buffers(pa.binary(), n, [None, ends.buffers()[1], pa.py_buffer(ids)])
+            yield pa.RecordBatch.from_arrays([pa.array(range(part + row, part + row + n), pa.int64()), *(b.column(k) for k in range(3)), numbers, rare, times], names=["row", "doc_id", "held_out", "part", "ids", "rare", "times"])
             row += n
 
     return docs.select("doc_id", "held_out", "part", "text").mapInArrow(run, f"row bigint, doc_id {kind}, held_out boolean, part bigint, ids binary, rare array<binary>, times array<bigint>")
@@ -278,28 +296,45 @@ def _node_features(contexts: np.ndarray, of: np.ndarray, salt: np.ndarray, bucke
 
 
 def _odds(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
-    """Unnormalised logs (classes x tokens) from weights (classes x buckets) and features (features x tokens)."""
-    z = np.take(weights, features[0], axis=1, mode="clip")
+    """Unnormalised logs (tokens x classes) from weights (classes x buckets, in Fortran's order) and features (features x tokens)."""
+    by_bucket = weights.T
+    z = np.take(by_bucket, features[0], axis=0, mode="clip")
+    more = np.empty_like(z)
     for f in features[1:]:
-        z += np.take(weights, f, axis=1, mode="clip")
-    z += weights[:, :1]
+        z += np.take(by_bucket, f, axis=0, out=more, mode="clip")
+    z += by_bucket[0]
     return np.clip(z, -80, 80, out=z)
 
 
 def gradient_steps(weights: np.ndarray, sums: np.ndarray, features: np.ndarray, classes: np.ndarray, step: float = STEP) -> None:
-    """AdaGrad steps in place over mini-batches of (features, class)."""
-    buckets = weights.shape[1]
+    """AdaGrad steps in place over mini-batches of (features, class); both tables in Fortran's order.
+
+    Gradients are added to their buckets as complex numbers, two classes at a time.
+    """
+    by_bucket, sums = weights.T, sums.T
+    wide = len(weights)
+    ones = np.ones(wide, np.float32)
+    g = np.empty((-(-wide // 2), min(BATCH, len(classes))), np.complex64)
+    total = np.empty((len(g), len(by_bucket)), np.complex64)
     for i in range(0, len(classes), BATCH):
         f, y = features[:, i : i + BATCH], classes[i : i + BATCH]
-        g = np.exp(_odds(weights, f))
-        g /= g.sum(0)
-        g[y, np.arange(len(y))] -= 1
-        at = f.ravel()
-        for k in range(len(weights)):
-            total = np.bincount(at, np.tile(g[k], len(f)), buckets).astype(np.float32)
-            total[0] = g[k].sum()
-            sums[k] += total * total
-            weights[k] -= step * total / np.sqrt(sums[k] + np.float32(1e-6))
+        for k in range(0, len(y), PIECE):
+            p = _odds(weights, f[:, k : k + PIECE])
+            np.exp(p, out=p)
+            p /= (p @ ones)[:, None]
+            p[np.arange(len(p)), y[k : k + PIECE]] -= 1
+            if wide % 2:
+                p = np.pad(p, ((0, 0), (0, 1)))
+            g[:, k : k + len(p)] = p.view(np.complex64).T
+        total[...] = 0
+        for pair, own in zip(total, g[:, : len(y)], strict=True):
+            for x in f:
+                np.add.at(pair, x, own)
+            pair[0] = own.sum()
+        for k in range(0, len(by_bucket), PIECE):
+            t = np.ascontiguousarray(total[:, k : k + PIECE].T).view(np.float32)[:, :wide]
+            sums[k : k + PIECE] += t * t
+            by_bucket[k : k + PIECE] -= step * t / np.sqrt(sums[k : k + PIECE] + np.float32(1e-6))
 
 
 def _node_odds(weights: np.ndarray, trees: Trees, contexts: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -314,13 +349,16 @@ def _node_odds(weights: np.ndarray, trees: Trees, contexts: np.ndarray, ids: np.
 
 def node_steps(weights: np.ndarray, sums: np.ndarray, trees: Trees, contexts: np.ndarray, ids: np.ndarray, step: float = STEP) -> None:
     """AdaGrad steps in place for the nodes on the paths of frequent words."""
-    if not trees.long[ids].any():
-        return
-    _, at, odds, right = _node_odds(weights, trees, contexts, ids)
-    g = 1 / (1 + np.exp(-odds)) - right
-    total = np.bincount(at.ravel(), np.tile(g, len(at)), len(weights)).astype(np.float32)
-    sums += total * total
-    weights -= step * total / np.sqrt(sums + np.float32(1e-6))
+    total = np.zeros(len(weights), np.float32)
+    for i in range(0, len(ids), PIECE):
+        _, at, odds, right = _node_odds(weights, trees, contexts[:, i : i + PIECE], ids[i : i + PIECE])
+        g = 1 / (1 + np.exp(-odds)) - right
+        for x in at:
+            np.add.at(total, x, g)
+    for i in range(0, len(total), 4 * PIECE):
+        t, own = total[i : i + 4 * PIECE], sums[i : i + 4 * PIECE]
+        own += t * t
+        weights[i : i + 4 * PIECE] -= step * t / np.sqrt(own + np.float32(1e-6))
 
 
 def _value(sent, cache: dict = {}):  # noqa: B006  a worker process keeps the last value of each name
@@ -358,7 +396,7 @@ def _targets(rows: list[np.ndarray], v: Vocabulary) -> tuple[np.ndarray, np.ndar
 def train(training: DataFrame, v: Vocabulary, buckets: int = BUCKETS, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
     """(class weights, classes x buckets; node weights) from (ids, part): round r takes the documents whose part is r."""
     spark = training.sparkSession
-    weights, nodes = np.zeros((v.wide, buckets), np.float32), np.zeros(v.node_buckets, np.float32)
+    weights, nodes = np.zeros((v.wide, buckets), np.float32, order="F"), np.zeros(v.node_buckets, np.float32)
     vocab = _send(spark, "vocabulary", v)
     every = max(BATCH, len(nodes) // 8)  # so that a step over all of the nodes' weights is little beside its tokens'
 
@@ -367,7 +405,7 @@ def train(training: DataFrame, v: Vocabulary, buckets: int = BUCKETS, rounds: in
 
         def run(batches, shared=shared):
             v, (base, node_base) = _value(vocab), _value(shared)
-            own, sums, done = base.copy(), np.full(base.shape, 1.0, np.float32), 0
+            own, sums, done = base.copy(order="F"), np.full(base.shape, 1.0, np.float32, order="F"), 0
             node_own, node_sums = node_base.copy(), np.full(node_base.shape, 1.0, np.float32)
             for rows in _chunks((t for b in batches for t in b.column(0).to_pylist()), 4 * BATCH):
                 contexts = _contexts(rows)
@@ -381,7 +419,7 @@ def train(training: DataFrame, v: Vocabulary, buckets: int = BUCKETS, rounds: in
             if done:
                 change, weight = (own - base) * np.float32(done), node_sums - 1
                 part = TaskContext.get().partitionId()
-                parts = [np.array_split(x.ravel(), SHARDS) for x in (change, (node_own - node_base) * weight, weight)]
+                parts = [np.array_split(x.T.ravel(), SHARDS) for x in (change, (node_own - node_base) * weight, weight)]
                 yield pa.RecordBatch.from_arrays([pa.array(range(SHARDS), pa.int32()), pa.array([part] * SHARDS, pa.int32()), pa.array([float(done)] * SHARDS), *(pa.array([s.tobytes() for s in p], pa.binary()) for p in parts)], names=["shard", "part", "tokens", "change", "node_change", "node_weight"])
 
         def add(part: pd.DataFrame) -> pd.DataFrame:
@@ -399,7 +437,7 @@ def train(training: DataFrame, v: Vocabulary, buckets: int = BUCKETS, rounds: in
         few = of.groupBy("shard", F.floor(F.col("part") / 32)).applyInPandas(add, schema)
         few = few.groupBy("shard", F.floor(F.col("part") / 32)).applyInPandas(add, schema)
         got = few.groupBy("shard").applyInPandas(add, schema).collect()
-        shards, node_shards = np.array_split(weights.reshape(-1), SHARDS), np.array_split(nodes, SHARDS)
+        shards, node_shards = np.array_split(weights.T.reshape(-1), SHARDS), np.array_split(nodes, SHARDS)
         for x in got:
             shards[x["shard"]][...] += np.frombuffer(x["change"], np.float32) / np.float32(x["tokens"])
             weight = np.frombuffer(x["node_weight"], np.float32)
@@ -413,16 +451,17 @@ def log_probabilities(rows: list[np.ndarray], v: Vocabulary, weights: np.ndarray
     ids, y, last = _targets(rows, v)
     f = _features(contexts, weights.shape[1])
     out = np.empty(len(ids))
-    for i in range(0, len(ids), BATCH):
-        z, own = _odds(weights, f[:, i : i + BATCH]), y[i : i + BATCH]
-        out[i : i + BATCH] = z[own, np.arange(len(own))] - np.log(np.exp(z).sum(0))
+    ones = np.ones(len(weights), np.float32)
+    for i in range(0, len(ids), PIECE):
+        z, own = _odds(weights, f[:, i : i + PIECE]), y[i : i + PIECE]
+        chosen = z[np.arange(len(own)), own]
+        out[i : i + PIECE] = chosen - np.log(np.exp(z, out=z) @ ones)
     words = np.flatnonzero(~last & (ids < v.rare))
-    for i in range(0, len(words), BATCH):
-        part = words[i : i + BATCH]
-        if not v.trees.long[ids[part]].any():
-            continue
+    for i in range(0, len(words), PIECE):
+        part = words[i : i + PIECE]
         of, _, odds, right = _node_odds(nodes, v.trees, contexts[:, part], ids[part])
-        out[part] -= np.bincount(of, np.log(1 + np.exp(np.where(right, -odds, odds))), len(part))
+        np.negative(odds, out=odds, where=right)
+        out[part] -= np.bincount(of, np.log1p(np.exp(odds, out=odds), out=odds), len(part))
     return out
 
 
@@ -467,7 +506,8 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent:
     # words whose count may be wanted: all but the frequent ones
     table = counts.join(frequent_words, "word", "left_anti")
     wanted = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
-    met = wanted.join(table, "word", "left")
+    # a partition of distinct words is small, so it is hashed and the documents' words needn't be sorted
+    met = wanted.join(table.hint("shuffle_hash"), "word", "left")
     c = F.log10(F.coalesce(F.col("n"), F.lit(0)) + 1) * F.col("times")
     sums = met.groupBy("row").agg(F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more"), F.sum("times").alias("rares"), F.sum(c).alias("logs"))
     both = scored.join(sums, "row", "left").na.fill(0, ["more", "rares", "logs"])

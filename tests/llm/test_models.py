@@ -2,10 +2,12 @@
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -276,6 +278,68 @@ def test_words_of_a_class_follow_their_history(spark):
     assert with_history > without + 1
 
 
+ODD_TEXTS = [b"", b" \t\n", b"One two ONE", b"  b a\x0bb\x0ca\r", b"\xff\xfe x\x00y X\x00Y", "\u00c4 \u00e4 \u65e5\u672c\u00a0z\x1cq \u2003".encode(), b"x"]
+
+
+def test_words_are_split_whole_batches_at_a_time():
+    for texts in (ODD_TEXTS, ODD_TEXTS[:2], []):
+        many, distinct, codes = language_model.split(pa.array(texts, pa.binary()))
+        want = [t.lower().split() for t in texts]  # of bytes both know ASCII alone
+        assert many.tolist() == [len(w) for w in want]
+        assert [distinct[k].as_py() for k in codes] == [x for w in want for x in w] and len(set(distinct.to_pylist())) == len(distinct)
+
+
+def test_word_counts_by_the_first_of_the_most_common_words(spark):
+    rng = random.Random(3)
+    texts = [*ODD_TEXTS, *(" ".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 9))).encode() for _ in range(300))]
+    want = Counter()
+    for t in texts:
+        ws = t.lower().split()
+        kind = zlib.crc32(Counter(ws).most_common(1)[0][0]) % language_model.KINDS if ws else 0
+        want.update((w, kind) for w in [*ws, b"\n"])
+    got = language_model.word_counts(spark.createDataFrame([(t,) for t in texts], "text binary")).collect()
+    assert len(got) == len(want) and {(bytes(r["word"]), r["kind"]): r["n"] for r in got} == want
+
+
+def peak_mb(run):
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_steps_and_scores_work_in_pieces_that_a_cache_holds():
+    rng, many, words, wide, buckets = np.random.default_rng(5), 1 << 16, 4000, 26, 1 << 12
+    contexts = rng.integers(0, 1 << 32, (4, many), np.uint32)
+    ids, y = rng.integers(0, words, many).astype(np.int32), rng.integers(0, wide, many)
+    trees = language_model.Trees.of(np.arange(1.0, words + 1), np.zeros(words, np.int64))
+    nodes, node_sums = np.zeros(1 << 14, np.float32), np.ones(1 << 14, np.float32)
+    assert peak_mb(lambda: language_model.node_steps(nodes, node_sums, trees, contexts, ids)) < 10
+    weights, sums = (np.full((wide, buckets), x, np.float32, order="F") for x in (0, 1))
+    features = language_model._features(contexts, buckets)
+    assert peak_mb(lambda: language_model.gradient_steps(weights, sums, features, y)) < 8
+    assert np.abs(weights).sum() > 0 and np.abs(nodes).sum() > 0
+
+
+@pytest.mark.parametrize("wide", [2, 3, 7])
+def test_gradient_steps_by_brute_force(wide):
+    rng, many, buckets = np.random.default_rng(wide), language_model.PIECE + 500, 40
+    features, y = rng.integers(1, buckets, (4, many)), rng.integers(0, wide, many)
+    weights = np.asfortranarray(rng.normal(size=(wide, buckets)).astype(np.float32))
+    sums = np.ones_like(weights)
+    z = np.array([weights[:, f].sum(1) for f in features.T], np.float64) + weights[:, 0]
+    p = np.exp(z) / np.exp(z).sum(1, keepdims=True) - np.eye(wide)[y]
+    total = np.zeros((wide, buckets))
+    for f, g in zip(features.T, p, strict=True):
+        np.add.at(total.T, f, g)
+        total[:, 0] += g
+    want = weights - 0.3 * total / np.sqrt(1 + total**2 + 1e-6)
+    language_model.gradient_steps(weights, sums, features, y, 0.3)
+    assert np.allclose(weights, want, atol=1e-4) and np.allclose(sums, 1 + total**2, rtol=1e-3)
+
+
 def rare_counts(rows, v):
     counts = Counter(w for _, t in rows for w in [*lower(t).split(), "\n"])
     return [n for w, n in counts.items() if w.encode() not in v.words]
