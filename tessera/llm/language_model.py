@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import scratch, small_batches, utf8, written
+from tessera.llm.common import scratch, small_batches, trimmed, utf8, written
 
 FREQUENT = 65_536
 KINDS = 32
@@ -48,6 +48,7 @@ STEP = 0.3
 BATCH = 32_768
 SHARDS = 16
 PIECE = 4096  # tokens whose arrays stay in a core's cache
+PART_BYTES = 2 << 20  # of texts that are split at a time
 END = b"\n"  # no word has white space
 _START = -(1 << 31)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -66,6 +67,14 @@ def split(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     return many, coded.dictionary.view(pa.binary()), coded.indices.to_numpy()
 
 
+def _parts(batch: pa.RecordBatch, texts: int) -> Iterator[pa.RecordBatch]:
+    """The batch in stretches of about PART_BYTES of texts, which are the column of that number."""
+    size = np.cumsum(pc.binary_length(batch.column(texts)).to_numpy(), dtype=np.int64) // PART_BYTES
+    at = [0, *(np.flatnonzero(np.diff(size)) + 1).tolist(), len(size)]
+    for a, b in zip(at[:-1], at[1:], strict=True):
+        yield batch.slice(a, b - a)
+
+
 def _runs(group: np.ndarray, code: np.ndarray, wide: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(group, code, order, starts): the distinct pairs in order, the order of all, and where in it each pair's begin."""
     bits = np.int64(max(wide, 1).bit_length())
@@ -87,17 +96,18 @@ def word_counts(training: DataFrame) -> DataFrame:
     """(word, kind, n) from (text bytes): tokens, the ends included, combined in each task before they are shuffled."""
 
     def run(batches):
-        for b in batches:
+        for b in (p for whole in batches for p in _parts(whole, 0)):
             many, distinct, codes = split(b.column(0))
             doc, code, order, starts = _runs(np.repeat(np.arange(len(many)), many), codes, len(distinct))
             times = np.diff(np.append(starts, len(codes)))
             kinds = np.zeros(len(many), np.int64)
             if len(doc):
                 # each text's most common word, of ties the first
-                first = np.minimum.reduceat(order, starts)
-                best = np.lexsort((first, -times, doc))
-                best = best[np.concatenate(([True], doc[best][1:] != doc[best][:-1]))]
-                kinds[doc[best]] = [zlib.crc32(w) % KINDS for w in distinct.take(pa.array(code[best])).to_pylist()]
+                at = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
+                most = np.repeat(np.maximum.reduceat(times, at), np.diff(np.append(at, len(doc))))
+                first = np.where(times == most, np.minimum.reduceat(order, starts), len(codes))
+                best = distinct.take(pa.array(codes[np.minimum.reduceat(first, at)]))
+                kinds[doc[at]] = [zlib.crc32(w) % KINDS for w in best.to_numpy(zero_copy_only=False)]
             kind, word, order, starts = _runs(kinds[doc], code, len(distinct))
             n = np.add.reduceat(times[order], starts) if len(starts) else times
             yield pa.RecordBatch.from_arrays([distinct.take(pa.array(word)), pa.array(kind.astype(np.int32)), pa.array(n.astype(np.int64))], names=["word", "kind", "n"])
@@ -105,7 +115,7 @@ def word_counts(training: DataFrame) -> DataFrame:
             kind = np.flatnonzero(ends)
             yield pa.RecordBatch.from_arrays([pa.array([END] * len(kind), pa.binary()), pa.array(kind.astype(np.int32)), pa.array(ends[kind].astype(np.int64))], names=["word", "kind", "n"])
 
-    return training.mapInArrow(run, "word binary, kind int, n bigint").groupBy("word", "kind").agg(F.sum("n").alias("n"))
+    return training.mapInArrow(trimmed(run), "word binary, kind int, n bigint").groupBy("word", "kind").agg(F.sum("n").alias("n"))
 
 
 def cluster(profiles: np.ndarray, weights: np.ndarray, classes: int, rounds: int = 10) -> np.ndarray:
@@ -224,13 +234,16 @@ class _Numbers(dict):
 
     def __init__(self, known: dict[bytes, int]) -> None:
         super().__init__(known)
-        self.known = known
+        self.known = pa.array(sorted(known, key=known.__getitem__), pa.binary())
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > len(self.known) + (1 << 19):
-            self.clear()
-            self.update(self.known)
-        found = self[word] = -1 - (xxhash.xxh3_64_intdigest(word) & 0x3FFFFFFF)
+        return -1 - (xxhash.xxh3_64_intdigest(word) & 0x3FFFFFFF)
+
+    def of(self, words: pa.Array) -> np.ndarray:
+        """The numbers of many words."""
+        found = pc.fill_null(pc.index_in(words, value_set=self.known), -1).to_numpy().copy()
+        rare = np.flatnonzero(found < 0)
+        found[rare] = [self.__missing__(w) for w in words.to_numpy(zero_copy_only=False)[rare]]
         return found
 
 
@@ -242,10 +255,9 @@ def numbered(docs: DataFrame, vocab: tuple) -> DataFrame:
     def run(batches):
         number = _Numbers(_value(vocab).words)
         part, row = TaskContext.get().partitionId() << 36, 0
-        for b in batches:
+        for b in (p for whole in batches for p in _parts(whole, 3)):
             many, distinct, codes = split(b.column(3))
-            n, of = len(many), np.fromiter(map(number.__getitem__, distinct.to_pylist()), np.int32, len(distinct))
-            ids = of[codes]
+            n, ids = len(many), number.of(distinct)[codes]
             at = np.flatnonzero(ids < 0)
             doc, code, _, starts = _runs(np.repeat(np.arange(n), many)[at], codes[at], len(distinct))
             lists = pa.array(np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=n)))).astype(np.int32))
@@ -256,7 +268,7 @@ def numbered(docs: DataFrame, vocab: tuple) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(range(part + row, part + row + n), pa.int64()), *(b.column(k) for k in range(3)), numbers, rare, times], names=["row", "doc_id", "held_out", "part", "ids", "rare", "times"])
             row += n
 
-    return docs.select("doc_id", "held_out", "part", "text").mapInArrow(run, f"row bigint, doc_id {kind}, held_out boolean, part bigint, ids binary, rare array<binary>, times array<bigint>")
+    return docs.select("doc_id", "held_out", "part", "text").mapInArrow(trimmed(run), f"row bigint, doc_id {kind}, held_out boolean, part bigint, ids binary, rare array<binary>, times array<bigint>")
 
 
 def _padded(ids: bytes) -> np.ndarray:
@@ -432,7 +444,7 @@ def train(training: DataFrame, v: Vocabulary, buckets: int = BUCKETS, rounds: in
             return pd.DataFrame({"shard": part["shard"].iloc[:1], "part": part["part"].iloc[:1] // 32, "tokens": [part["tokens"].sum()], **sums})
 
         schema = "shard int, part int, tokens double, change binary, node_change binary, node_weight binary"
-        of = training.where(F.col("part") == r).select("ids").mapInArrow(run, schema)
+        of = training.where(F.col("part") == r).select("ids").mapInArrow(trimmed(run), schema)
         # at most 32 tasks' changes of one shard are added at a time
         few = of.groupBy("shard", F.floor(F.col("part") / 32)).applyInPandas(add, schema)
         few = few.groupBy("shard", F.floor(F.col("part") / 32)).applyInPandas(add, schema)
@@ -460,7 +472,7 @@ def log_probabilities(rows: list[np.ndarray], v: Vocabulary, weights: np.ndarray
     for i in range(0, len(words), PIECE):
         part = words[i : i + PIECE]
         of, _, odds, right = _node_odds(nodes, v.trees, contexts[:, part], ids[part])
-        np.negative(odds, out=odds, where=right)
+        odds *= 1 - 2 * right.astype(np.float32)
         out[part] -= np.bincount(of, np.log1p(np.exp(odds, out=odds), out=odds), len(part))
     return out
 
@@ -501,7 +513,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent:
             columns = [np.concatenate([x[k] for x in sums] or [np.zeros(0)]) for k in range(4)]
             yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(3)), *(pa.array(x.astype(np.int64 if k < 2 else np.float64)) for k, x in enumerate(columns))], names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "model"])
 
-    scored = rows.select("row", "doc_id", "held_out", "ids").mapInArrow(run, f"row bigint, doc_id {kind_of_id}, held_out boolean, n_tokens bigint, n_known bigint, base double, model double")
+    scored = rows.select("row", "doc_id", "held_out", "ids").mapInArrow(trimmed(run), f"row bigint, doc_id {kind_of_id}, held_out boolean, n_tokens bigint, n_known bigint, base double, model double")
     frequent_words = F.broadcast(spark.createDataFrame(pa.table({"word": pa.array(list(v.words), pa.binary())})))
     # words whose count may be wanted: all but the frequent ones
     table = counts.join(frequent_words, "word", "left_anti")

@@ -282,13 +282,23 @@ ODD_TEXTS = [b"", b" \t\n", b"One two ONE", b"  b a\x0bb\x0ca\r", b"\xff\xfe x\x
 
 
 def test_words_are_split_whole_batches_at_a_time():
-    for texts in (ODD_TEXTS, ODD_TEXTS[:2], []):
-        many, distinct, codes = language_model.split(pa.array(texts, pa.binary()))
+    for texts, skip in ((ODD_TEXTS, 0), (ODD_TEXTS[:2], 0), ([], 0), (ODD_TEXTS, 3)):
+        many, distinct, codes = language_model.split(pa.array(texts, pa.binary()).slice(skip))
+        texts = texts[skip:]
         want = [t.lower().split() for t in texts]  # of bytes both know ASCII alone
         assert many.tolist() == [len(w) for w in want]
         assert [distinct[k].as_py() for k in codes] == [x for w in want for x in w] and len(set(distinct.to_pylist())) == len(distinct)
 
 
+def test_parts_of_batches_hold_every_row(monkeypatch):
+    monkeypatch.setattr(language_model, "PART_BYTES", 8)
+    for sizes in ([], [0], [0, 0, 3, 30, 0, 5, 2, 1, 8, 100], [1] * 20):
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(sizes)), pa.int64()), pa.array([b"x" * n for n in sizes], pa.binary())], names=["a", "b"])
+        parts = list(language_model._parts(batch, 1))
+        assert [x for p in parts for x in p.column(0).to_pylist()] == list(range(len(sizes)))
+        assert all(len(p) == 1 or sum(len(x) for x in p.column(1).to_pylist()[1:]) < 8 for p in parts if len(p))
+
+
 def test_word_counts_by_the_first_of_the_most_common_words(spark):
     rng = random.Random(3)
     texts = [*ODD_TEXTS, *(" ".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 9))).encode() for _ in range(300))]
