@@ -17,6 +17,7 @@ Words are 64-bit hashes, n-grams mixed ones; two of a billion n-grams fall toget
 from __future__ import annotations
 
 import math
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
@@ -58,6 +59,20 @@ class _Hashes(dict):
 _HASHES = _Hashes()
 
 
+class _Places(dict):
+    """Words' places in a growing list of hashes; a word that comes again after the words held were dropped gets another."""
+
+    def __init__(self, hashes: array):
+        self.hashes = hashes
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 1 << 17:
+            self.clear()
+        at = self[word] = len(self.hashes)
+        self.hashes.append(xxhash.xxh3_64_intdigest(word))
+        return at
+
+
 def words(text: bytes) -> list[bytes]:
     return text.translate(LOWER).split()
 
@@ -197,33 +212,48 @@ class Model:
         tables = [shard_tables(x, d3, d2, unigrams) for x in counts]
         return cls(unigrams, tables.__getitem__, shards)
 
-    def score(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(tokens with the end, sum of log10 probabilities) of each text."""
-        rows = [_row(t) for t in texts]
-        sizes = np.array([len(r) - 2 for r in rows], np.int64)
-        if not len(sizes):
-            return sizes, np.zeros(0)
+    def score(self, texts: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens with the end, sum of log10 probabilities) of each text.
+
+        Texts are taken one by one and a token is a place in a list of hashes, so that about 24 bytes a token are held."""
+        hashes = array("Q", (int(_START), int(_END)))
+        places, rows = _Places(hashes), []
+        for t in texts:
+            ws = words(t)
+            row = np.zeros(len(ws) + 3, np.uint32)  # two starts, the words and the end
+            row[2:-1], row[-1] = np.fromiter(map(places.__getitem__, ws), np.uint32, len(ws)), 1
+            rows.append(row)
+        if not rows:
+            return np.zeros(0, np.int64), np.zeros(0)
+        places.clear()
+        of_word, sizes = np.frombuffer(hashes, np.uint64), np.array([len(r) for r in rows], np.int64)
         flat = np.concatenate(rows)
-        del rows
-        last = np.arange(int(sizes.sum()), dtype=np.int32)  # where each token stands in flat
-        last += np.repeat(2 * np.arange(1, len(sizes) + 1, dtype=np.int32), sizes)
-        p = self.unigrams.of_words(flat[last])
-        of = (flat[last - 1] % np.uint64(self.shards)).astype(np.uint16 if self.shards <= 1 << 16 else np.uint32)
-        order = np.argsort(of, kind="stable")
-        cuts = np.searchsorted(of[order], np.arange(self.shards + 1))
+        del rows, row, ws
+        begin = np.cumsum(sizes) - sizes
+        # by the shard of the word before it, every token's place in flat; starts come last and have no probability
+        shard = (of_word % np.uint64(self.shards)) << np.uint64(32)
+        order = np.empty(len(flat), np.uint64)
+        order[1:] = shard[flat[:-1]]
+        order[begin] = order[begin + 1] = self.shards << 32
+        order += np.arange(len(flat), dtype=np.uint32)
+        order.sort()
+        cuts = np.searchsorted(order, np.arange(self.shards + 1, dtype=np.uint64) << np.uint64(32))
+        order = order.astype(np.uint32)
+        single = self.unigrams.of_words(of_word)
+        p = np.ones(len(flat))
         for s in range(self.shards):
             at = order[cuts[s] : cuts[s + 1]]
             if not len(at):
                 continue
-            x, y, z = (flat[last[at] - k] for k in (2, 1, 0))
+            x, y, z = (of_word[flat[at - np.uint32(k)]] for k in (2, 1, 0))
             t = self.shard(s)
             two, known = _looked(t["k2"], t["p2"], _pair(y, z), 0.0)
-            low = np.where(known, two, _looked(t["k1"], t["w1"], y, 1.0)[0] * p[at])
+            low = np.where(known, two, _looked(t["k1"], t["w1"], y, 1.0)[0] * single[flat[at]])
             before = _pair(x, y)
             weight, known = _looked(t["k12"], t["w12"], before, 1.0)
             full, there = _looked(t["k3"], t["p3"], _pair(before, z), 0.0)
             p[at] = np.where(known & there, full, weight * low)
-        return sizes, np.add.reduceat(np.log10(p), np.concatenate(([0], np.cumsum(sizes)[:-1])))
+        return sizes - 2, np.add.reduceat(np.log10(p, out=p), begin)
 
 
 def _half() -> Column:
@@ -321,6 +351,8 @@ def fit_model(sample: DataFrame, shards: int = SHARDS) -> _Sent:
             held, cuts = np.unique(of[order], return_index=True)
             rows = [packed(*(v[at] for v in (found.a, found.b, found.c, found.n))) for at in np.split(order, cuts[1:])]
             yield pa.RecordBatch.from_arrays([pa.array(held), *(pa.array([r[k] for r in rows], pa.binary()) for k in TRIGRAMS)], names=["shard", *TRIGRAMS])
+        _HASHES.clear()
+        trim_memory()
 
     def packed(a: np.ndarray, b: np.ndarray, c: np.ndarray, n: np.ndarray) -> dict[str, bytes]:
         """Trigrams with their words as places in a list, in half the bytes."""
@@ -399,12 +431,14 @@ def _scored(sent: _Sent, batches, at: int):
     model = sent.model()
     try:
         for some in _chunks(batches, at):
-            n, p = model.score([t or b"" for b in some for t in b.column(at).cast(pa.binary()).to_pylist()])
-            cuts = np.cumsum([0, *(b.num_rows for b in some)])
-            for b, i, j in zip(some, cuts[:-1], cuts[1:], strict=True):
-                yield b, pa.array(n[i:j]), pa.array(-p[i:j] / n[i:j])
+            n, p = model.score(t or b"" for b in some for t in b.column(at).cast(pa.binary()).to_pylist())
+            trim_memory()
+            i = 0
+            while some:  # each goes when it is done, before the next are read
+                j = i + some[0].num_rows
+                yield some.pop(0), pa.array(n[i:j]), pa.array(-p[i:j] / n[i:j])
+                i = j
     finally:
-        _HASHES.clear()
         trim_memory()
 
 
@@ -414,6 +448,7 @@ def _chunks(batches, at: int) -> Iterator[list[pa.RecordBatch]]:
     for b in batches:
         some.append(b)
         weight += b.column(at).nbytes
+        b = None  # else it would be held while the next is read
         if weight >= CHUNK_BYTES:
             yield some
             some, weight = [], 0

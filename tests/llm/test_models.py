@@ -89,6 +89,19 @@ def test_model_without_text():
     assert n.tolist() == [3, 1] and np.isfinite(p).all()
 
 
+def test_scoring_holds_few_bytes_a_token():
+    rng = random.Random(5)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.5)) % 5000}" for _ in range(rng.randint(1, 2000))).encode() for _ in range(300)]
+    model = quality.Model.fit(texts[::3], 64)
+    one = [model.score([t]) for t in texts]
+    tracemalloc.start()
+    n, p = model.score(iter(texts))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n.tolist() == [x.item() for x, _ in one] and p == pytest.approx([x.item() for _, x in one], rel=1e-12)
+    assert peak < 40 * n.sum()
+
+
 def good_and_bad(spark):
     rng = random.Random(2)
     words = [f"word{i}" for i in range(60)]
