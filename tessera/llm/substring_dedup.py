@@ -19,13 +19,14 @@ others is short enough to be broadcast (``FEW``).
 from __future__ import annotations
 
 import re
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import LOWER, join_groups, small_batches, utf8, written
+from tessera.llm.common import LOWER, join_groups, small_batches, trimmed, utf8, written
 
 SENTENCES = 2
 WORDS = 20
@@ -47,33 +48,46 @@ def _split(said: bytes, other: bool) -> list[bytes]:
     return [w.rstrip() for w in _OTHER_WORD.findall(said)] if other else said.split()
 
 
-def sentences(text: bytes, long: int = LONG) -> list[tuple[int, int]]:
-    """Byte ranges that make up the whole text, each a sentence or a stretch of one."""
-    out = []
-    other = bool(_OTHER.search(text))
-    word = _OTHER_WORD if other else _WORD
-    for m in (_OTHER_SENTENCE if other else _SENTENCE).finditer(text):
+def _pieces(low: bytes, other: bool, long: int, every: bool) -> list[tuple[int, int, list[bytes]]]:
+    """Byte ranges that make up the whole text, each a sentence or a stretch of one, with their words if ``every`` has them."""
+    out, hashed = [], xxhash.xxh32_intdigest
+    for m in (_OTHER_SENTENCE if other else _SENTENCE).finditer(low):
         a, b = m.span()
-        if b - a > 2 * long and len(_split(m[0], other)) > long:
-            n = 0
-            for w in word.finditer(text, a, b):
-                n += 1
-                if n == 2 * long or not xxhash.xxh32_intdigest(w[0].translate(LOWER).rstrip()) & 7:
-                    out.append((a, w.end()))
-                    a, n = w.end(), 0
-            if a < b:
-                out.append((a, b))
+        if b - a <= 2 * long and not every:
+            out.append((a, b, []))
+            continue
+        said = m[0]
+        ws = _split(said, other)
+        if b - a <= 2 * long or len(ws) <= long:
+            out.append((a, b, ws))
+            continue
+        blanks = b - a - sum(map(len, ws))
+        if not other and said.startswith(ws[0]) and blanks == len(ws) - 1 + len(said) - len(said.rstrip()):  # one between words
+            ends = [a + n + k for k, n in enumerate(accumulate(map(len, ws)), 1)]
+            ends[-1] = b
         else:
-            out.append((a, b))
+            ends = [w.end() for w in (_OTHER_WORD if other else _WORD).finditer(low, a, b)]
+        i = 0
+        for k, w in enumerate(ws, 1):
+            if k - i == 2 * long or not hashed(w) & 7:
+                out.append((a, ends[k - 1], ws[i:k]))
+                a, i = ends[k - 1], k
+        if a < b:
+            out.append((a, b, ws[i:]))
     return out
 
 
+def sentences(text: bytes, long: int = LONG) -> list[tuple[int, int]]:
+    """Byte ranges that make up the whole text, each a sentence or a stretch of one."""
+    return [(a, b) for a, b, _ in _pieces(text.translate(LOWER), bool(_OTHER.search(text)), long, False)]
+
+
 def spans(text: bytes, least_sentences: int = SENTENCES, least_words: int = WORDS, long: int = LONG) -> tuple[list[tuple[int, int]], list[tuple[int, int, int, int]]]:
     """(sentences, spans): spans are (first sentence, one past the last, 64 and 32 bits of the hash) by place; the shortest
     that start and the shortest that end at each sentence, those of the same words once."""
-    units = sentences(text, long)
-    low, other = text.translate(LOWER), bool(_OTHER.search(text))
-    said = [_split(low[a:b], other) for a, b in units]
+    other = bool(_OTHER.search(text))
+    pieces = _pieces(text.translate(LOWER), other, long, True)
+    units, said = [(a, b) for a, b, _ in pieces], [ws for _, _, ws in pieces]
     words = [w for s in said for w in s]
     at, mass, n, x = [0], [0.0], 0, 0.0  # words before each sentence, and what they count
     for s in said:
@@ -82,10 +96,7 @@ def spans(text: bytes, least_sentences: int = SENTENCES, least_words: int = WORD
         at.append(n)
         mass.append(x)
     joined = b" ".join(words)
-    begin, n = [0], 0  # where each word starts in the joined text
-    for w in words:
-        n += len(w) + 1
-        begin.append(n)
+    begin = [n + k for k, n in enumerate(accumulate(map(len, words), initial=0))]  # where each word starts in the joined text
     found, j, hash128 = {}, 0, xxhash.xxh3_128_intdigest
     for i in range(len(units)):
         if not said[i]:
@@ -111,32 +122,45 @@ def spans(text: bytes, least_sentences: int = SENTENCES, least_words: int = WORD
     return units, out
 
 
+def _first_and_again(found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int, bool]]:
+    """A text's spans at their first places, and the merged stretches of those that came before (True)."""
+    out, seen, again = [], set(), []
+    for i, j, h, g in found:
+        if (h, g) not in seen:
+            seen.add((h, g))
+            out.append((i, j, h, g, False))
+        elif again and i <= again[-1][1]:
+            again[-1] = (min(i, again[-1][0]), max(j, again[-1][1]), *again[-1][2:])
+        else:
+            again.append((i, j, h, g, True))
+    return out + again
+
+
 def _row_key(doc_id: str, text: str) -> Column:
     return F.xxhash64(F.col(doc_id), F.col(text))
 
 
 def span_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """(h, g, doc, row, first, past): a row per distinct span of each row of ``docs``, at its first place there."""
+    """(h, g, doc, row, first, past, again): a row per distinct span of each row of ``docs``, at its first place there.
+
+    With ``again`` there is a row per stretch of sentences covered by spans that the text has had before, with the hash of the
+    stretch's first one."""
     small_batches(docs.sparkSession)
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches):
         for b in batches:
-            rows, first, past, high, low = [], [], [], [], []
+            rows, columns = [], ([], [], [], [], [])
             for k, t in enumerate(b.column(2).to_pylist()):
-                seen = set()
-                for i, j, h, g in spans(t, **how)[1]:
-                    if (h, g) not in seen:
-                        seen.add((h, g))
-                        rows.append(k)
-                        first.append(i)
-                        past.append(j)
-                        high.append(h)
-                        low.append(g)
+                of = _first_and_again(spans(t, **how)[1])
+                rows += [k] * len(of)
+                for held, x in zip(columns, zip(*of, strict=True)):
+                    held += x
             take = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(high, pa.int64()), pa.array(low, pa.int32()), b.column(0).take(take), b.column(1).take(take), pa.array(first, pa.int32()), pa.array(past, pa.int32())], names=["h", "g", "doc", "row", "first", "past"])
+            first, past, high, low, again = columns
+            yield pa.RecordBatch.from_arrays([pa.array(high, pa.int64()), pa.array(low, pa.int32()), b.column(0).take(take), b.column(1).take(take), pa.array(first, pa.int32()), pa.array(past, pa.int32()), pa.array(again, pa.bool_())], names=["h", "g", "doc", "row", "first", "past", "again"])
 
-    return docs.select(F.col(doc_id).alias("doc"), _row_key(doc_id, text).alias("row"), utf8(text).alias("_t_text")).mapInArrow(run, f"h bigint, g int, doc {kind}, row bigint, first int, past int")
+    return docs.select(F.col(doc_id).alias("doc"), _row_key(doc_id, text).alias("row"), utf8(text).alias("_t_text")).mapInArrow(trimmed(run), f"h bigint, g int, doc {kind}, row bigint, first int, past int, again boolean")
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
@@ -150,7 +174,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     total = table.count()
     groups = table.groupBy("h", "g").agg(F.min("doc").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
     groups = written(groups, "repeated")
-    later = join_groups(table, groups, ["h", "g"], "n", total).where(~F.col("doc").eqNullSafe(F.col("least")))
+    # a span that its text has again is counted twice, so it is among the groups
+    later = join_groups(table, groups, ["h", "g"], "n", total).where(F.col("again") | ~F.col("doc").eqNullSafe(F.col("least")))
     gone = later.groupBy(F.col("row").alias("_t_row"), F.col("doc").alias("_t_doc")).agg(F.collect_list(F.struct("first", "past")).alias("gone"))
     gone = written(gone, "gone")
     texts = docs.select(F.col(doc_id).alias("doc_id"), utf8(text).alias("_t_text"), _row_key(doc_id, text).alias("row"))
@@ -167,13 +192,15 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         for b in batches:
             texts, counts, removed, ranges = [], [], [], []
             for t, lost in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                units, found = spans(t, **how)
-                covered, seen = bytearray(len(units)), set()
-                for i, j, h, g in found:
-                    if (h, g) in seen:
-                        covered[i:j] = b"\1" * (j - i)
-                    seen.add((h, g))
-                for x in lost or []:
+                units = sentences(t, how.get("long", LONG))
+                if not lost:
+                    texts.append(t)
+                    counts.append(len(units))
+                    removed.append(0)
+                    ranges.append([])
+                    continue
+                covered = bytearray(len(units))
+                for x in lost:
                     covered[x["first"] : x["past"]] = b"\1" * (x["past"] - x["first"])
                 cut: list[list[int]] = []
                 for (a, z), c in zip(units, covered, strict=True):
@@ -188,5 +215,5 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             struct = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.binary()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(ranges, struct)], names=["doc_id", "text", "n_sentences", "n_removed", "removed"])
 
-    out = joined.mapInArrow(run, f"doc_id {kind}, text binary, n_sentences bigint, n_removed bigint, removed array<struct<start:bigint,end:bigint>>")
+    out = joined.mapInArrow(trimmed(run), f"doc_id {kind}, text binary, n_sentences bigint, n_removed bigint, removed array<struct<start:bigint,end:bigint>>")
     return out.withColumn("text", F.col("text").cast("string"))

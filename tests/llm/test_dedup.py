@@ -300,6 +300,30 @@ def test_substring_brute_force(spark, monkeypatch):
     assert passage[40:-40] in got[0] and all(passage[40:-40] not in got[i] for i in range(4, 40, 4))
 
 
+def test_repeats_within_a_text_come_from_the_span_table(spark):
+    """The last pass only cuts sentences: what a text says again is found when its spans are hashed, once."""
+    rng = random.Random(15)
+    sentence = lambda: " ".join(f"t{rng.randrange(9000)}" for _ in range(rng.randint(6, 14))) + rng.choice([". ", "! ... ", "\n\n . "])
+    rows = []
+    for i in range(30):
+        own, chorus = [sentence() for _ in range(8)], "".join(sentence() for _ in range(5))
+        rows.append((i, "".join(x + (chorus if rng.random() < i / 20 else "") for x in own)))
+    rows += [(40, "one line of ten words that comes again and again. " * 12), (41, " . . ")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    again = defaultdict(set)
+    for r in substring_dedup.span_table(docs).where("again").collect():
+        again[r["doc"]] |= set(range(r["first"], r["past"]))
+    for i, t in rows:
+        want, seen = set(), set()
+        for a, b, said in slow_spans(slow_units(t)):
+            if said in seen:
+                want |= set(range(a, b))
+            seen.add(said)
+        assert again[i] == want
+    assert any(again.values()) and not all(again[i] for i, _ in rows)
+    assert {r["doc_id"]: r["text"] for r in substring_dedup.remove_repeats(docs).collect()} == slow_removal(rows)
+
+
 def test_last_sentences_of_a_repeat_are_removed(spark):
     rng = random.Random(14)
     sentence = lambda n: " ".join(f"t{rng.randrange(9000)}" for _ in range(n)) + ". "
